@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import codes
 
 MONEY_TOTAL = "decimal(28,2)"
+MONEY_MEAN = "decimal(22,6)"
 AsOf = dt.date | str | Column | None
 
 
@@ -90,13 +91,19 @@ def total(amount: Column, only: Column | None = None) -> Column:
     return F.sum(amount).cast(MONEY_TOTAL)
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
-    """Mean as a double, NULL when there is nothing to average."""
-    return F.try_divide(numerator.cast("double"), denominator)
+def mean(value: Column) -> Column:
+    """Mean of whole numbers, NULL when there is nothing to average."""
+    return F.try_divide(F.sum(value).cast("double"), F.count(value))
 
 
-def mean(value: Column) -> Column:
-    return ratio(F.sum(value), F.count(value))
+def money_mean(amounts: Column, count: Column) -> Column:
+    """Mean from a money sum and its count, exact to six places whatever the order."""
+    exact = F.try_divide(amounts.cast(MONEY_TOTAL), count.cast("decimal(20,0)"))
+    return F.round(exact, 6).cast(MONEY_MEAN)
+
+
+def mean_amount(amount: Column) -> Column:
+    return money_mean(F.sum(amount), F.count(amount))
 
 
 def percent(part: Column, whole: Column) -> Column:

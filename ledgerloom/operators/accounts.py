@@ -17,7 +17,7 @@ def account_transaction_stats(transactions: DataFrame) -> DataFrame:
         X.total(amount, side == "D").alias("total_debit_volume"),
         X.total(amount, side == "C").alias("total_credit_volume"),
         X.total(F.col("signed_amount")).alias("net_flow"),
-        X.mean(amount).alias("avg_transaction_amount"),
+        X.mean_amount(amount).alias("avg_transaction_amount"),
         F.max(day).alias("last_transaction_date"),
         F.min(day).alias("first_transaction_date"),
     )

@@ -27,7 +27,7 @@ def fee_revenue(fees: DataFrame) -> DataFrame:
     ).agg(
         X.rows().alias("fee_count"),
         X.total(amount).alias("total_fee_revenue"),
-        X.mean(amount).alias("avg_fee_amount"),
+        X.mean_amount(amount).alias("avg_fee_amount"),
         F.min(amount).alias("min_fee_amount"),
         F.max(amount).alias("max_fee_amount"),
         F.count_if(standalone).alias("standalone_fee_count"),
@@ -54,7 +54,7 @@ def channel_mix(transactions: DataFrame) -> DataFrame:
     ).agg(
         X.rows().alias("transaction_count"),
         X.total(amount).alias("total_volume"),
-        X.mean(amount).alias("avg_transaction_amount"),
+        X.mean_amount(amount).alias("avg_transaction_amount"),
         F.min(amount).alias("min_transaction_amount"),
         F.max(amount).alias("max_transaction_amount"),
         F.count_if("is_settled").alias("settled_count"),
@@ -93,7 +93,7 @@ def daily_transactions(transactions: DataFrame) -> DataFrame:
     ).agg(
         X.rows().alias("total_transaction_count"),
         X.total(amount).alias("total_volume"),
-        X.mean(amount).alias("avg_transaction_amount"),
+        X.mean_amount(amount).alias("avg_transaction_amount"),
         *by_status,
         X.total(amount, signed < 0).alias("total_debit_volume"),
         X.total(amount, signed > 0).alias("total_credit_volume"),

@@ -59,7 +59,7 @@ def branch_account_metrics(bridge: DataFrame) -> DataFrame:
         F.sum("accounts").alias("active_account_count"),
         F.sum("frozen").alias("frozen_account_count"),
         X.total(F.col("balance")).alias("total_balance"),
-        X.ratio(F.sum("open_balance"), F.sum("open_balances")).alias("avg_account_balance"),
+        X.money_mean(F.sum("open_balance"), F.sum("open_balances")).alias("avg_account_balance"),
         F.count_if(known).alias("total_customer_count"),
         F.count_if(known & F.col("active")).alias("active_customer_count"),
         F.count_if(known & F.col("dormant")).alias("dormant_customer_count"),
@@ -73,7 +73,7 @@ def branch_transaction_metrics(transactions: DataFrame) -> DataFrame:
     ).agg(
         X.rows().alias("total_transaction_count"),
         X.total(amount).alias("total_transaction_volume"),
-        X.mean(amount).alias("avg_transaction_amount"),
+        X.mean_amount(amount).alias("avg_transaction_amount"),
         F.count_if("is_settled").alias("settled_count"),
         F.count_if("is_pending").alias("pending_count"),
         F.count_if("is_returned").alias("returned_count"),

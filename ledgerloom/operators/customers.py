@@ -17,7 +17,7 @@ def customer_account_stats(bridge: DataFrame) -> DataFrame:
         F.count_if("is_frozen").alias("frozen_account_count"),
         *[F.count_if(kind == c).alias(name) for c, name in codes.ACCOUNT_TYPE_COUNTS.items()],
         X.total(balance, F.col("is_open")).alias("total_balance"),
-        X.mean(open_balance).alias("avg_account_balance"),
+        X.mean_amount(open_balance).alias("avg_account_balance"),
         F.max(open_balance).alias("max_account_balance"),
         F.max("division_code").alias("primary_division_code"),
         F.max("division_name").alias("primary_division_name"),
@@ -99,7 +99,7 @@ def customer_transaction_stats(transactions: DataFrame, as_of: X.AsOf = None) ->
     everything = F.col("total_transaction_count")
     return merged.withColumns(
         {
-            "avg_transaction_amount": X.ratio(
+            "avg_transaction_amount": X.money_mean(
                 F.col("total_transaction_volume"), F.col("amounts")
             ),
             "days_since_last_transaction": X.days_between(
@@ -116,7 +116,7 @@ def customer_fee_stats(fees: DataFrame) -> DataFrame:
     return fees.groupBy("customer_id").agg(
         X.rows().alias("total_fee_count"),
         X.total(amount).alias("total_fees_charged"),
-        X.mean(amount).alias("avg_fee_amount"),
+        X.mean_amount(amount).alias("avg_fee_amount"),
         X.total(amount, F.col("is_retail_fee")).alias("retail_fees_charged"),
         X.total(amount, F.col("is_commercial_fee")).alias("commercial_fees_charged"),
     )

@@ -42,10 +42,7 @@ def roll_up_branches(branch_performance: DataFrame, *keys: str) -> DataFrame:
     return branch_performance.groupBy(*keys).agg(
         *[F.sum(name).alias(name) for name in _COUNTS],
         *[X.total(F.col(name)).alias(name) for name in _AMOUNTS],
-        *[
-            F.round(F.avg(name), 6).alias(name)
-            for name in ("avg_account_balance", "avg_transaction_amount")
-        ],
+        *[F.avg(name).alias(name) for name in ("avg_account_balance", "avg_transaction_amount")],
         *[
             X.percent(F.sum(f"digital_count_{name}_def"), F.sum("total_transaction_count")).alias(
                 f"digital_pct_{name}_def"
