@@ -84,26 +84,44 @@ def rows() -> Column:
     return F.count(F.lit(1))
 
 
-def total(amount: Column, only: Column | None = None) -> Column:
-    """Exact money sum; rows outside `only` count as zero."""
-    if only is not None:
-        amount = F.when(only, amount).otherwise(F.lit(0))
-    return F.sum(amount).cast(MONEY_TOTAL)
+def cents(amount: str) -> Column:
+    """An amount as whole cents.
 
+    Sums of 64-bit integers stay in Spark's fast aggregation path, sums of
+    decimals this wide do not. A sum beyond 92 quadrillion dollars raises an
+    error rather than wrapping around.
+    """
+    return (F.col(amount) * 100).cast("bigint")
 
-def mean(value: Column) -> Column:
-    """Mean of whole numbers, NULL when there is nothing to average."""
-    return F.try_divide(F.sum(value).cast("double"), F.count(value))
+
+def money(cents: Column) -> Column:
+    """Summed cents as published dollars."""
+    return (cents.cast("decimal(24,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY_TOTAL)
+
+
+def summed(value: Column, only: Column | None = None) -> Column:
+    """Plain sum; rows outside `only` count as zero."""
+    return F.sum(value if only is None else F.when(only, value).otherwise(0))
 
 
-def money_mean(amounts: Column, count: Column) -> Column:
-    """Mean from a money sum and its count, exact to six places whatever the order."""
-    exact = F.try_divide(amounts.cast(MONEY_TOTAL), count.cast("decimal(20,0)"))
-    return F.round(exact, 6).cast(MONEY_MEAN)
+def total(cents: Column, only: Column | None = None) -> Column:
+    """Money sum over cents."""
+    return money(summed(cents, only))
 
 
-def mean_amount(amount: Column) -> Column:
-    return money_mean(F.sum(amount), F.count(amount))
+def money_mean(cents: Column, count: Column) -> Column:
+    """Mean amount from summed cents, half up to a millionth of a dollar."""
+    exact = F.try_divide(cents.cast("decimal(22,0)"), count.cast("decimal(20,0)"))
+    return (F.round(exact, 4) * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY_MEAN)
+
+
+def mean_money(cents: Column) -> Column:
+    return money_mean(F.sum(cents), F.count(cents))
+
+
+def mean(value: Column) -> Column:
+    """Mean of whole numbers, NULL when there is nothing to average."""
+    return F.try_divide(F.sum(value).cast("double"), F.count(value))
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -7,27 +7,36 @@ from ledgerloom.functions import expressions as X
 
 
 def account_transaction_stats(transactions: DataFrame) -> DataFrame:
-    amount, side = F.col("transaction_amount"), F.col("transaction_indicator")
-    day = F.col("transaction_date")
-    return transactions.groupBy("account_id").agg(
-        X.rows().alias("total_transaction_count"),
-        F.count_if("is_settled").alias("settled_transaction_count"),
-        F.count_if("is_pending").alias("pending_transaction_count"),
-        F.count_if("is_returned").alias("returned_transaction_count"),
-        X.total(amount, side == "D").alias("total_debit_volume"),
-        X.total(amount, side == "C").alias("total_credit_volume"),
-        X.total(F.col("signed_amount")).alias("net_flow"),
-        X.mean_amount(amount).alias("avg_transaction_amount"),
-        F.max(day).alias("last_transaction_date"),
-        F.min(day).alias("first_transaction_date"),
+    cents, side, day = F.col("cents"), F.col("transaction_indicator"), F.col("transaction_date")
+    return (
+        transactions.withColumns(
+            {"cents": X.cents("transaction_amount"), "signed_cents": X.cents("signed_amount")}
+        )
+        .groupBy("account_id")
+        .agg(
+            X.rows().alias("total_transaction_count"),
+            F.count_if("is_settled").alias("settled_transaction_count"),
+            F.count_if("is_pending").alias("pending_transaction_count"),
+            F.count_if("is_returned").alias("returned_transaction_count"),
+            X.total(cents, side == "D").alias("total_debit_volume"),
+            X.total(cents, side == "C").alias("total_credit_volume"),
+            X.total(F.col("signed_cents")).alias("net_flow"),
+            X.mean_money(cents).alias("avg_transaction_amount"),
+            F.max(day).alias("last_transaction_date"),
+            F.min(day).alias("first_transaction_date"),
+        )
     )
 
 
 def account_fee_stats(fees: DataFrame) -> DataFrame:
-    return fees.groupBy("account_id").agg(
-        X.rows().alias("total_fee_count"),
-        X.total(F.col("fee_amount")).alias("total_fees_charged"),
-        F.max("fee_date").alias("last_fee_date"),
+    return (
+        fees.withColumn("cents", X.cents("fee_amount"))
+        .groupBy("account_id")
+        .agg(
+            X.rows().alias("total_fee_count"),
+            X.total(F.col("cents")).alias("total_fees_charged"),
+            F.max("fee_date").alias("last_fee_date"),
+        )
     )
 
 

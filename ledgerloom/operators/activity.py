@@ -11,55 +11,64 @@ from ledgerloom.functions import codes
 from ledgerloom.functions import expressions as X
 
 
-def fee_revenue(fees: DataFrame) -> DataFrame:
+def fee_revenue(placed_fees: DataFrame) -> DataFrame:
     """One row per fee type, month and division."""
-    amount, standalone = F.col("fee_amount"), F.col("is_standalone_fee")
-    return fees.groupBy(
-        "fee_month",
-        "fee_year",
-        "fee_month_num",
-        "fee_type_code",
-        "fee_type",
-        "division_code",
-        "division_name",
-        "is_retail_fee",
-        "is_commercial_fee",
-    ).agg(
-        X.rows().alias("fee_count"),
-        X.total(amount).alias("total_fee_revenue"),
-        X.mean_amount(amount).alias("avg_fee_amount"),
-        F.min(amount).alias("min_fee_amount"),
-        F.max(amount).alias("max_fee_amount"),
-        F.count_if(standalone).alias("standalone_fee_count"),
-        F.count_if(~standalone).alias("transaction_linked_fee_count"),
-        X.total(amount, standalone).alias("standalone_fee_revenue"),
-        X.total(amount, ~standalone).alias("transaction_linked_fee_revenue"),
+    amount, cents = F.col("fee_amount"), F.col("cents")
+    standalone = F.col("is_standalone_fee")
+    return (
+        placed_fees.withColumn("cents", X.cents("fee_amount"))
+        .groupBy(
+            "fee_month",
+            "fee_year",
+            "fee_month_num",
+            "fee_type_code",
+            "fee_type",
+            "division_code",
+            "division_name",
+            "is_retail_fee",
+            "is_commercial_fee",
+        )
+        .agg(
+            X.rows().alias("fee_count"),
+            X.total(cents).alias("total_fee_revenue"),
+            X.mean_money(cents).alias("avg_fee_amount"),
+            F.min(amount).alias("min_fee_amount"),
+            F.max(amount).alias("max_fee_amount"),
+            F.count_if(standalone).alias("standalone_fee_count"),
+            F.count_if(~standalone).alias("transaction_linked_fee_count"),
+            X.total(cents, standalone).alias("standalone_fee_revenue"),
+            X.total(cents, ~standalone).alias("transaction_linked_fee_revenue"),
+        )
     )
 
 
-def channel_mix(transactions: DataFrame) -> DataFrame:
+def channel_mix(placed_transactions: DataFrame) -> DataFrame:
     """One row per channel, month and division."""
-    amount = F.col("transaction_amount")
-    grouped = transactions.groupBy(
-        "transaction_month",
-        "transaction_year",
-        "transaction_month_num",
-        "transaction_channel_code",
-        "channel",
-        "division_code",
-        "division_name",
-        "is_digital_retail",
-        "is_digital_commercial",
-        "is_wire",
-    ).agg(
-        X.rows().alias("transaction_count"),
-        X.total(amount).alias("total_volume"),
-        X.mean_amount(amount).alias("avg_transaction_amount"),
-        F.min(amount).alias("min_transaction_amount"),
-        F.max(amount).alias("max_transaction_amount"),
-        F.count_if("is_settled").alias("settled_count"),
-        F.count_if("is_pending").alias("pending_count"),
-        F.count_if("is_returned").alias("returned_count"),
+    amount, cents = F.col("transaction_amount"), F.col("cents")
+    grouped = (
+        placed_transactions.withColumn("cents", X.cents("transaction_amount"))
+        .groupBy(
+            "transaction_month",
+            "transaction_year",
+            "transaction_month_num",
+            "transaction_channel_code",
+            "channel",
+            "division_code",
+            "division_name",
+            "is_digital_retail",
+            "is_digital_commercial",
+            "is_wire",
+        )
+        .agg(
+            X.rows().alias("transaction_count"),
+            X.total(cents).alias("total_volume"),
+            X.mean_money(cents).alias("avg_transaction_amount"),
+            F.min(amount).alias("min_transaction_amount"),
+            F.max(amount).alias("max_transaction_amount"),
+            F.count_if("is_settled").alias("settled_count"),
+            F.count_if("is_pending").alias("pending_count"),
+            F.count_if("is_returned").alias("returned_count"),
+        )
     )
     return grouped.withColumns(
         {
@@ -69,9 +78,9 @@ def channel_mix(transactions: DataFrame) -> DataFrame:
     )
 
 
-def daily_transactions(transactions: DataFrame) -> DataFrame:
+def daily_transactions(placed_transactions: DataFrame) -> DataFrame:
     """One row per day and division; days without transactions have none."""
-    amount, signed = F.col("transaction_amount"), F.col("signed_amount")
+    cents, signed = F.col("cents"), F.col("signed_cents")
     channel, kind = F.col("transaction_channel_code"), F.col("transaction_type_code")
     lag = F.col("settlement_lag_days")
     by_status = [
@@ -79,29 +88,38 @@ def daily_transactions(transactions: DataFrame) -> DataFrame:
         for status in ("settled", "pending", "returned")
         for column in (
             F.count_if(f"is_{status}").alias(f"{status}_count"),
-            X.total(amount, F.col(f"is_{status}")).alias(f"{status}_volume"),
+            X.total(cents, F.col(f"is_{status}")).alias(f"{status}_volume"),
         )
     ]
-    return transactions.groupBy(
-        "transaction_date",
-        "transaction_month",
-        "transaction_year",
-        "transaction_month_num",
-        "transaction_day_of_week",
-        "division_code",
-        "division_name",
-    ).agg(
-        X.rows().alias("total_transaction_count"),
-        X.total(amount).alias("total_volume"),
-        X.mean_amount(amount).alias("avg_transaction_amount"),
-        *by_status,
-        X.total(amount, signed < 0).alias("total_debit_volume"),
-        X.total(amount, signed > 0).alias("total_credit_volume"),
-        X.total(signed).alias("net_flow"),
-        *[F.count_if(channel == c).alias(name) for c, name in codes.CHANNEL_COUNTS.items()],
-        *[F.count_if(kind == c).alias(name) for c, name in codes.TRANSACTION_TYPE_COUNTS.items()],
-        F.count_if("is_digital_retail").alias("digital_count_retail_def"),
-        F.count_if("is_digital_commercial").alias("digital_count_commercial_def"),
-        X.mean(lag).alias("avg_settlement_lag_days"),
-        F.max(lag).alias("max_settlement_lag_days"),
+    return (
+        placed_transactions.withColumns(
+            {"cents": X.cents("transaction_amount"), "signed_cents": X.cents("signed_amount")}
+        )
+        .groupBy(
+            "transaction_date",
+            "transaction_month",
+            "transaction_year",
+            "transaction_month_num",
+            "transaction_day_of_week",
+            "division_code",
+            "division_name",
+        )
+        .agg(
+            X.rows().alias("total_transaction_count"),
+            X.total(cents).alias("total_volume"),
+            X.mean_money(cents).alias("avg_transaction_amount"),
+            *by_status,
+            X.total(cents, signed < 0).alias("total_debit_volume"),
+            X.total(cents, signed > 0).alias("total_credit_volume"),
+            X.total(signed).alias("net_flow"),
+            *[F.count_if(channel == c).alias(name) for c, name in codes.CHANNEL_COUNTS.items()],
+            *[
+                F.count_if(kind == c).alias(name)
+                for c, name in codes.TRANSACTION_TYPE_COUNTS.items()
+            ],
+            F.count_if("is_digital_retail").alias("digital_count_retail_def"),
+            F.count_if("is_digital_commercial").alias("digital_count_commercial_def"),
+            X.mean(lag).alias("avg_settlement_lag_days"),
+            F.max(lag).alias("max_settlement_lag_days"),
+        )
     )

@@ -40,18 +40,23 @@ def branch_account_metrics(bridge: DataFrame) -> DataFrame:
     Customers are counted by first bringing each down to one row per branch and
     month, which needs no row multiplication for the three distinct counts.
     """
-    open_balance = F.when(F.col("is_open"), F.col("balance"))
-    per_customer = bridge.groupBy(
-        "branch_code", X.month_start(F.col("open_date")).alias("report_month"), "customer_id"
-    ).agg(
-        F.count("open_date").alias("opened"),
-        X.rows().alias("accounts"),
-        F.count_if("is_frozen").alias("frozen"),
-        X.total(F.col("balance"), F.col("is_open")).alias("balance"),
-        X.total(open_balance).alias("open_balance"),
-        F.count(open_balance).alias("open_balances"),
-        F.max("customer_is_active").alias("active"),
-        F.max("customer_is_dormant").alias("dormant"),
+    is_open, cents = F.col("is_open"), F.col("cents")
+    open_balance = F.when(is_open, cents)
+    per_customer = (
+        bridge.withColumn("cents", X.cents("balance"))
+        .groupBy(
+            "branch_code", X.month_start(F.col("open_date")).alias("report_month"), "customer_id"
+        )
+        .agg(
+            F.count("open_date").alias("opened"),
+            X.rows().alias("accounts"),
+            F.count_if("is_frozen").alias("frozen"),
+            X.summed(cents, is_open).alias("balance"),
+            F.sum(open_balance).alias("open_balance"),
+            F.count(open_balance).alias("open_balances"),
+            F.max("customer_is_active").alias("active"),
+            F.max("customer_is_dormant").alias("dormant"),
+        )
     )
     known = F.col("customer_id").isNotNull()
     return per_customer.groupBy("branch_code", "report_month").agg(
@@ -66,19 +71,21 @@ def branch_account_metrics(bridge: DataFrame) -> DataFrame:
     )
 
 
-def branch_transaction_metrics(transactions: DataFrame) -> DataFrame:
-    amount = F.col("transaction_amount")
-    grouped = transactions.groupBy(
-        "branch_code", F.col("transaction_month").alias("report_month")
-    ).agg(
-        X.rows().alias("total_transaction_count"),
-        X.total(amount).alias("total_transaction_volume"),
-        X.mean_amount(amount).alias("avg_transaction_amount"),
-        F.count_if("is_settled").alias("settled_count"),
-        F.count_if("is_pending").alias("pending_count"),
-        F.count_if("is_returned").alias("returned_count"),
-        F.count_if("is_digital_retail").alias("digital_count_retail_def"),
-        F.count_if("is_digital_commercial").alias("digital_count_commercial_def"),
+def branch_transaction_metrics(placed_transactions: DataFrame) -> DataFrame:
+    cents = F.col("cents")
+    grouped = (
+        placed_transactions.withColumn("cents", X.cents("transaction_amount"))
+        .groupBy("branch_code", F.col("transaction_month").alias("report_month"))
+        .agg(
+            X.rows().alias("total_transaction_count"),
+            X.total(cents).alias("total_transaction_volume"),
+            X.mean_money(cents).alias("avg_transaction_amount"),
+            F.count_if("is_settled").alias("settled_count"),
+            F.count_if("is_pending").alias("pending_count"),
+            F.count_if("is_returned").alias("returned_count"),
+            F.count_if("is_digital_retail").alias("digital_count_retail_def"),
+            F.count_if("is_digital_commercial").alias("digital_count_commercial_def"),
+        )
     )
     return grouped.withColumns(
         {
@@ -90,19 +97,20 @@ def branch_transaction_metrics(transactions: DataFrame) -> DataFrame:
     )
 
 
-def fee_type_revenues(kind: str = "fee_type_code", amount: str = "fee_amount") -> list:
-    """One summed column per fee type."""
-    return [
-        X.total(F.col(amount), F.col(kind) == code).alias(name)
-        for code, name in codes.FEE_TYPE_REVENUES.items()
-    ]
-
-
-def branch_fee_metrics(fees: DataFrame) -> DataFrame:
-    return fees.groupBy("branch_code", F.col("fee_month").alias("report_month")).agg(
-        X.rows().alias("total_fee_count"),
-        X.total(F.col("fee_amount")).alias("total_fee_revenue"),
-        *fee_type_revenues(),
+def branch_fee_metrics(placed_fees: DataFrame) -> DataFrame:
+    """Revenue in total and in one column per fee type."""
+    kind, cents = F.col("fee_type_code"), F.col("cents")
+    return (
+        placed_fees.withColumn("cents", X.cents("fee_amount"))
+        .groupBy("branch_code", F.col("fee_month").alias("report_month"))
+        .agg(
+            X.rows().alias("total_fee_count"),
+            X.total(cents).alias("total_fee_revenue"),
+            *[
+                X.total(cents, kind == code).alias(name)
+                for code, name in codes.FEE_TYPE_REVENUES.items()
+            ],
+        )
     )
 
 

@@ -1,6 +1,6 @@
 """Customer 360: portfolio, behaviour and fees of every customer."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import codes
@@ -8,31 +8,34 @@ from ledgerloom.functions import expressions as X
 
 
 def customer_account_stats(bridge: DataFrame) -> DataFrame:
-    kind, balance = F.col("account_type_code"), F.col("balance")
-    open_balance = F.when(F.col("is_open"), balance)
-    return bridge.groupBy("customer_id").agg(
-        X.rows().alias("total_account_count"),
-        F.count_if("is_open").alias("open_account_count"),
-        F.count_if("account_is_closed").alias("closed_account_count"),
-        F.count_if("is_frozen").alias("frozen_account_count"),
-        *[F.count_if(kind == c).alias(name) for c, name in codes.ACCOUNT_TYPE_COUNTS.items()],
-        X.total(balance, F.col("is_open")).alias("total_balance"),
-        X.mean_amount(open_balance).alias("avg_account_balance"),
-        F.max(open_balance).alias("max_account_balance"),
-        F.max("division_code").alias("primary_division_code"),
-        F.max("division_name").alias("primary_division_name"),
+    kind, is_open, cents = F.col("account_type_code"), F.col("is_open"), F.col("cents")
+    return (
+        bridge.withColumn("cents", X.cents("balance"))
+        .groupBy("customer_id")
+        .agg(
+            X.rows().alias("total_account_count"),
+            F.count_if("is_open").alias("open_account_count"),
+            F.count_if("account_is_closed").alias("closed_account_count"),
+            F.count_if("is_frozen").alias("frozen_account_count"),
+            *[F.count_if(kind == c).alias(name) for c, name in codes.ACCOUNT_TYPE_COUNTS.items()],
+            X.total(cents, is_open).alias("total_balance"),
+            X.mean_money(F.when(is_open, cents)).alias("avg_account_balance"),
+            F.max(F.when(is_open, F.col("balance"))).alias("max_account_balance"),
+            F.max("division_code").alias("primary_division_code"),
+            F.max("division_name").alias("primary_division_name"),
+        )
     )
 
 
-def _most_used(value: str, uses: str):
+def _most_used(value: str, uses: str) -> Column:
     """Value with the most uses, the alphabetically first of equals; NULL never wins."""
     rank = F.when(F.col(value).isNotNull(), F.struct(-F.col(uses), F.col(value)))
     return F.min_by(value, rank)
 
 
-def preferred_channels(transactions: DataFrame) -> DataFrame:
-    """Most used channel per customer, over transactions that know their account."""
-    per_channel = transactions.groupBy("customer_id", "transaction_channel_code").agg(
+def preferred_channels(owned_transactions: DataFrame) -> DataFrame:
+    """Most used channel per customer."""
+    per_channel = owned_transactions.groupBy("customer_id", "transaction_channel_code").agg(
         X.rows().alias("uses")
     )
     return per_channel.groupBy("customer_id").agg(
@@ -40,85 +43,128 @@ def preferred_channels(transactions: DataFrame) -> DataFrame:
     )
 
 
-def recency_windows(transactions: DataFrame, keys: list[str], as_of: X.AsOf = None) -> DataFrame:
-    """Counts and volumes of the last 30, 90 and 365 days; later days count too."""
-    return transactions.groupBy(*keys).agg(*_recency(as_of))
+def _recent(days: int, as_of: X.AsOf) -> Column:
+    """Lower bound only: transactions dated after the reporting day count too."""
+    return F.col("transaction_date") >= F.date_sub(X.as_of_date(as_of), days)
 
 
-def _recency(as_of: X.AsOf) -> list:
-    today, day = X.as_of_date(as_of), F.col("transaction_date")
+def recency_windows(owned_transactions: DataFrame, as_of: X.AsOf = None) -> DataFrame:
+    """Counts and volumes of the last 30, 90 and 365 days per customer."""
     columns = []
     for days in codes.RECENCY_WINDOWS:
-        recent = day >= F.date_sub(today, days)
+        recent = _recent(days, as_of)
         columns.append(F.count_if(recent).alias(f"txn_count_{days}d"))
-        columns.append(
-            X.total(F.col("transaction_amount"), recent).alias(f"txn_volume_{days}d")
+        columns.append(X.total(F.col("cents"), recent).alias(f"txn_volume_{days}d"))
+    return (
+        owned_transactions.withColumn("cents", X.cents("transaction_amount"))
+        .groupBy("customer_id")
+        .agg(*columns)
+    )
+
+
+def _account_channel_activity(transactions: DataFrame, as_of: X.AsOf) -> DataFrame:
+    """Counts and cents per account and channel; every column can be added up further."""
+    cents = F.col("volume_cents")
+    windows = [
+        column
+        for days in codes.RECENCY_WINDOWS
+        for column in (
+            F.count_if(_recent(days, as_of)).alias(f"txn_count_{days}d"),
+            X.summed(cents, _recent(days, as_of)).alias(f"cents_{days}d"),
+        )
+    ]
+    return (
+        transactions.withColumn("volume_cents", X.cents("transaction_amount"))
+        .groupBy("account_id", "transaction_channel_code")
+        .agg(
+            X.rows().alias("total_transaction_count"),
+            F.count_if("is_settled").alias("settled_transaction_count"),
+            F.count_if("is_returned").alias("returned_transaction_count"),
+            F.count_if("is_digital_retail").alias("digital_retail"),
+            F.count_if("is_digital_commercial").alias("digital_commercial"),
+            F.count(cents).alias("amounts"),
+            F.sum(cents).alias("volume_cents"),
+            *windows,
+            F.max("transaction_date").alias("last_transaction_date"),
         )
-    return columns
+    )
 
 
-def customer_transaction_stats(transactions: DataFrame, as_of: X.AsOf = None) -> DataFrame:
-    """Two steps: per customer and channel, then per customer.
+def customer_transaction_stats(
+    transactions: DataFrame, bridge: DataFrame, as_of: X.AsOf = None
+) -> DataFrame:
+    """Behaviour per customer, in three steps that each shrink the data.
 
-    The first step leaves a handful of rows per customer, so the preferred
-    channel needs neither a per-group map of values nor a second pass.
+    Transactions are added up per account and channel before they meet the
+    owner of the account, so a busy account enters the join as a few rows. Then
+    per customer and channel, which leaves the preferred channel to pick among
+    a handful of rows, and at last per customer.
     """
-    amount = F.col("transaction_amount")
-    per_channel = transactions.groupBy("customer_id", "transaction_channel_code").agg(
-        X.rows().alias("total_transaction_count"),
-        F.count_if("is_settled").alias("settled_transaction_count"),
-        F.count_if("is_returned").alias("returned_transaction_count"),
-        X.total(amount).alias("total_transaction_volume"),
-        F.count(amount).alias("amounts"),
-        *_recency(as_of),
-        F.max("transaction_date").alias("last_transaction_date"),
-        F.count_if("is_digital_retail").alias("digital_retail"),
-        F.count_if("is_digital_commercial").alias("digital_commercial"),
-    )
-    counts = [
-        "total_transaction_count",
-        "settled_transaction_count",
-        "returned_transaction_count",
-        "amounts",
-        "digital_retail",
-        "digital_commercial",
-        *[f"txn_count_{days}d" for days in codes.RECENCY_WINDOWS],
-    ]
-    volumes = [
-        "total_transaction_volume",
-        *[f"txn_volume_{days}d" for days in codes.RECENCY_WINDOWS],
-    ]
-    merged = per_channel.groupBy("customer_id").agg(
-        *[F.sum(name).alias(name) for name in counts],
-        *[X.total(F.col(name)).alias(name) for name in volumes],
-        F.max("last_transaction_date").alias("last_transaction_date"),
-        _most_used("transaction_channel_code", "total_transaction_count").alias(
-            "preferred_channel_code"
-        ),
+    owners = bridge.select("account_id", "customer_id")
+    activity = _account_channel_activity(transactions, as_of).join(owners, "account_id")
+    keys = ("account_id", "customer_id", "transaction_channel_code", "last_transaction_date")
+    added = [name for name in activity.columns if name not in keys]
+
+    def add_up(table: DataFrame, *by: str, extra: tuple[Column, ...] = ()) -> DataFrame:
+        latest = F.max("last_transaction_date").alias("last_transaction_date")
+        return table.groupBy(*by).agg(
+            *[F.sum(name).alias(name) for name in added], latest, *extra
+        )
+
+    favourite = _most_used("transaction_channel_code", "total_transaction_count")
+    per_customer = add_up(
+        add_up(activity, "customer_id", "transaction_channel_code"),
+        "customer_id",
+        extra=(favourite.alias("preferred_channel_code"),),
     )
-    everything = F.col("total_transaction_count")
-    return merged.withColumns(
+    everything, cents = F.col("total_transaction_count"), F.col("volume_cents")
+    return per_customer.withColumns(
         {
-            "avg_transaction_amount": X.money_mean(
-                F.col("total_transaction_volume"), F.col("amounts")
-            ),
+            "total_transaction_volume": X.money(cents),
+            "avg_transaction_amount": X.money_mean(cents, F.col("amounts")),
+            **{
+                f"txn_volume_{days}d": X.money(F.col(f"cents_{days}d"))
+                for days in codes.RECENCY_WINDOWS
+            },
             "days_since_last_transaction": X.days_between(
                 X.as_of_date(as_of), F.col("last_transaction_date")
             ),
             "digital_ratio_retail": X.percent(F.col("digital_retail"), everything),
             "digital_ratio_commercial": X.percent(F.col("digital_commercial"), everything),
         }
-    ).drop("amounts", "digital_retail", "digital_commercial")
+    ).drop(
+        "volume_cents",
+        "amounts",
+        "digital_retail",
+        "digital_commercial",
+        *[f"cents_{days}d" for days in codes.RECENCY_WINDOWS],
+    )
 
 
-def customer_fee_stats(fees: DataFrame) -> DataFrame:
-    amount = F.col("fee_amount")
-    return fees.groupBy("customer_id").agg(
-        X.rows().alias("total_fee_count"),
-        X.total(amount).alias("total_fees_charged"),
-        X.mean_amount(amount).alias("avg_fee_amount"),
-        X.total(amount, F.col("is_retail_fee")).alias("retail_fees_charged"),
-        X.total(amount, F.col("is_commercial_fee")).alias("commercial_fees_charged"),
+def customer_fee_stats(fees: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Fees per customer, added up per account before the join."""
+    cents = F.col("cents")
+    per_account = (
+        fees.withColumn("cents", X.cents("fee_amount"))
+        .groupBy("account_id")
+        .agg(
+            X.rows().alias("fees"),
+            F.count(cents).alias("amounts"),
+            F.sum(cents).alias("cents"),
+            X.summed(cents, F.col("is_retail_fee")).alias("retail"),
+            X.summed(cents, F.col("is_commercial_fee")).alias("commercial"),
+        )
+    )
+    return (
+        per_account.join(bridge.select("account_id", "customer_id"), "account_id")
+        .groupBy("customer_id")
+        .agg(
+            F.sum("fees").alias("total_fee_count"),
+            X.total(cents).alias("total_fees_charged"),
+            X.money_mean(F.sum(cents), F.sum("amounts")).alias("avg_fee_amount"),
+            X.total(F.col("retail")).alias("retail_fees_charged"),
+            X.total(F.col("commercial")).alias("commercial_fees_charged"),
+        )
     )
 
 
@@ -131,8 +177,8 @@ def customer_360(
 ) -> DataFrame:
     """One row per customer, with or without accounts.
 
-    `transactions` and `fees` carry the customer of their account. Each of the
-    three aggregates ends up partitioned by customer, as the joins need it.
+    Each of the three aggregates ends up partitioned by customer, as the joins
+    need it.
     """
     zero_when_absent = [
         "total_account_count",
@@ -154,8 +200,8 @@ def customer_360(
     ]
     return (
         customers.join(customer_account_stats(bridge), "customer_id", "left")
-        .join(customer_transaction_stats(transactions, as_of), "customer_id", "left")
-        .join(customer_fee_stats(fees), "customer_id", "left")
+        .join(customer_transaction_stats(transactions, bridge, as_of), "customer_id", "left")
+        .join(customer_fee_stats(fees, bridge), "customer_id", "left")
         .fillna(0, subset=zero_when_absent)
         .withColumn(
             "is_behaviourally_dormant", X.dormant(F.col("days_since_last_transaction"))

@@ -88,31 +88,46 @@ def decode_transactions(transactions: DataFrame) -> DataFrame:
     )
 
 
+def label_fees(fees: DataFrame) -> DataFrame:
+    kind, day = F.col("fee_type_code"), F.col("fee_date")
+    return fees.withColumns(
+        {
+            "fee_type": X.label("fee_type_code", codes.FEE_TYPES),
+            "is_retail_fee": kind.isin(*codes.RETAIL_FEES),
+            "is_commercial_fee": kind.isin(*codes.COMMERCIAL_FEES),
+            "fee_month": X.month_start(day),
+            "fee_year": F.year(day),
+            "fee_month_num": F.month(day),
+        }
+    )
+
+
 def flag_standalone_fees(fees: DataFrame, transactions: DataFrame) -> DataFrame:
-    """Mark fees whose transaction is unknown; every fee is kept.
+    """Mark fees whose transaction is unknown; every fee is kept exactly once.
+
+    The ids that fees mention are far fewer than the transactions, so they go
+    first: each once, however many fees share it, and broadcast where Spark
+    measures them small enough. What remains of the transactions is a distinct
+    list of known ids, and Spark drops both joins when nobody reads the flag.
 
     Fees without any transaction id must not meet in one shuffle partition, so
     they are spread by fee id and kept from matching by the second condition.
     """
-    probe = transactions.select(F.col("transaction_id").alias("_known_id"))
     linked = F.col("transaction_id")
-    spread_key = F.coalesce(linked, F.col("fee_id"))
+    mentioned = fees.where(linked.isNotNull()).select("transaction_id").distinct()
+    known = (
+        transactions.select("transaction_id")
+        .join(mentioned, "transaction_id", "left_semi")
+        .distinct()
+        .withColumnRenamed("transaction_id", "_known_id")
+    )
+    matches = (F.coalesce(linked, F.col("fee_id")) == F.col("_known_id")) & linked.isNotNull()
     return (
-        fees.join(probe, (spread_key == F.col("_known_id")) & linked.isNotNull(), "left")
+        fees.join(known, matches, "left")
         .withColumn("is_standalone_fee", F.col("_known_id").isNull())
         .drop("_known_id")
     )
 
 
 def decode_fees(fees: DataFrame, transactions: DataFrame) -> DataFrame:
-    kind, day = F.col("fee_type_code"), F.col("fee_date")
-    return flag_standalone_fees(fees, transactions).withColumns(
-        {
-            "fee_type": X.label("fee_type_code", codes.FEE_TYPES),
-            "is_retail_fee": kind.isin(*codes.RETAIL_FEES),
-            "is_commercial_fee": kind.isin(*codes.COMMERCIAL_FEES),
-            "fee_month": X.month_start(day),
-            "fee_year": F.year(day),
-            "fee_month_num": F.month(day),
-        }
-    )
+    return flag_standalone_fees(label_fees(fees), transactions)

@@ -41,7 +41,7 @@ def roll_up_branches(branch_performance: DataFrame, *keys: str) -> DataFrame:
     """Branch figures added up; averages are plain means over the branches that have one."""
     return branch_performance.groupBy(*keys).agg(
         *[F.sum(name).alias(name) for name in _COUNTS],
-        *[X.total(F.col(name)).alias(name) for name in _AMOUNTS],
+        *[F.sum(name).cast(X.MONEY_TOTAL).alias(name) for name in _AMOUNTS],
         *[F.avg(name).alias(name) for name in ("avg_account_balance", "avg_transaction_amount")],
         *[
             X.percent(F.sum(f"digital_count_{name}_def"), F.sum("total_transaction_count")).alias(

@@ -22,7 +22,7 @@ def metric_fee_revenue(
     """Each division earns only from its own fee types."""
     own = _per_division(F.col("is_retail_fee"), F.col("is_commercial_fee"))
     return fee_revenue.groupBy(*by).agg(
-        X.total(F.col("total_fee_revenue"), own).alias("fee_revenue")
+        X.summed(F.col("total_fee_revenue"), own).cast(X.MONEY_TOTAL).alias("fee_revenue")
     )
 
 
@@ -45,7 +45,9 @@ def metric_transaction_volume(
     """Retail counts settled money, commercial settled and pending."""
     settled, pending = F.col("settled_volume"), F.col("pending_volume")
     volume = _per_division(settled, settled + pending)
-    return daily_transactions.groupBy(*by).agg(X.total(volume).alias("transaction_volume"))
+    return daily_transactions.groupBy(*by).agg(
+        F.sum(volume).cast(X.MONEY_TOTAL).alias("transaction_volume")
+    )
 
 
 def _customers_by_division(customers: DataFrame) -> DataFrame:

@@ -33,8 +33,40 @@ PUBLISHED = {
     "fct_branch_performance": "fct_branch_performance",
     "fct_division_performance": "fct_division_performance",
 }
-# Working tables: the ledgers with the owner and place of their account.
+# Working tables: the ledgers cut to what branch, channel, daily and fee facts read,
+# with the place of the account. They exist so that the join runs once for all facts.
 WORKING = ("placed_transactions", "placed_fees")
+_PLACE = ("branch_code", "division_code", "division_name")
+_TRANSACTION_FACTS = (
+    "transaction_date",
+    "transaction_month",
+    "transaction_year",
+    "transaction_month_num",
+    "transaction_day_of_week",
+    "transaction_amount",
+    "signed_amount",
+    "transaction_type_code",
+    "transaction_channel_code",
+    "channel",
+    "is_settled",
+    "is_pending",
+    "is_returned",
+    "is_digital_retail",
+    "is_digital_commercial",
+    "is_wire",
+    "settlement_lag_days",
+)
+_FEE_FACTS = (
+    "fee_month",
+    "fee_year",
+    "fee_month_num",
+    "fee_type_code",
+    "fee_type",
+    "fee_amount",
+    "is_retail_fee",
+    "is_commercial_fee",
+    "is_standalone_fee",
+)
 
 Keep = Callable[[str, DataFrame], DataFrame]
 
@@ -101,11 +133,13 @@ class FinanceModels:
 
     @_table
     def placed_transactions(self):
-        return attach_account(self.int_transactions_decoded, self.int_acct_cust_bridge)
+        facts = attach_account(self.int_transactions_decoded, self.int_acct_cust_bridge)
+        return facts.select(*_TRANSACTION_FACTS, *_PLACE)
 
     @_table
     def placed_fees(self):
-        return attach_account(self.int_fees_decoded, self.int_acct_cust_bridge)
+        facts = attach_account(self.int_fees_decoded, self.int_acct_cust_bridge)
+        return facts.select(*_FEE_FACTS, *_PLACE)
 
     @_table
     def fct_account_summary(self):
@@ -121,8 +155,8 @@ class FinanceModels:
         return customers.customer_360(
             self.int_customers_decoded,
             self.int_acct_cust_bridge,
-            self.placed_transactions,
-            self.placed_fees,
+            self.int_transactions_decoded,
+            self.int_fees_decoded,
             self.as_of,
         )
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom import session
 from ledgerloom.functions import codes
 from ledgerloom.operators import accounts, branches, customers, divisions, metrics, quality
-from ledgerloom.operators.bridge import branch_places
+from ledgerloom.operators.bridge import attach_account, branch_places
 from ledgerloom.operators.decode import flag_standalone_fees
 from ledgerloom.plans.models import PUBLISHED, WORKING, FinanceModels
 from ledgerloom.sources.scratch import scratch_folder
@@ -94,6 +94,10 @@ def _standalone_flags(m: FinanceModels) -> DataFrame:
     )
 
 
+def _owned_transactions(m: FinanceModels) -> DataFrame:
+    return attach_account(m.int_transactions_decoded, m.int_acct_cust_bridge)
+
+
 _DAY = ("transaction_date", "division_code")
 _STATUS = ("settled", "pending", "returned")
 
@@ -104,8 +108,7 @@ PLANS: dict[str, Plan] = {
     # tables
     **{name: _columns(name, "*") for name in PUBLISHED if name not in WORKING},
     # joins
-    "join_txn_bridge": _columns(
-        "placed_transactions",
+    "join_txn_bridge": lambda m: _owned_transactions(m).select(
         "transaction_id",
         "customer_id",
         "branch_code",
@@ -119,8 +122,7 @@ PLANS: dict[str, Plan] = {
         "is_digital_retail",
         "is_digital_commercial",
     ),
-    "join_fee_bridge": _columns(
-        "placed_fees",
+    "join_fee_bridge": lambda m: attach_account(m.int_fees_decoded, m.int_acct_cust_bridge).select(
         "fee_id",
         "customer_id",
         "division_code",
@@ -152,9 +154,11 @@ PLANS: dict[str, Plan] = {
         m.int_acct_cust_bridge
     ),
     "agg_customer_txn_stats": lambda m: customers.customer_transaction_stats(
-        m.placed_transactions, m.as_of
+        m.int_transactions_decoded, m.int_acct_cust_bridge, m.as_of
+    ),
+    "agg_customer_fee_stats": lambda m: customers.customer_fee_stats(
+        m.int_fees_decoded, m.int_acct_cust_bridge
     ),
-    "agg_customer_fee_stats": lambda m: customers.customer_fee_stats(m.placed_fees),
     "agg_branch_account_metrics": lambda m: branches.branch_account_metrics(
         m.int_acct_cust_bridge
     ),
@@ -174,7 +178,7 @@ PLANS: dict[str, Plan] = {
         "total_credit_volume",
     ),
     "agg_recency_windows": lambda m: customers.recency_windows(
-        m.placed_transactions, ["customer_id"], m.as_of
+        _owned_transactions(m), m.as_of
     ),
     "agg_pivot_fee_types": lambda m: branches.branch_fee_metrics(m.placed_fees).select(
         "branch_code", "report_month", *codes.FEE_TYPE_REVENUES.values()
@@ -188,7 +192,7 @@ PLANS: dict[str, Plan] = {
     "agg_pivot_account_types": lambda m: customers.customer_account_stats(
         m.int_acct_cust_bridge
     ).select("customer_id", *codes.ACCOUNT_TYPE_COUNTS.values()),
-    "agg_preferred_channel": lambda m: customers.preferred_channels(m.placed_transactions),
+    "agg_preferred_channel": lambda m: customers.preferred_channels(_owned_transactions(m)),
     "agg_distinct_customers": lambda m: branches.branch_account_metrics(
         m.int_acct_cust_bridge
     ).select(
