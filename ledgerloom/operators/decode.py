@@ -111,7 +111,10 @@ def flag_standalone_fees(fees: DataFrame, transactions: DataFrame) -> DataFrame:
     list of known ids, and Spark drops both joins when nobody reads the flag.
 
     Fees without any transaction id must not meet in one shuffle partition, so
-    they are spread by fee id and kept from matching by the second condition.
+    they are spread by fee id and kept from matching by the last condition. A
+    transaction that very many fees mention is split by Spark's skew handling,
+    which wants both sides of a join to come straight from a shuffle: the hash
+    as second key makes it shuffle the known ids once more.
     """
     linked = F.col("transaction_id")
     mentioned = fees.where(linked.isNotNull()).select("transaction_id").distinct()
@@ -119,13 +122,21 @@ def flag_standalone_fees(fees: DataFrame, transactions: DataFrame) -> DataFrame:
         transactions.select("transaction_id")
         .join(mentioned, "transaction_id", "left_semi")
         .distinct()
-        .withColumnRenamed("transaction_id", "_known_id")
+        .select(
+            F.col("transaction_id").alias("_known_id"),
+            F.xxhash64("transaction_id").alias("_known_hash"),
+        )
+    )
+    key = F.coalesce(linked, F.col("fee_id"))
+    matches = (
+        (key == F.col("_known_id"))
+        & (F.xxhash64(key) == F.col("_known_hash"))
+        & linked.isNotNull()
     )
-    matches = (F.coalesce(linked, F.col("fee_id")) == F.col("_known_id")) & linked.isNotNull()
     return (
         fees.join(known, matches, "left")
         .withColumn("is_standalone_fee", F.col("_known_id").isNull())
-        .drop("_known_id")
+        .drop("_known_id", "_known_hash")
     )
 
 

@@ -2,31 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ledgerloom import session
 from ledgerloom.functions.expressions import AsOf
 from ledgerloom.operators import quality
 from ledgerloom.plans.models import PUBLISHED, FinanceModels
-from ledgerloom.sources.tables import RawTables, TableSink
+from ledgerloom.sources.tables import RawTables, TableSink, publish_view
 
 
 @dataclass(frozen=True)
 class Refreshed:
-    """Scans of the stored tables, by published name, and the check report."""
+    """Scans of the published tables, by name, and the check report, not yet run."""
 
     tables: dict[str, DataFrame]
     checks: DataFrame
 
 
-def refresh(raw: RawTables, sink: TableSink, as_of: AsOf = None) -> Refreshed:
+def refresh(
+    raw: RawTables, sink: TableSink, as_of: AsOf = None, views: Collection[str] = ()
+) -> Refreshed:
     """Compute and store all tables, each reading the stored ones before it.
 
     Storing each layer means a lost executor never recomputes more than one
     table, and the join of the ledgers with their accounts runs once for the
-    four facts that need it.
+    facts that need it. Names in `views` become session views instead: with
+    very large ledgers, leaving the staging layer unstored saves a full copy.
     """
-    models = FinanceModels(raw, as_of, keep=sink.publish)
+
+    session.tune(raw.transactions.sparkSession)
+
+    def keep(name: str, table: DataFrame) -> DataFrame:
+        return publish_view(name, table) if name in views else sink.publish(name, table)
+
+    models = FinanceModels(raw, as_of, keep)
     tables = {name: getattr(models, attribute) for attribute, name in PUBLISHED.items()}
     return Refreshed(tables, quality.report(models.checked_tables()))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,9 +22,6 @@ class RawTables:
     branches: DataFrame
     divisions: DataFrame
 
-    def items(self):
-        return [(field.name, getattr(self, field.name)) for field in fields(self)]
-
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """Typed CSV scan: no inference pass, and a malformed row stops the load."""
@@ -87,11 +84,9 @@ class TableSink:
         if not (self.path or self.namespace):
             raise ValueError("a sink needs a path or a namespace")
 
-    def publish(self, name: str, table: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def publish(self, name: str, table: DataFrame) -> DataFrame:
         spark = table.sparkSession
         writer = table.write.format(self.fmt).mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
         if self.namespace:
             if self.path:
                 writer = writer.option("path", f"{self.path}/{name}")
