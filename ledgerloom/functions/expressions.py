@@ -27,9 +27,11 @@ def as_of_date(as_of: AsOf = None) -> Column:
 
 def label(code: str, labels: Mapping[str, str]) -> Column:
     """Label of a code; an unknown or missing code has none."""
-    column = F.lit(None).cast("string")
-    for key in reversed(labels):
-        column = F.when(F.col(code) == key, labels[key]).otherwise(column)
+    pairs = iter(labels.items())
+    key, text = next(pairs)
+    column = F.when(F.col(code) == key, text)
+    for key, text in pairs:
+        column = column.when(F.col(code) == key, text)
     return column
 
 
@@ -75,6 +77,36 @@ def month_start(day: Column) -> Column:
     return F.trunc(day, "month")
 
 
+def calendar(day: str, prefix: str) -> dict[str, Column]:
+    """Month, year and month number that a date falls into."""
+    return {
+        f"{prefix}_month": month_start(F.col(day)),
+        f"{prefix}_year": F.year(day),
+        f"{prefix}_month_num": F.month(day),
+    }
+
+
+def channel_attributes() -> dict[str, Column]:
+    """What follows from the channel of a transaction."""
+    code = F.col("transaction_channel_code")
+    return {
+        "channel": label("transaction_channel_code", codes.CHANNELS),
+        "is_digital_retail": code.isin(*codes.RETAIL_DIGITAL_CHANNELS),
+        "is_digital_commercial": code.isin(*codes.COMMERCIAL_DIGITAL_CHANNELS),
+        "is_wire": code == "WIRE",
+    }
+
+
+def fee_type_attributes() -> dict[str, Column]:
+    """What follows from the type of a fee."""
+    code = F.col("fee_type_code")
+    return {
+        "fee_type": label("fee_type_code", codes.FEE_TYPES),
+        "is_retail_fee": code.isin(*codes.RETAIL_FEES),
+        "is_commercial_fee": code.isin(*codes.COMMERCIAL_FEES),
+    }
+
+
 def dormant(days_since: Column) -> Column:
     """Idle for too long, or never used."""
     return F.coalesce(days_since > codes.DORMANT_AFTER_DAYS, F.lit(True))

@@ -1,7 +1,8 @@
 """Fee, channel and daily facts. All read ledgers that know their account.
 
 Few groups, many rows: partial aggregation shrinks every task to its groups
-before the shuffle, so no group can grow hot.
+before the shuffle, so no group can grow hot. Rows are grouped by codes and
+dates alone; labels and flags that follow from them are added to the groups.
 """
 
 from pyspark.sql import DataFrame
@@ -17,17 +18,7 @@ def fee_revenue(placed_fees: DataFrame) -> DataFrame:
     standalone = F.col("is_standalone_fee")
     return (
         placed_fees.withColumn("cents", X.cents("fee_amount"))
-        .groupBy(
-            "fee_month",
-            "fee_year",
-            "fee_month_num",
-            "fee_type_code",
-            "fee_type",
-            "division_code",
-            "division_name",
-            "is_retail_fee",
-            "is_commercial_fee",
-        )
+        .groupBy("fee_month", "fee_type_code", "division_code", "division_name")
         .agg(
             X.rows().alias("fee_count"),
             X.total(cents).alias("total_fee_revenue"),
@@ -39,6 +30,7 @@ def fee_revenue(placed_fees: DataFrame) -> DataFrame:
             X.total(cents, standalone).alias("standalone_fee_revenue"),
             X.total(cents, ~standalone).alias("transaction_linked_fee_revenue"),
         )
+        .withColumns({**X.fee_type_attributes(), **X.calendar("fee_month", "fee")})
     )
 
 
@@ -48,16 +40,7 @@ def channel_mix(placed_transactions: DataFrame) -> DataFrame:
     grouped = (
         placed_transactions.withColumn("cents", X.cents("transaction_amount"))
         .groupBy(
-            "transaction_month",
-            "transaction_year",
-            "transaction_month_num",
-            "transaction_channel_code",
-            "channel",
-            "division_code",
-            "division_name",
-            "is_digital_retail",
-            "is_digital_commercial",
-            "is_wire",
+            "transaction_month", "transaction_channel_code", "division_code", "division_name"
         )
         .agg(
             X.rows().alias("transaction_count"),
@@ -72,8 +55,12 @@ def channel_mix(placed_transactions: DataFrame) -> DataFrame:
     )
     return grouped.withColumns(
         {
-            f"{status}_pct": X.percent(F.col(f"{status}_count"), F.col("transaction_count"))
-            for status in ("settled", "pending", "returned")
+            **X.channel_attributes(),
+            **X.calendar("transaction_month", "transaction"),
+            **{
+                f"{status}_pct": X.percent(F.col(f"{status}_count"), F.col("transaction_count"))
+                for status in ("settled", "pending", "returned")
+            },
         }
     )
 
@@ -95,15 +82,7 @@ def daily_transactions(placed_transactions: DataFrame) -> DataFrame:
         placed_transactions.withColumns(
             {"cents": X.cents("transaction_amount"), "signed_cents": X.cents("signed_amount")}
         )
-        .groupBy(
-            "transaction_date",
-            "transaction_month",
-            "transaction_year",
-            "transaction_month_num",
-            "transaction_day_of_week",
-            "division_code",
-            "division_name",
-        )
+        .groupBy("transaction_date", "division_code", "division_name")
         .agg(
             X.rows().alias("total_transaction_count"),
             X.total(cents).alias("total_volume"),
@@ -122,4 +101,10 @@ def daily_transactions(placed_transactions: DataFrame) -> DataFrame:
             X.mean(lag).alias("avg_settlement_lag_days"),
             F.max(lag).alias("max_settlement_lag_days"),
         )
+        .withColumns(
+            {
+                **X.calendar("transaction_date", "transaction"),
+                "transaction_day_of_week": F.dayofweek("transaction_date"),
+            }
+        )
     )

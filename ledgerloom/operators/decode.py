@@ -60,15 +60,10 @@ def decode_customers(customers: DataFrame, as_of: X.AsOf = None) -> DataFrame:
 
 
 def decode_transactions(transactions: DataFrame) -> DataFrame:
-    day, status, channel = (
-        F.col("transaction_date"),
-        F.col("settlement_status"),
-        F.col("transaction_channel_code"),
-    )
+    day, status = F.col("transaction_date"), F.col("settlement_status")
     return transactions.withColumns(
         {
             "transaction_type": X.label("transaction_type_code", codes.TRANSACTION_TYPES),
-            "channel": X.label("transaction_channel_code", codes.CHANNELS),
             "transaction_status": X.label("settlement_status", codes.SETTLEMENT_STATUSES),
             "signed_amount": X.signed_amount(
                 F.col("transaction_amount"), F.col("transaction_indicator")
@@ -76,30 +71,16 @@ def decode_transactions(transactions: DataFrame) -> DataFrame:
             "is_settled": status == "S",
             "is_pending": status == "P",
             "is_returned": status == "R",
-            "is_digital_retail": channel.isin(*codes.RETAIL_DIGITAL_CHANNELS),
-            "is_digital_commercial": channel.isin(*codes.COMMERCIAL_DIGITAL_CHANNELS),
-            "is_wire": channel == "WIRE",
+            **X.channel_attributes(),
             "settlement_lag_days": X.days_between(F.col("posting_date"), day),
-            "transaction_month": X.month_start(day),
-            "transaction_year": F.year(day),
-            "transaction_month_num": F.month(day),
+            **X.calendar("transaction_date", "transaction"),
             "transaction_day_of_week": F.dayofweek(day),
         }
     )
 
 
 def label_fees(fees: DataFrame) -> DataFrame:
-    kind, day = F.col("fee_type_code"), F.col("fee_date")
-    return fees.withColumns(
-        {
-            "fee_type": X.label("fee_type_code", codes.FEE_TYPES),
-            "is_retail_fee": kind.isin(*codes.RETAIL_FEES),
-            "is_commercial_fee": kind.isin(*codes.COMMERCIAL_FEES),
-            "fee_month": X.month_start(day),
-            "fee_year": F.year(day),
-            "fee_month_num": F.month(day),
-        }
-    )
+    return fees.withColumns({**X.fee_type_attributes(), **X.calendar("fee_date", "fee")})
 
 
 def flag_standalone_fees(fees: DataFrame, transactions: DataFrame) -> DataFrame:

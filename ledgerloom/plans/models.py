@@ -40,33 +40,18 @@ _PLACE = ("branch_code", "division_code", "division_name")
 _TRANSACTION_FACTS = (
     "transaction_date",
     "transaction_month",
-    "transaction_year",
-    "transaction_month_num",
-    "transaction_day_of_week",
     "transaction_amount",
     "signed_amount",
     "transaction_type_code",
     "transaction_channel_code",
-    "channel",
     "is_settled",
     "is_pending",
     "is_returned",
     "is_digital_retail",
     "is_digital_commercial",
-    "is_wire",
     "settlement_lag_days",
 )
-_FEE_FACTS = (
-    "fee_month",
-    "fee_year",
-    "fee_month_num",
-    "fee_type_code",
-    "fee_type",
-    "fee_amount",
-    "is_retail_fee",
-    "is_commercial_fee",
-    "is_standalone_fee",
-)
+_FEE_FACTS = ("fee_month", "fee_type_code", "fee_amount", "is_standalone_fee")
 
 Keep = Callable[[str, DataFrame], DataFrame]
 

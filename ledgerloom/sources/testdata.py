@@ -16,6 +16,17 @@ from ledgerloom.sources.tables import RawTables
 AS_OF = "2001-06-30"
 MONEY = "decimal(18,2)"
 
+# Columns read, so that opening a table needs no look into its files.
+_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string,"
+    " o_totalprice double, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+}
+
 
 def _pick(index: Column, values) -> Column:
     """The value at a zero-based position."""
@@ -155,7 +166,7 @@ def bank_tables(spark: SparkSession, folder: str) -> RawTables:
     """The six inputs over `<folder>/{nation,customer,orders,lineitem}.parquet`."""
 
     def scan(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+        return spark.read.schema(_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
     nation, customer, lineitem = scan("nation"), scan("customer"), scan("lineitem")
     return RawTables(
