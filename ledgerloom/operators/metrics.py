@@ -80,6 +80,15 @@ def metric_active_customers(
     )
 
 
+def metric_mom_fee_revenue_delta(
+    division_performance: DataFrame, by: tuple[str, ...] = ("division_code", "report_month")
+) -> DataFrame:
+    """Change of fee revenue to the month before."""
+    return division_performance.groupBy(*by).agg(
+        F.sum("mom_fee_revenue_delta").cast(X.MONEY_TOTAL).alias("mom_fee_revenue_delta")
+    )
+
+
 def metric_kyc_alerts(customers: DataFrame) -> DataFrame:
     """Customers whose identity checks are incomplete."""
     return (
@@ -100,3 +109,15 @@ def metric_kyc_alerts(customers: DataFrame) -> DataFrame:
 def metric_region_rollup(branch_performance: DataFrame) -> DataFrame:
     """Branch figures by region and report month."""
     return roll_up_branches(branch_performance, "report_month", "region_code", "region_name")
+
+
+# Metrics by name, with the table each one is computed from.
+METRICS = {
+    "fee_revenue": (metric_fee_revenue, "fct_fees_revenue"),
+    "digital_adoption_rate": (metric_digital_adoption_rate, "fct_channel_agg"),
+    "transaction_volume": (metric_transaction_volume, "fct_daily_transactions"),
+    "high_risk_customer_count": (metric_high_risk_customers, "int_customers_decoded"),
+    "new_customer_count": (metric_new_customers, "int_customers_decoded"),
+    "active_customer_count": (metric_active_customers, "int_customers_decoded"),
+    "mom_fee_revenue_delta": (metric_mom_fee_revenue_delta, "fct_division_performance"),
+}

@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from ledgerloom.functions.expressions import AsOf
-from ledgerloom.operators import accounts, activity, branches, customers, decode, divisions, staging
+from ledgerloom.operators import (
+    accounts,
+    activity,
+    branches,
+    customers,
+    decode,
+    divisions,
+    metrics,
+    staging,
+)
 from ledgerloom.operators.bridge import account_customer_bridge, attach_account
 from ledgerloom.sources.tables import RawTables
 
@@ -170,6 +179,12 @@ class FinanceModels:
     def fct_division_performance(self):
         return divisions.division_performance(self.fct_branch_performance)
 
+    def metric(self, name: str, by: Sequence[str] | None = None) -> DataFrame:
+        """A metric by name, at its usual grain or by other columns of its table."""
+        compute, table = metrics.METRICS[name]
+        source = getattr(self, table)
+        return compute(source) if by is None else compute(source, tuple(by))
+
     def checked_tables(self) -> dict[str, DataFrame]:
         """Every table a data check may name."""
         raw = self.raw

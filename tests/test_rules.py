@@ -309,8 +309,17 @@ def test_accounts_active_at_month_end(models):
     assert len(found) == 18
 
 
+@pytest.mark.parametrize("name", sorted(metrics.METRICS))
+def test_metric_by_name(models, name):
+    usual = models.metric(name)
+    assert name in usual.columns
+    per_division = models.metric(name, by=["division_code"])
+    assert per_division.columns == ["division_code", name]
+    assert per_division.count() <= usual.count()
+
+
 def test_metrics_follow_each_division(models):
-    revenue = metrics.metric_fee_revenue(models.fct_fees_revenue, by=("division_code",)).collect()
+    revenue = models.metric("fee_revenue", by=("division_code",)).collect()
     # retail earns MAINT and OD but not WIRE or GIFT, commercial earns SVC
     assert {r.division_code: r.fee_revenue for r in revenue} == {
         "RB": D("12.50"),
