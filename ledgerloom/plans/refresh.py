@@ -23,7 +23,11 @@ class Refreshed:
 
 
 def refresh(
-    raw: RawTables, sink: TableSink, as_of: AsOf = None, views: Collection[str] = ()
+    raw: RawTables,
+    sink: TableSink,
+    as_of: AsOf = None,
+    views: Collection[str] = (),
+    shuffled_bytes: int | None = None,
 ) -> Refreshed:
     """Compute and store all tables, each reading the stored ones before it.
 
@@ -31,9 +35,9 @@ def refresh(
     table, and the join of the ledgers with their accounts runs once for the
     facts that need it. Names in `views` become session views instead: with
     very large ledgers, leaving the staging layer unstored saves a full copy.
+    `shuffled_bytes`, about the size of the transactions, sizes the shuffles.
     """
-
-    session.tune(raw.transactions.sparkSession)
+    session.tune(raw.transactions.sparkSession, shuffled_bytes)
 
     def keep(name: str, table: DataFrame) -> DataFrame:
         return publish_view(name, table) if name in views else sink.publish(name, table)

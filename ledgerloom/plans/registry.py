@@ -22,7 +22,9 @@ Plan = Callable[[FinanceModels], DataFrame]
 
 
 def finance_models(spark: SparkSession, folder: str) -> FinanceModels:
-    return FinanceModels(bank_tables(session.tune(spark), folder), AS_OF)
+    raw = bank_tables(spark, folder)
+    session.tune(spark, session.scan_bytes(raw.transactions))
+    return FinanceModels(raw, AS_OF)
 
 
 def _columns(table: str, *names: str) -> Plan:

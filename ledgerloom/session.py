@@ -1,6 +1,6 @@
 """Session settings the operators are planned for."""
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Every one is a runtime setting, so an existing session can take them.
 SETTINGS = {
@@ -17,23 +17,35 @@ SETTINGS = {
     # Sums that do not fit their type fail instead of wrapping around.
     "spark.sql.ansi.enabled": "true",
 }
-TASK_BYTES = 128 * 1024 * 1024
+TASK_BYTES = 128 * 2**20
+MOST_PARTITIONS = 32_000
+LARGE_INPUT = 2**40
 
 
 def tune(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession:
     """Apply the settings; with the bytes of the largest shuffle, size its tasks too.
 
-    Partitions start at about 128 MB each, so none outgrows an executor, and
-    adaptive execution merges those that turn out small.
+    Partitions start at about 128 MB each, and adaptive execution merges those
+    that turn out small. From some terabytes on their size grows instead of
+    their number, and scan tasks read more each, since the driver keeps track of
+    every pair of map task and partition; such partitions sort and spill.
     """
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
     if shuffled_bytes:
-        wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shuffled_bytes // TASK_BYTES)
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+        present = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = min(shuffled_bytes // TASK_BYTES, MOST_PARTITIONS)
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(present, wanted)))
+        if shuffled_bytes >= LARGE_INPUT:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(4 * TASK_BYTES))
     return spark
 
 
+def scan_bytes(table: DataFrame) -> int:
+    """Spark's estimate for a plain scan, taken from the length of its files."""
+    return int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
     """Single-machine session for tests and the benchmark."""
     spark = (

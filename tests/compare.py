@@ -36,9 +36,11 @@ def differences(result: DataFrame, connection: duckdb.DuckDBPyConnection, sql: s
         if types[name] != found[name]:
             problems.append(f"{name}: {found[name]} is not {types[name]}")
     names = sorted(types)
-    left = Counter(tuple(row) for row in result.select(*names).collect())
+    # the written form tells 1.5 from 1.50 and 0.0 from -0.0
+    left = Counter(repr(tuple(row)) for row in result.select(*names).collect())
     right = Counter(
-        expected.select(*[duckdb.ColumnExpression(n) for n in names]).fetchall()
+        repr(row)
+        for row in expected.select(*[duckdb.ColumnExpression(n) for n in names]).fetchall()
     )
     if left != right:
         extra, missing = left - right, right - left
