@@ -21,7 +21,7 @@ from ledgerloom.operators import (
 from ledgerloom.operators.bridge import account_customer_bridge, attach_account
 from ledgerloom.sources.tables import RawTables
 
-# Published name of each table, in an order that respects what each one reads.
+# Published name of each table.
 PUBLISHED = {
     "stg_accounts": "stg_finance__accounts",
     "stg_customers": "stg_finance__customers",
@@ -42,6 +42,27 @@ PUBLISHED = {
     "fct_branch_performance": "fct_branch_performance",
     "fct_division_performance": "fct_division_performance",
 }
+# Each layer reads only the layers before it.
+LAYERS = (
+    ("stg_accounts", "stg_customers", "stg_fees", "stg_transactions"),
+    (
+        "int_accounts_decoded",
+        "int_customers_decoded",
+        "int_transactions_decoded",
+        "int_fees_decoded",
+    ),
+    ("int_acct_cust_bridge",),
+    ("placed_transactions", "placed_fees"),
+    (
+        "fct_account_summary",
+        "fct_customer_360",
+        "fct_fees_revenue",
+        "fct_channel_agg",
+        "fct_daily_transactions",
+        "fct_branch_performance",
+    ),
+    ("fct_division_performance",),
+)
 # Working tables: the ledgers cut to what branch, channel, daily and fee facts read,
 # with the place of the account. They exist so that the join runs once for all facts.
 WORKING = ("placed_transactions", "placed_fees")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Collection
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame
 from ledgerloom import session
 from ledgerloom.functions.expressions import AsOf
 from ledgerloom.operators import quality
-from ledgerloom.plans.models import PUBLISHED, FinanceModels
+from ledgerloom.plans.models import LAYERS, PUBLISHED, FinanceModels
 from ledgerloom.sources.tables import RawTables, TableSink, publish_view
 
 
@@ -33,7 +34,8 @@ def refresh(
 
     Storing each layer means a lost executor never recomputes more than one
     table, and the join of the ledgers with their accounts runs once for the
-    facts that need it. Names in `views` become session views instead: with
+    facts that need it. Tables of a layer are stored side by side, so that the
+    last tasks of one leave no executor idle. Names in `views` become session views instead: with
     very large ledgers, leaving the staging layer unstored saves a full copy.
     `shuffled_bytes`, about the size of the transactions, sizes the shuffles.
     """
@@ -43,5 +45,9 @@ def refresh(
         return publish_view(name, table) if name in views else sink.publish(name, table)
 
     models = FinanceModels(raw, as_of, keep)
-    tables = {name: getattr(models, attribute) for attribute, name in PUBLISHED.items()}
+    tables = {}
+    for layer in LAYERS:
+        with ThreadPoolExecutor(len(layer)) as pool:
+            stored = pool.map(lambda attribute: getattr(models, attribute), layer)
+            tables |= zip([PUBLISHED[attribute] for attribute in layer], stored)
     return Refreshed(tables, quality.report(models.checked_tables()))
