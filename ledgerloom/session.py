@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Every one is a runtime setting, so an existing session can take them.
 SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.sources import schemas, seeds
 
-_CSV = {"header": "true", "mode": "FAILFAST"}
+# A header that differs from the schema stops the load, as columns go by position.
+_CSV = {"header": "true", "enforceSchema": "false", "mode": "FAILFAST"}
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,7 @@ class TableSink:
 
     With `path` alone, tables are folders below it. With `namespace` (one or two
     parts, such as `workspace.finance`) they are catalog tables, stored below
-    `path` if that is given too.
+    `path` if that is given too. A missing namespace is created.
     """
 
     fmt: str = "parquet"
@@ -88,6 +89,8 @@ class TableSink:
         spark = table.sparkSession
         writer = table.write.format(self.fmt).mode("overwrite")
         if self.namespace:
+            place = f" LOCATION '{self.path}'" if self.path else ""
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.namespace}{place}")
             if self.path:
                 writer = writer.option("path", f"{self.path}/{name}")
             writer.saveAsTable(f"{self.namespace}.{name}")

@@ -39,13 +39,15 @@ def test_refresh_replaces_and_views_store_nothing(spark, tmp_path):
     assert (tmp_path / "fct_customer_360").exists()
 
 
-def test_catalog_sink(spark, tmp_path):
-    sink = TableSink(path=str(tmp_path), namespace="default")
+@pytest.mark.parametrize("namespace", ["default", "ledgerloom_check"])
+def test_catalog_sink(spark, tmp_path, namespace):
+    sink = TableSink(path=str(tmp_path), namespace=namespace)
     table = FinanceModels(hand_made(spark), AS_OF).stg_fees
     for _ in range(2):
         back = sink.publish("ledgerloom_sink_check", table)
     assert rows(back) == rows(table)
-    assert rows(spark.table("default.ledgerloom_sink_check")) == rows(table)
+    assert rows(spark.table(f"{namespace}.ledgerloom_sink_check")) == rows(table)
+    assert (tmp_path / "ledgerloom_sink_check").exists()
 
 
 def test_sink_needs_a_target():
@@ -89,6 +91,15 @@ def test_load_stops_on_a_malformed_row(spark, tmp_path):
         loaded.divisions.collect()
 
 
+def test_load_stops_on_columns_in_another_order(spark, tmp_path):
+    for name, schema in {**schemas.LEDGERS, **schemas.REFERENCE_LISTS}.items():
+        header = ",".join(reversed([field.name for field in schema]))
+        (tmp_path / f"{name}.csv").write_text(f"{header}\nRB,CB\n")
+    loaded = load(spark, str(tmp_path), reference_location=str(tmp_path))
+    with pytest.raises(Exception, match="header"):
+        loaded.divisions.collect()
+
+
 def test_load_parquet_and_tables(spark, tmp_path):
     raw = hand_made(spark)
     ledgers = {

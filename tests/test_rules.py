@@ -5,6 +5,7 @@ from decimal import Decimal as D
 
 import pytest
 from bank import AS_OF, hand_made
+from pyspark.sql import functions as F
 
 from ledgerloom.operators import branches, metrics
 from ledgerloom.plans.models import FinanceModels
@@ -69,6 +70,16 @@ def test_ages_count_completed_periods(models):
     assert found["6"] == (0, 0)
 
 
+@pytest.mark.parametrize("as_of", [None, "2024-12-31", d(2024, 12, 31)])
+def test_reporting_day_is_today_or_as_given(spark, as_of):
+    models = FinanceModels(hand_made(spark), as_of)
+    today = spark.range(1).select(F.current_date()).first()[0] if as_of is None else d(2024, 12, 31)
+    ages = by_key(models.int_accounts_decoded, "account_id", "account_age_days")
+    assert ages["1"] == (today - d(2023, 1, 15)).days
+    idle = by_key(models.fct_account_summary, "account_id", "days_since_last_transaction")
+    assert idle["1"] == (today - d(2024, 12, 1)).days
+
+
 def test_age_buckets_have_no_lower_bound_and_take_unknown_ages_last(models):
     found = by_key(models.int_customers_decoded, "customer_id", "customer_age", "age_bucket")
     assert found == {
