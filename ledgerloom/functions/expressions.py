@@ -27,12 +27,8 @@ def as_of_date(as_of: AsOf = None) -> Column:
 
 def label(code: str, labels: Mapping[str, str]) -> Column:
     """Label of a code; an unknown or missing code has none."""
-    pairs = iter(labels.items())
-    key, text = next(pairs)
-    column = F.when(F.col(code) == key, text)
-    for key, text in pairs:
-        column = column.when(F.col(code) == key, text)
-    return column
+    cases = " ".join(f"WHEN '{key}' THEN '{text}'" for key, text in labels.items())
+    return F.expr(f"CASE {code} {cases} END")
 
 
 def days_between(later: Column, earlier: Column) -> Column:

@@ -11,7 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Hash the smaller side instead of sorting both, but only where Spark has
     # measured every partition of that side at no more than this size.
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Sums that do not fit their type fail instead of wrapping around.
     "spark.sql.ansi.enabled": "true",
