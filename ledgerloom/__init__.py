@@ -1,7 +1,7 @@
 """Spark-native reporting tables, quality checks and metrics for a retail and commercial bank."""
 
 from ledgerloom.plans.models import FinanceModels
-from ledgerloom.plans.refresh import Refreshed, refresh
+from ledgerloom.plans.refresh import Refreshed, refresh, register_views
 from ledgerloom.sources.tables import RawTables, TableSink, load
 
-__all__ = ["FinanceModels", "RawTables", "Refreshed", "TableSink", "load", "refresh"]
+__all__ = ["FinanceModels", "RawTables", "Refreshed", "TableSink", "load", "refresh", "register_views"]

@@ -51,3 +51,11 @@ def refresh(
             stored = pool.map(lambda attribute: getattr(models, attribute), layer)
             tables |= zip([PUBLISHED[attribute] for attribute in layer], stored)
     return Refreshed(tables, quality.report(models.checked_tables()))
+
+
+def register_views(raw: RawTables, as_of: AsOf = None) -> FinanceModels:
+    """Offer every table to SQL under its published name; nothing is stored or run."""
+    models = FinanceModels(raw, as_of, publish_view)
+    for attribute in PUBLISHED:
+        getattr(models, attribute)
+    return models

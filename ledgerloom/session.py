@@ -9,18 +9,21 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key even where the split costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Hash the smaller side instead of sorting both, but only where Spark has
-    # measured every partition of that side at no more than this size.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Sums that do not fit their type fail instead of wrapping around.
     "spark.sql.ansi.enabled": "true",
 }
+# Hash the smaller side of a join instead of sorting both, where Spark has measured
+# every partition of that side at no more than this size. Unlike a sort, a hash
+# table cannot spill: only for executors with some gigabytes a core.
+HASH_JOINS = {"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB"}
 TASK_BYTES = 128 * 2**20
 MOST_PARTITIONS = 32_000
 LARGE_INPUT = 2**40
 
 
-def tune(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession:
+def tune(
+    spark: SparkSession, shuffled_bytes: int | None = None, hash_joins: bool = False
+) -> SparkSession:
     """Apply the settings; with the bytes of the largest shuffle, size its tasks too.
 
     Partitions start at about 128 MB each, and adaptive execution merges those
@@ -28,7 +31,7 @@ def tune(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession
     their number, and scan tasks read more each, since the driver keeps track of
     every pair of map task and partition; such partitions sort and spill.
     """
-    for name, value in SETTINGS.items():
+    for name, value in (SETTINGS | HASH_JOINS if hash_joins else SETTINGS).items():
         spark.conf.set(name, value)
     if shuffled_bytes:
         present = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -55,4 +58,4 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return tune(spark)
+    return tune(spark, hash_joins=True)

@@ -6,7 +6,7 @@ from types import SimpleNamespace
 import pytest
 from bank import AS_OF, hand_made
 
-from ledgerloom import FinanceModels, TableSink, load, refresh
+from ledgerloom import FinanceModels, TableSink, load, refresh, register_views
 from ledgerloom.plans.models import PUBLISHED
 from ledgerloom.sources import schemas
 from ledgerloom.sources.scratch import scratch_folder
@@ -50,6 +50,21 @@ def test_catalog_sink(spark, tmp_path, namespace):
     assert (tmp_path / "ledgerloom_sink_check").exists()
 
 
+def test_sql_over_registered_views(spark):
+    register_views(hand_made(spark), AS_OF)
+    found = spark.sql(
+        """SELECT region_name, sum(total_balance) AS balance
+        FROM fct_account_summary JOIN (
+          SELECT customer_id, total_balance FROM fct_customer_360
+        ) USING (customer_id)
+        WHERE is_dormant_account GROUP BY region_name ORDER BY region_name"""
+    ).collect()
+    assert [(r.region_name, str(r.balance)) for r in found] == [
+        ("Northeast", "0.00"),
+        ("Southeast", "0.00"),
+    ]
+
+
 def test_sink_needs_a_target():
     with pytest.raises(ValueError):
         TableSink()
