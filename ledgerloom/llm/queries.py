@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, urls
+from ledgerloom.llm import bpe, chat, language, packing, urls
+from ledgerloom.llm.stored import package_on_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +19,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def remainder(divisor: int) -> Column:
+    """What folds are told apart by: crc32 of doc_id as text, modulo `divisor`."""
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_bpe_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every document's ids and of the text they decode to."""
+    encoded = bpe.encode_texts(table(spark, folder, "documents"), BYTE_BPE)
+    written = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return bpe.decode_ids(encoded, BYTE_BPE).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(written, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages learned from three folds of four, predicted for all documents."""
+    documents = table(spark, folder, "documents")
+    learned = language.learn_dictionaries(documents.where(remainder(4) != 2))
+    found = documents.select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), language.language_of("text", learned).alias("found")
+    )
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.rejected")
+
+
 # Conversation -1 holds control strings as texts.
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -111,8 +144,35 @@ SELECT page_id, host, path, rule,
 FROM judged
 """
 
-QUERIES: dict[str, Query] = {
-    "op4_chat_formatting": op4_chat_formatting,
-    "op6_url_filter": op6_url_filter,
-}
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids in windows of 1024, each piece with the checksum of its ids."""
+    encoded = bpe.encode_texts(table(spark, folder, "documents"), BYTE_BPE)
+    return packing.pack_sequences(encoded).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def _shipped(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        package_on_workers(spark)
+        return query(spark, folder)
+
+    return run
+
+
+_OPERATORS = (
+    op1_bpe_tree,
+    op2_language_id,
+    op4_chat_formatting,
+    op6_url_filter,
+    op8_packing,
+)
+QUERIES: dict[str, Query] = {query.__name__: _shipped(query) for query in _OPERATORS}
 ORACLES: dict[str, str] = {"op4_chat_formatting": OP4_SQL, "op6_url_filter": OP6_SQL}

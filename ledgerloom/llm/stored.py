@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +29,16 @@ def stored(table: DataFrame) -> DataFrame:
     spark, place = table.sparkSession, shared_folder(table.sparkSession)
     table.write.parquet(place)
     return spark.read.schema(table.schema).parquet(place)
+
+
+def package_on_workers(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, for sessions without it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _SENT:
+        package = Path(__file__).resolve().parents[1]
+        target = Path(tempfile.mkdtemp(prefix="ledgerloom-code-")) / package.name
+        context.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+        _SENT.add(context.applicationId)
+
+
+_SENT: set[str] = set()
