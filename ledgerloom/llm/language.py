@@ -13,9 +13,10 @@ from pyspark.sql.window import Window
 ROWS_PER_LANGUAGE = 128
 DICTIONARY_BYTES = 64 * 1024
 MOST_LANGUAGES = 200
-PIECE_BYTES = 8 * 1024
+PIECE_BYTES = 4 * 1024
 MIN_MARGIN = 0.002
-LEVEL = 3
+LEAST_EVIDENCE = 200  # bytes; shorter texts are not rejected for a narrow margin
+LEVEL = 6
 UNKNOWN = "und"
 Dictionaries = tuple[tuple[str, bytes], ...]
 
@@ -33,6 +34,7 @@ def learn_dictionaries(
     Of each of the `most_languages` most frequent languages, the `rows_per_language` rows whose texts hash
     lowest (ties: by text) give equal parts of the dictionary, from the middle of their texts. Rows with a
     null text or language are left out; repeated texts count once. Without any row there are no dictionaries.
+    The most frequent language comes first.
     """
     spread = 1 << 30
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
@@ -63,7 +65,8 @@ def learn_dictionaries(
     texts: dict[str, list[str]] = {}
     for row in sorted(sample):
         texts.setdefault(row["lang"], []).append(row["middle"])
-    return tuple((name, "\n".join(some).encode()[:dictionary_bytes]) for name, some in sorted(texts.items()))
+    frequent = sorted(texts, key=lambda name: (-counts[name], name))
+    return tuple((name, "\n".join(texts[name]).lower().encode()[:dictionary_bytes]) for name in frequent)
 
 
 @lru_cache(maxsize=4)
@@ -73,7 +76,9 @@ def _compressors(dictionaries: Dictionaries) -> list[zstandard.ZstdCompressor]:
         known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         known.precompute_compress(level=LEVEL)
         made.append(
-            zstandard.ZstdCompressor(dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False)
+            zstandard.ZstdCompressor(
+                level=LEVEL, dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False
+            )
         )
     return made
 
@@ -88,21 +93,24 @@ def classify(text: str | None, dictionaries: Dictionaries, min_margin: float) ->
     """Language, score and whether to reject."""
     if text is None or not dictionaries or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0, True
-    sizes = compressed_sizes(text.lower().encode("utf-8", "replace"), dictionaries)
-    order = sorted(range(len(sizes)), key=lambda k: (sizes[k], dictionaries[k][0]))
+    content = text.lower().encode()
+    sizes = compressed_sizes(content, dictionaries)
+    order = sorted(range(len(sizes)), key=lambda k: (sizes[k], k))
     if len(order) == 1:
         return dictionaries[0][0], 1.0, False
     best, second = sizes[order[0]], sizes[order[1]]
-    return dictionaries[order[0]][0], second / (best + second), (second - best) / second < min_margin
+    narrow = (second - best) / second < min_margin and len(content) >= LEAST_EVIDENCE
+    return dictionaries[order[0]][0], second / (best + second), narrow
 
 
 def language_of(text: str | Column, dictionaries: Dictionaries, min_margin: float = MIN_MARGIN) -> Column:
     """A struct of lang_pred, score and rejected for a text column.
 
-    The whole text is compressed with every dictionary; the smallest size wins, of equal sizes the first
-    language by name. score is second / (best + second), 0.5 when two languages do equally well. A text is
-    rejected when the winner saves less than `min_margin` of the second size, and when it is null, empty or
-    has no letter, which gives `und` and score 0. Without dictionaries everything is `und`.
+    The whole text is compressed with every dictionary; the smallest size wins, of equal sizes the more
+    frequent language. score is second / (best + second), 0.5 when two languages do equally well. A text is
+    rejected when the winner saves less than `min_margin` of the second size, unless it is so short that
+    whole bytes cannot tell (`LEAST_EVIDENCE`), and when it is null, empty or has no letter, which gives
+    `und` and score 0. Without dictionaries everything is `und`.
     """
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")

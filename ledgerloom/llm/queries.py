@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat, language, packing, urls
+from ledgerloom.llm import bpe, chat, language, minhash, packing, urls
 from ledgerloom.llm.stored import package_on_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,6 +107,10 @@ SELECT conv_id, count(*) AS n_turns,
 FROM grown GROUP BY conv_id
 """
 
+def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 URL_RULES = (
     urls.Rule("allow", "com", "/"),
     urls.Rule("block", "example.com", "/en/"),
@@ -171,6 +175,7 @@ _OPERATORS = (
     op1_bpe_tree,
     op2_language_id,
     op4_chat_formatting,
+    op5_minhash_dedup,
     op6_url_filter,
     op8_packing,
 )
