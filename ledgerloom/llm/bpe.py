@@ -25,6 +25,7 @@ from tokenizers import Tokenizer
 from ledgerloom.llm.stored import stored
 from ledgerloom.llm.textbytes import SpanHasher, slices
 
+DECODED_ROWS = 500
 LEAF = 512  # bytes of an unsplit run that are encoded in one go
 SPREAD_CHARS = 4_000_000  # texts beyond this are encoded by many tasks
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -352,8 +353,16 @@ def decode_ids(encoded: DataFrame, path: str, ids: str = "ids", decoded: str = "
     replacement characters. A column that is already called `decoded` is replaced.
     """
 
-    @F.pandas_udf("string")
-    def decode(column: pd.Series) -> pd.Series:
-        return pd.Series([bpe(path).decode([] if x is None else np.asarray(x).tolist()) for x in column])
+    kept = [name for name in encoded.columns if name != decoded]
 
-    return encoded.withColumn(decoded, decode(ids))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, DECODED_ROWS):
+                rows = batch.slice(start, DECODED_ROWS)
+                column = rows.column(rows.schema.get_field_index(ids))
+                texts = [bpe(path).decode([] if not x.is_valid else x.values.to_pylist()) for x in column]
+                columns = [rows.column(rows.schema.get_field_index(name)) for name in kept]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*kept, decoded])
+
+    schema = T.StructType([*(encoded.schema[name] for name in kept), T.StructField(decoded, T.StringType())])
+    return encoded.mapInArrow(run, schema)

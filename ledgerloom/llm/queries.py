@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat, language, minhash, packing, urls
+from ledgerloom.llm import bpe, chat, language, minhash, packing, toxicity, urls
 from ledgerloom.llm.stored import package_on_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,6 +162,18 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents by a detector that learned from the labels of four folds of five."""
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    detector = toxicity.learn_detector(documents, labels.where(remainder(5) != 0))
+    scored = documents.select(
+        "doc_id",
+        (remainder(5) == 0).alias("held_out"),
+        toxicity.toxicity_of(spark, "text", detector).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def _shipped(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -178,6 +190,7 @@ _OPERATORS = (
     op5_minhash_dedup,
     op6_url_filter,
     op8_packing,
+    op9_toxicity,
 )
 QUERIES: dict[str, Query] = {query.__name__: _shipped(query) for query in _OPERATORS}
 ORACLES: dict[str, str] = {"op4_chat_formatting": OP4_SQL, "op6_url_filter": OP6_SQL}

@@ -8,7 +8,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 * 2**20
+SLICE_BYTES = 2 * 2**20
 _BASE = 0x9E3779B97F4A7C15  # any odd number
 _SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
