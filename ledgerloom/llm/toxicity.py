@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import gru
 from ledgerloom.llm.sampling import lowest_hashes
-from ledgerloom.llm.textbytes import SLICE_BYTES, words
+from ledgerloom.llm.textbytes import SLICE_BYTES, mixed, words
 
-WORD_BITS, CHAR_BITS = 15, 14
+WORD_BITS, CHAR_BITS = 18, 17
+RUNS = (4, 5, 6, 7, 8)  # bytes
+PRIOR = 10
 
 
 @dataclass(frozen=True)
@@ -28,9 +30,9 @@ class Settings:
     hidden: int = 8
     embedding: int = 8
     rounds: int = 3
-    epochs: int = 2
+    steps: int = 120
     batch: int = 128
-    rate: float = 0.01
+    rate: float = 0.005
     seed: int = 7
 
 
@@ -57,15 +59,24 @@ def read(texts: list[bytes]) -> _Read:
     found = words(texts)
     _, first, which = np.unique(found.hashes, return_index=True, return_inverse=True)
     starts, ends = found.starts[first], found.ends[first]
-    # runs of four bytes from the space before a word to the one after it
-    data = np.concatenate(([0x20], np.where(found.data <= 0x20, 0x20, found.data), [0x20] * 4)).astype(np.uint32)
-    runs = data[:-3] | data[1:-2] << np.uint32(8) | data[2:-1] << np.uint32(16) | data[3:] << np.uint32(24)
-    runs = (runs * np.uint32(2654435761)) >> np.uint32(32 - CHAR_BITS)
-    counts = np.maximum(ends - starts - 1, 1)
-    upto = np.cumsum(counts)
-    places = np.arange(upto[-1] if len(upto) else 0) + np.repeat(starts - (upto - counts), counts)
+    sizes = ends - starts
+    data = np.concatenate(([0x20], np.where(found.data <= 0x20, 0x20, found.data), [0x20] * 8)).astype(np.uint64)
+    eight = sum(data[k : len(data) - 7 + k] << np.uint64(8 * k) for k in range(8))
+    # runs of bytes from the space before a word to the one after it: word, place, hash
+    runs = []
+    for length in RUNS:
+        counts = np.maximum(sizes + 3 - length, length == RUNS[0])
+        upto = np.cumsum(counts)
+        own = np.repeat(np.arange(len(starts)), counts)
+        places = np.arange(len(own)) - np.repeat(upto - counts, counts) + starts[own]
+        values = mixed(eight[places] & np.uint64((1 << 8 * length) - 1)) >> np.uint64(64 - CHAR_BITS)
+        runs.append((own, values.astype(np.int64)))
+    own = np.concatenate([r[0] for r in runs])
+    order = np.argsort(own, kind="stable")
+    counts = np.bincount(own, minlength=len(starts))
     word_rows = (found.hashes[first] >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-    return _Read(word_rows, runs[places].astype(np.int64), upto - counts, which, found.counts)
+    char_rows = np.concatenate([r[1] for r in runs])[order]
+    return _Read(word_rows, char_rows, np.cumsum(counts) - counts, which, found.counts)
 
 
 def features(detector: Detector, text: _Read) -> np.ndarray:
@@ -117,10 +128,11 @@ def _log_odds(rows: np.ndarray, texts: np.ndarray, label: np.ndarray, size: int)
     """How much likelier toxic texts have each row than others, from the numbers of texts that have it."""
     rows, texts = np.divmod(np.unique(rows * len(label) + texts), len(label))
     toxic = label[texts]
-    # a row that few texts have says little
-    with_toxic = np.bincount(rows[toxic], minlength=size) + 3.0
-    with_clean = np.bincount(rows[~toxic], minlength=size) + 3.0
-    return np.log(with_toxic / with_clean * ((~label).sum() + 1) / (label.sum() + 1))
+    # as if PRIOR more texts had the row, as many of them toxic as of all: few texts say little
+    share = label.mean()
+    with_toxic = np.bincount(rows[toxic], minlength=size) + PRIOR * share
+    with_clean = np.bincount(rows[~toxic], minlength=size) + PRIOR * (1 - share)
+    return np.log(with_toxic / share) - np.log(with_clean / (1 - share))
 
 
 def train(texts: list[bytes], label: np.ndarray, settings: Settings = Settings()) -> Detector:
@@ -170,11 +182,9 @@ def train(texts: list[bytes], label: np.ndarray, settings: Settings = Settings()
         target = label[owner[chosen]].astype(np.float32)
         weigh = np.where(target > 0, (target == 0).sum() / max(target.sum(), 1), 1.0).astype(np.float32)
         weigh = np.minimum(weigh, 3.0)
-        for _ in range(settings.epochs):
-            turn = random.permutation(len(chosen))
-            for k in range(0, len(turn), settings.batch):
-                part = turn[k : k + settings.batch]
-                _learn(detector, text, counts, start[chosen[part]], length[chosen[part]], target[part], weigh[part], adam, everything)
+        for _ in range(settings.steps):
+            part = random.choice(len(chosen), min(settings.batch, len(chosen)), replace=False)
+            _learn(detector, text, counts, start[chosen[part]], length[chosen[part]], target[part], weigh[part], adam, everything)
     return detector
 
 
