@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat, language, minhash, packing, toxicity, urls
+from ledgerloom.llm import balltree, bpe, chat, language, minhash, neighbours, packing, toxicity, urls
 from ledgerloom.llm.stored import package_on_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,6 +148,11 @@ SELECT page_id, host, path, rule,
 FROM judged
 """
 
+def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids in windows of 1024, each piece with the checksum of its ids."""
     encoded = bpe.encode_texts(table(spark, folder, "documents"), BYTE_BPE)
@@ -174,6 +179,11 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return balltree.exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def _shipped(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -189,8 +199,27 @@ _OPERATORS = (
     op4_chat_formatting,
     op5_minhash_dedup,
     op6_url_filter,
+    op7_nearest_neighbours,
     op8_packing,
     op9_toxicity,
+    op10_exact_top_k,
 )
+OP10_SQL = """
+WITH parts AS (
+  SELECT vec_id, unnest(range(len(embedding))) AS place, unnest(embedding) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), whole AS (
+  SELECT vec_id, place, floor(256 * x::DOUBLE)::BIGINT AS x FROM parts
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sum(q.x * c.x)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.place = c.place AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0 GROUP BY ALL
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores
+) WHERE rank <= 5
+"""
+
 QUERIES: dict[str, Query] = {query.__name__: _shipped(query) for query in _OPERATORS}
-ORACLES: dict[str, str] = {"op4_chat_formatting": OP4_SQL, "op6_url_filter": OP6_SQL}
+ORACLES: dict[str, str] = {"op4_chat_formatting": OP4_SQL, "op6_url_filter": OP6_SQL, "op10_exact_top_k": OP10_SQL}
