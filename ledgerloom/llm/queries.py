@@ -9,7 +9,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import balltree, bpe, chat, language, minhash, neighbours, packing, toxicity, urls
+from ledgerloom.llm import (
+    balltree,
+    bpe,
+    chat,
+    language,
+    minhash,
+    neighbours,
+    packing,
+    scoring,
+    toxicity,
+    urls,
+)
 from ledgerloom.llm.stored import package_on_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +60,11 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score", "found.rejected")
 
 
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents under a model of four folds of five."""
+    return scoring.score_documents(table(spark, folder, "documents"), remainder(5) == 1)
+
+
 # Conversation -1 holds control strings as texts.
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -196,6 +212,7 @@ def _shipped(query: Query) -> Query:
 _OPERATORS = (
     op1_bpe_tree,
     op2_language_id,
+    op3_lm_scoring,
     op4_chat_formatting,
     op5_minhash_dedup,
     op6_url_filter,
