@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -211,7 +210,7 @@ def _block_pairs(members: DataFrame, nodes: DataFrame, settings: Settings, most:
     """Likely pairs of all members of a bucket in different components: (a, b, more).
 
     Compares blocks of members with blocks; of any two components it gives the `most` likeliest pairs of
-    a block, and says in `more` whether there are others.
+    a block, and says in `more` whether there are others. A task goes through its groups one by one.
     """
     kind = members.schema["node"].dataType.simpleString()
     shape = members.groupBy("bucket").agg(
@@ -237,40 +236,56 @@ def _block_pairs(members: DataFrame, nodes: DataFrame, settings: Settings, most:
         "own",
         "planes",
     )
+    order = ("bucket", "low", "high")
     allowed, width = settings.most_different, -(-settings.minima // 64)
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        if len(group) < 2 or group["component"].nunique() < 2:
-            return pd.DataFrame(columns=["a", "b", "more"])
-        same = bool(group["own"].nunique() == 1)
-        left = group if same else group[group["own"] == group["own"].iloc[0]]
-        right = group if same else group[group["own"] != group["own"].iloc[0]]
-        planes = [np.stack(part["planes"].to_list()).astype(np.int64) for part in (left, right)]
-        found = []
-        for row in range(len(left)):
-            start = row + 1 if same else 0
-            differs = np.zeros((len(right) - start, width), np.int64)
-            for plane in range(PLANES):
-                span = slice(plane * width, (plane + 1) * width)
-                differs |= planes[0][row, span] ^ planes[1][start:, span]
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = None
+        for batch in batches:
+            rows = batch if waiting is None else pa.concat_batches([waiting, batch])
+            keys = [rows.column(n).to_numpy() for n in order]
+            starts = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0)) + 1
+            yield _likely(rows.slice(0, starts[-1] if len(starts) else 0), [0, *starts], allowed, width, most)
+            waiting = rows.slice(starts[-1] if len(starts) else 0)
+        if waiting is not None:
+            yield _likely(waiting, [0, waiting.num_rows], allowed, width, most)
+
+    sorted_rows = placed.repartition(*order).sortWithinPartitions(*order)
+    return sorted_rows.mapInArrow(compare, f"a {kind}, b {kind}, more boolean")
+
+
+def _likely(rows: pa.RecordBatch, bounds: list[int], allowed: int, width: int, most: int) -> pa.RecordBatch:
+    """The likeliest pairs of every group of members between two bounds."""
+    nodes, components = (rows.column(n).to_numpy(zero_copy_only=False) for n in ("node", "component"))
+    own = rows.column("own").to_numpy()
+    planes = rows.column("planes").flatten().to_numpy().reshape(rows.num_rows, PLANES, width)
+    found: list[tuple] = []
+    for start, end in zip(bounds[:-1], bounds[1:]):
+        if (components[start:end] == components[start]).all():
+            continue
+        group = np.arange(start, end)
+        left = group[own[start:end] == own[start]]
+        right = group[own[start:end] != own[start]]
+        same = not len(right)
+        hits = []
+        for place, row in enumerate(left):
+            others = left[place + 1 :] if same else right
+            others = others[components[others] != components[row]]
+            differs = np.bitwise_or.reduce(planes[others] ^ planes[row], axis=1)
             count = np.bitwise_count(differs).sum(axis=1)
-            hits = np.flatnonzero(
-                (count <= allowed) & (right["component"].to_numpy()[start:] != left["component"].iloc[row])
-            )
-            found += [(int(count[h]), row, int(h) + start) for h in hits]
+            near = np.flatnonzero(count <= allowed)
+            hits += zip(count[near].tolist(), [row] * len(near), others[near].tolist())
         taken: dict[tuple, int] = {}
-        rows = []
-        for _, i, j in sorted(found):
-            a, b = left.iloc[i], right.iloc[j]
-            ends = tuple(sorted((a["component"], b["component"])))
+        for _, i, j in sorted(hits):
+            ends = (min(components[i], components[j]), max(components[i], components[j]))
             taken[ends] = taken.get(ends, 0) + 1
             if taken[ends] <= most:
-                rows.append((*sorted((a["node"], b["node"])), ends))
-        return pd.DataFrame(
-            [(a, b, taken[ends] > most) for a, b, ends in rows], columns=["a", "b", "more"]
-        )
-
-    return placed.groupBy("bucket", "low", "high").applyInPandas(compare, f"a {kind}, b {kind}, more boolean")
+                found.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j]), False))
+            elif taken[ends] == most + 1:
+                found[-1] = (*found[-1][:2], True)
+    kind = rows.schema.field("node").type
+    columns = [pa.array([f[k] for f in found], t) for k, t in enumerate((kind, kind, pa.bool_()))]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b", "more"])
 
 
 def near_links(documents: DataFrame, marked: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
@@ -306,7 +321,7 @@ def near_links(documents: DataFrame, marked: DataFrame, key: str, text: str, set
         new = stored(_linked(pairs, nodes, sets, settings))
         links = new if links is None else links.unionByName(new)
         components = stored(connected(links))
-    most, more = 4, True
+    most, more = 64, True
     while more:
         likely = stored(_block_pairs(_with_component(buckets, components), nodes, settings, most))
         more = likely.select(F.coalesce(F.max("more"), F.lit(False))).first()[0]
@@ -314,7 +329,7 @@ def near_links(documents: DataFrame, marked: DataFrame, key: str, text: str, set
         links = links.unionByName(new)
         if more:
             components = stored(connected(links))
-            most *= 4
+            most *= 16
     return links
 
 

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -134,7 +135,7 @@ def pack_sequences(
         for batch in batches:
             column = batch.column(1)
             flat = column.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-            sizes = pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy()
+            sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
             ends = np.cumsum(sizes)
             for name, end, size in zip(batch.column(0).to_pylist(), ends.tolist(), sizes.tolist()):
                 own = flat[end - size : end]

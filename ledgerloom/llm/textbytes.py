@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 2 * 2**20
 _BASE = 0x9E3779B97F4A7C15  # any odd number
@@ -18,7 +19,7 @@ _IS_SPACE = np.isin(np.arange(256), np.frombuffer(_SPACES, np.uint8))
 def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Rows of a batch with their texts as UTF-8 (null: empty), some megabytes at a time, one row at least."""
     column = batch.column(batch.schema.get_field_index(text))
-    sizes = np.array([n or 0 for n in pa.compute.binary_length(column).to_pylist()], dtype=np.int64)
+    sizes = np.array([n or 0 for n in pc.binary_length(column).to_pylist()], dtype=np.int64)
     start, total = 0, 0
     for row, size in enumerate(sizes.tolist()):
         if row > start and total + size > most:
