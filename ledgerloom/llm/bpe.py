@@ -28,6 +28,7 @@ from ledgerloom.llm.textbytes import SpanHasher, slices
 DECODED_ROWS = 500
 LEAF = 512  # bytes of an unsplit run that are encoded in one go
 SPREAD_CHARS = 4_000_000  # texts beyond this are encoded by many tasks
+PART_BYTES = 64 * 1024
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
@@ -286,9 +287,12 @@ def _encode_spread(texts: DataFrame, key: str, text: str, path: str, leaf: int,
     nodes = "_row long, stretch long, node long, ids array<int>"
     laid = numbered.mapInArrow(lay, "_row long, stretch long, node long, run boolean, bytes binary")
     done = stored(laid.repartition(F.col("_row"), F.col("stretch"), F.col("node")).mapInArrow(encode, nodes))
-    while (done.select(F.max("node")).first()[0] or 0) > 0:
-        done = stored(done.groupBy("_row", "stretch", F.floor(F.col("node") / 2)).applyInPandas(join, nodes))
-    joined = done.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("stretch", "ids"))).alias("parts"))
+    # all nodes of a run are on one level, so a run whose only node is 0 is done
+    trees = done.where("node > 0").select("_row", "stretch").distinct()
+    done, open_ = done.join(trees, ["_row", "stretch"], "left_anti"), done.join(trees, ["_row", "stretch"], "left_semi")
+    while (open_.select(F.max("node")).first()[0] or 0) > 0:
+        open_ = stored(open_.groupBy("_row", "stretch", F.floor(F.col("node") / 2)).applyInPandas(join, nodes))
+    joined = done.unionByName(open_).groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("stretch", "ids"))).alias("parts"))
     whole = numbered.select(key, "_row").join(joined, "_row", "left")
     return whole.select(key, F.coalesce(F.flatten("parts.ids"), F.array().cast("array<int>")).alias("ids"))
 
@@ -326,12 +330,13 @@ def encode_texts(
     text: str = "text",
     leaf: int = LEAF,
     spread_chars: int = SPREAD_CHARS,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """`key` and ids (array<int>) of every row, as the tokenizer file at `path` encodes its whole text.
 
     Added special tokens are recognised in texts, none is put around them. Texts of more than
-    `spread_chars` characters are shared out among tasks; both ways give the same ids. `leaf` is the
-    number of bytes of an unsplit run that is encoded at once.
+    `spread_chars` characters are shared out among tasks, about `part_bytes` each; both ways give the same
+    ids. `leaf` is the number of bytes of an unsplit run that is encoded at once.
 
     A null text counts as empty and has no ids. Repeated rows and null keys are kept as they are, an
     empty table gives an empty result, and other columns are neither read nor returned.
@@ -342,7 +347,7 @@ def encode_texts(
     lengths = texts.select(F.max(F.octet_length(text))).first()[0] or 0
     if lengths <= spread_chars:  # characters are bytes at least
         return near
-    far = _encode_spread(texts.where(long), key, text, path, leaf, max(spread_chars // 64, 1))
+    far = _encode_spread(texts.where(long), key, text, path, leaf, part_bytes)
     return near.unionByName(far)
 
 

@@ -206,17 +206,21 @@ def _star_pairs(members: DataFrame, number: int) -> DataFrame:
     return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
 
 
-def _block_pairs(members: DataFrame, nodes: DataFrame, settings: Settings, most: int) -> DataFrame:
-    """Likely pairs of all members of a bucket in different components: (a, b, more).
+def _block_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) between members of a bucket in different components, enough to connect them.
 
-    Compares blocks of members with blocks; of any two components it gives the `most` likeliest pairs of
-    a block, and says in `more` whether there are others. A task goes through its groups one by one.
+    Compares blocks of members with blocks. A task goes through its groups one by one; pairs that the
+    estimate allows are confirmed on full sets, unless links found before in the group connect them, so no
+    group gives more links than it has members. Of buckets with the same members one is looked at.
     """
     kind = members.schema["node"].dataType.simpleString()
     shape = members.groupBy("bucket").agg(
-        F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("members")
+        F.min("component").alias("first"),
+        F.max("component").alias("last"),
+        F.count("*").alias("members"),
+        F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("who"),
     )
-    shape = shape.where(F.col("first") != F.col("last"))
+    shape = shape.where(F.col("first") != F.col("last")).groupBy("members", "who").agg(F.min("bucket").alias("bucket"))
     blocks = F.ceil(F.col("members") / BLOCK)
     placed = members.join(shape, "bucket").select(
         "bucket",
@@ -227,7 +231,7 @@ def _block_pairs(members: DataFrame, nodes: DataFrame, settings: Settings, most:
     )
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     placed = placed.select("bucket", "node", "component", "own", other.alias("other"))
-    placed = placed.join(nodes.select("node", "planes"), "node").select(
+    placed = placed.join(nodes.select("node", "planes"), "node").join(sets, "node").select(
         "bucket",
         F.least("own", "other").alias("low"),
         F.greatest("own", "other").alias("high"),
@@ -235,9 +239,9 @@ def _block_pairs(members: DataFrame, nodes: DataFrame, settings: Settings, most:
         "component",
         "own",
         "planes",
+        "set",
     )
     order = ("bucket", "low", "high")
-    allowed, width = settings.most_different, -(-settings.minima // 64)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting = None
@@ -245,47 +249,51 @@ def _block_pairs(members: DataFrame, nodes: DataFrame, settings: Settings, most:
             rows = batch if waiting is None else pa.concat_batches([waiting, batch])
             keys = [rows.column(n).to_numpy() for n in order]
             starts = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0)) + 1
-            yield _likely(rows.slice(0, starts[-1] if len(starts) else 0), [0, *starts], allowed, width, most)
+            yield _confirmed(rows.slice(0, starts[-1] if len(starts) else 0), [0, *starts], settings)
             waiting = rows.slice(starts[-1] if len(starts) else 0)
         if waiting is not None:
-            yield _likely(waiting, [0, waiting.num_rows], allowed, width, most)
+            yield _confirmed(waiting, [0, waiting.num_rows], settings)
 
     sorted_rows = placed.repartition(*order).sortWithinPartitions(*order)
-    return sorted_rows.mapInArrow(compare, f"a {kind}, b {kind}, more boolean")
+    return sorted_rows.mapInArrow(compare, f"a {kind}, b {kind}")
 
 
-def _likely(rows: pa.RecordBatch, bounds: list[int], allowed: int, width: int, most: int) -> pa.RecordBatch:
-    """The likeliest pairs of every group of members between two bounds."""
+def _confirmed(rows: pa.RecordBatch, bounds: list[int], settings: Settings) -> pa.RecordBatch:
+    """Links that connect the components of every group of members between two bounds."""
     nodes, components = (rows.column(n).to_numpy(zero_copy_only=False) for n in ("node", "component"))
-    own = rows.column("own").to_numpy()
+    own, width = rows.column("own").to_numpy(), -(-settings.minima // 64)
     planes = rows.column("planes").flatten().to_numpy().reshape(rows.num_rows, PLANES, width)
     found: list[tuple] = []
     for start, end in zip(bounds[:-1], bounds[1:]):
-        if (components[start:end] == components[start]).all():
+        if end - start < 2 or (components[start:end] == components[start]).all():
             continue
-        group = np.arange(start, end)
-        left = group[own[start:end] == own[start]]
-        right = group[own[start:end] != own[start]]
-        same = not len(right)
-        hits = []
-        for place, row in enumerate(left):
-            others = left[place + 1 :] if same else right
-            others = others[components[others] != components[row]]
-            differs = np.bitwise_or.reduce(planes[others] ^ planes[row], axis=1)
-            count = np.bitwise_count(differs).sum(axis=1)
-            near = np.flatnonzero(count <= allowed)
-            hits += zip(count[near].tolist(), [row] * len(near), others[near].tolist())
-        taken: dict[tuple, int] = {}
-        for _, i, j in sorted(hits):
-            ends = (min(components[i], components[j]), max(components[i], components[j]))
-            taken[ends] = taken.get(ends, 0) + 1
-            if taken[ends] <= most:
-                found.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j]), False))
-            elif taken[ends] == most + 1:
-                found[-1] = (*found[-1][:2], True)
+        _, label = np.unique(components[start:end], return_inverse=True)
+        sets = [np.frombuffer(rows.column("set")[k].as_buffer(), np.uint64) for k in range(start, end)]
+        sizes = np.array([len(s) for s in sets])
+        begins = np.cumsum(sizes) - sizes
+        _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+        marked = np.zeros(codes.max() + 1, np.uint8)
+        group, mine = planes[start:end], own[start:end]
+        one_block = (mine == mine[0]).all()
+        for row in range(end - start):
+            others = (label != label[row]) & (np.arange(end - start) > row)
+            others &= one_block | (mine != mine[row])
+            differs = np.bitwise_or.reduce(group[others] ^ group[row], axis=1)
+            near = np.flatnonzero(others)[np.bitwise_count(differs).sum(axis=1) <= settings.most_different]
+            if not len(near):
+                continue
+            its = codes[begins[row] : begins[row] + sizes[row]]
+            marked[its] = 1
+            shared = np.add.reduceat(marked[codes], begins, dtype=np.int64)[near]
+            marked[its] = 0
+            linked = near[100 * shared >= settings.percent * (sizes[near] + sizes[row] - shared)]
+            for other in linked:
+                if label[other] != label[row]:
+                    a, b = nodes[start + row], nodes[start + other]
+                    found.append((min(a, b), max(a, b)))
+                    label[label == label[other]] = label[row]
     kind = rows.schema.field("node").type
-    columns = [pa.array([f[k] for f in found], t) for k, t in enumerate((kind, kind, pa.bool_()))]
-    return pa.RecordBatch.from_arrays(columns, names=["a", "b", "more"])
+    return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], kind) for k in range(2)], names=["a", "b"])
 
 
 def near_links(documents: DataFrame, marked: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
@@ -293,7 +301,7 @@ def near_links(documents: DataFrame, marked: DataFrame, key: str, text: str, set
 
     `marked` is the stored result of `signed`. Within each bucket of a band, members are tried against
     one of them, then against another; after that all members of different components are compared by
-    signature, and likely pairs by their sets, until none is left that could connect two components.
+    signature, and likely pairs by their sets.
     """
     classes = marked.where(F.col("n_shingles") > 0).where(F.col("node").isNotNull())
     nodes = stored(
@@ -321,16 +329,7 @@ def near_links(documents: DataFrame, marked: DataFrame, key: str, text: str, set
         new = stored(_linked(pairs, nodes, sets, settings))
         links = new if links is None else links.unionByName(new)
         components = stored(connected(links))
-    most, more = 64, True
-    while more:
-        likely = stored(_block_pairs(_with_component(buckets, components), nodes, settings, most))
-        more = likely.select(F.coalesce(F.max("more"), F.lit(False))).first()[0]
-        new = stored(_linked(likely.select("a", "b"), nodes, sets, settings))
-        links = links.unionByName(new)
-        if more:
-            components = stored(connected(links))
-            most *= 16
-    return links
+    return links.unionByName(stored(_block_links(_with_component(buckets, components), nodes, sets, settings)))
 
 
 def near_duplicates(

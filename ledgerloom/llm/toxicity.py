@@ -17,6 +17,7 @@ from ledgerloom.llm.textbytes import SLICE_BYTES, mixed, words
 WORD_BITS, CHAR_BITS = 18, 17
 RUNS = (4, 5, 6, 7, 8)  # bytes
 PRIOR = 10
+FEATURE_ROWS = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -60,17 +61,18 @@ def read(texts: list[bytes]) -> _Read:
     _, first, which = np.unique(found.hashes, return_index=True, return_inverse=True)
     starts, ends = found.starts[first], found.ends[first]
     sizes = ends - starts
-    data = np.concatenate(([0x20], np.where(found.data <= 0x20, 0x20, found.data), [0x20] * 8)).astype(np.uint64)
-    eight = sum(data[k : len(data) - 7 + k] << np.uint64(8 * k) for k in range(8))
+    data = np.concatenate(([0x20], np.where(found.data <= 0x20, 0x20, found.data), [0x20] * 8)).astype(np.uint8)
+    eight = np.lib.stride_tricks.sliding_window_view(data, 8)
     # runs of bytes from the space before a word to the one after it: word, place, hash
     runs = []
     for length in RUNS:
         counts = np.maximum(sizes + 3 - length, length == RUNS[0])
         upto = np.cumsum(counts)
-        own = np.repeat(np.arange(len(starts)), counts)
+        own = np.repeat(np.arange(len(starts), dtype=np.int32), counts)
         places = np.arange(len(own)) - np.repeat(upto - counts, counts) + starts[own]
-        values = mixed(eight[places] & np.uint64((1 << 8 * length) - 1)) >> np.uint64(64 - CHAR_BITS)
-        runs.append((own, values.astype(np.int64)))
+        whole = eight[places].view("<u8").ravel() & np.uint64((1 << 8 * length) - 1)
+        values = mixed(whole) >> np.uint64(64 - CHAR_BITS)
+        runs.append((own, values.astype(np.int32)))
     own = np.concatenate([r[0] for r in runs])
     order = np.argsort(own, kind="stable")
     counts = np.bincount(own, minlength=len(starts))
@@ -83,8 +85,12 @@ def features(detector: Detector, text: _Read) -> np.ndarray:
     """Of every distinct word: its embedding, and the largest of its character runs in each dimension."""
     if not len(text.word_rows):
         return np.zeros((0, 2 * detector.settings.embedding), np.float32)
-    pooled = np.maximum.reduceat(detector.chars[text.char_rows], text.char_starts, axis=0)
-    return np.concatenate((detector.words[text.word_rows], pooled), axis=1)
+    pooled, bounds = [], np.append(text.char_starts, len(text.char_rows))
+    for k in range(0, len(text.word_rows), FEATURE_ROWS):
+        starts = text.char_starts[k : k + FEATURE_ROWS]
+        rows = text.char_rows[starts[0] : bounds[min(k + FEATURE_ROWS, len(text.word_rows))]]
+        pooled.append(np.maximum.reduceat(detector.chars[rows], starts - starts[0], axis=0))
+    return np.concatenate((detector.words[text.word_rows], np.concatenate(pooled)), axis=1)
 
 
 def windows(counts: np.ndarray, size: int, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -124,14 +130,16 @@ def score_texts(detector: Detector, texts: list[bytes]) -> np.ndarray:
     return scores
 
 
-def _log_odds(rows: np.ndarray, texts: np.ndarray, label: np.ndarray, size: int) -> np.ndarray:
-    """How much likelier toxic texts have each row than others, from the numbers of texts that have it."""
-    rows, texts = np.divmod(np.unique(rows * len(label) + texts), len(label))
-    toxic = label[texts]
+def _log_odds(groups: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, size: int) -> np.ndarray:
+    """How much likelier toxic texts have each row than others; groups: rows and their texts, some texts each."""
     # as if PRIOR more texts had the row, as many of them toxic as of all: few texts say little
     share = label.mean()
-    with_toxic = np.bincount(rows[toxic], minlength=size) + PRIOR * share
-    with_clean = np.bincount(rows[~toxic], minlength=size) + PRIOR * (1 - share)
+    with_toxic, with_clean = np.full(size, PRIOR * share), np.full(size, PRIOR * (1 - share))
+    for rows, texts in groups:
+        rows, texts = np.divmod(np.unique(rows.astype(np.int64) * len(label) + texts), len(label))
+        toxic = label[texts]
+        with_toxic += np.bincount(rows[toxic], minlength=size)
+        with_clean += np.bincount(rows[~toxic], minlength=size)
     return np.log(with_toxic / share) - np.log(with_clean / (1 - share))
 
 
@@ -148,24 +156,22 @@ def train(texts: list[bytes], label: np.ndarray, settings: Settings = Settings()
     tables = [(random.standard_normal((1 << bits, size)) * 0.1).astype(np.float32) for bits in (WORD_BITS, CHAR_BITS)]
     detector = Detector(*tables, gru.new_weights(2 * size, settings.hidden, random), settings)
     label = np.asarray(label, bool)
-    if not len(text.which) or label.all() or not label.any():
+    some = text.counts > 0
+    if label[some].all() or not label[some].any():
         detector.weights["out_bias"][0] = -5.0 if not label.any() else 5.0
         detector.weights["out"][:] = 0
         return detector
     owner_of_word = np.repeat(np.arange(len(texts)), text.counts)
     counts = np.diff(np.append(text.char_starts, len(text.char_rows)))
-    for table, odds in (
-        (detector.words, _log_odds(text.word_rows[text.which], owner_of_word, label, 1 << WORD_BITS)),
-        (
-            detector.chars,
-            _log_odds(*_chars_of_texts(text, counts, owner_of_word), label, 1 << CHAR_BITS),
-        ),
-    ):
-        table[:, 0] = np.clip(odds, -4, 4) / 2
+    ends = np.cumsum(text.counts)
+    parts = [slice(a, b) for a, b in zip([0, *ends[99::100]], [*ends[99::100], ends[-1]])]
+    word_groups = [(text.word_rows[text.which[p]], owner_of_word[p]) for p in parts]
+    char_groups = (_chars_of_texts(text, counts, owner_of_word[p], text.which[p]) for p in parts if p.stop > p.start)
+    for table, groups in ((detector.words, word_groups), (detector.chars, char_groups)):
+        table[:, 0] = np.clip(_log_odds(groups, label, len(table)), -4, 4) / 2
     owner, start, length = windows(text.counts, settings.window, settings.stride)
     first = features(detector, text)[:, [0, size]].sum(axis=1)[text.which]
-    ends = np.minimum(start + length, len(first))
-    logits = np.array([first[a:b].max() for a, b in zip(start, ends)])
+    logits = np.array([first[a:b].max() for a, b in zip(start, start + length)])
     everything = {**detector.weights, "words": detector.words, "chars": detector.chars}
     adam = gru.Adam(settings.rate)
     for number in range(settings.rounds):
@@ -185,12 +191,23 @@ def train(texts: list[bytes], label: np.ndarray, settings: Settings = Settings()
         for _ in range(settings.steps):
             part = random.choice(len(chosen), min(settings.batch, len(chosen)), replace=False)
             _learn(detector, text, counts, start[chosen[part]], length[chosen[part]], target[part], weigh[part], adam, everything)
+    _centre(detector, window_logits(detector, text, start, length), owner, label)
     return detector
 
 
-def _chars_of_texts(text: _Read, counts: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every character run of every text, once for each distinct word of the text."""
-    owner, which = np.divmod(np.unique(owner * len(counts) + text.which), len(counts))
+def _centre(detector: Detector, logits: np.ndarray, owner: np.ndarray, label: np.ndarray) -> None:
+    """Put zero halfway between the highest clean texts and the lowest toxic ones, a few of each aside."""
+    best = np.full(len(label), -np.inf)
+    np.maximum.at(best, owner, logits)
+    read_any = np.isfinite(best)
+    clean, toxic = np.quantile(best[read_any & ~label], 0.995), np.quantile(best[read_any & label], 0.05)
+    if clean < toxic:
+        detector.weights["out_bias"] -= np.float32((clean + toxic) / 2)
+
+
+def _chars_of_texts(text: _Read, counts: np.ndarray, owner: np.ndarray, which: np.ndarray):
+    """Every character run of some texts, once for each distinct word of a text, and its text."""
+    owner, which = np.divmod(np.unique(owner * len(counts) + which), len(counts))
     taken = counts[which]
     upto = np.cumsum(taken)
     places = np.arange(upto[-1]) + np.repeat(text.char_starts[which] - (upto - taken), taken)
