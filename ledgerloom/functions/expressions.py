@@ -117,9 +117,13 @@ def cents(amount: str) -> Column:
 
     Sums of 64-bit integers stay in Spark's fast aggregation path, sums of
     decimals this wide do not. A sum beyond 92 quadrillion dollars raises an
-    error rather than wrapping around.
+    error rather than wrapping around. So does an amount of a type that can be
+    finer than a cent; the type is known before the query runs, so that nothing
+    is checked by row.
     """
-    return (F.col(amount) * 100).cast("bigint")
+    whole = F.typeof(F.col(amount)).rlike(r"^(decimal\(\d+,[012]\)|tinyint|smallint|int|bigint)$")
+    refused = F.raise_error(F.lit(f"{amount} may be finer than a cent: cast it to decimal(18,2)"))
+    return F.when(whole, (F.col(amount) * 100).cast("bigint")).otherwise(refused.cast("bigint"))
 
 
 def money(cents: Column) -> Column:

@@ -7,8 +7,8 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ledgerloom import session
 from ledgerloom.functions.expressions import AsOf
 from ledgerloom.operators import quality
 from ledgerloom.plans.models import LAYERS, PUBLISHED, FinanceModels
@@ -28,7 +28,6 @@ def refresh(
     sink: TableSink,
     as_of: AsOf = None,
     views: Collection[str] = (),
-    shuffled_bytes: int | None = None,
 ) -> Refreshed:
     """Compute and store all tables, each reading the stored ones before it.
 
@@ -37,9 +36,12 @@ def refresh(
     facts that need it. Tables of a layer are stored side by side, so that the
     last tasks of one leave no executor idle. Names in `views` become session views instead: with
     very large ledgers, leaving the staging layer unstored saves a full copy.
-    `shuffled_bytes`, about the size of the transactions, sizes the shuffles.
+    Without `as_of`, the day on which the refresh starts holds for all tables. No
+    setting of the session is changed; see `session.tune`.
     """
-    session.tune(raw.transactions.sparkSession, shuffled_bytes)
+    spark = raw.transactions.sparkSession
+    if as_of is None:
+        as_of = spark.range(1).select(F.current_date()).first()[0]
 
     def keep(name: str, table: DataFrame) -> DataFrame:
         return publish_view(name, table) if name in views else sink.publish(name, table)

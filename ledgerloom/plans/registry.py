@@ -2,29 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom import session
 from ledgerloom.functions import codes
 from ledgerloom.operators import accounts, branches, customers, divisions, metrics, quality
 from ledgerloom.operators.bridge import attach_account, branch_places
 from ledgerloom.operators.decode import flag_standalone_fees
 from ledgerloom.plans.models import PUBLISHED, WORKING, FinanceModels
+from ledgerloom.sources.schemas import MONEY
 from ledgerloom.sources.scratch import scratch_folder
-from ledgerloom.sources.tables import TableSink, read_csv
+from ledgerloom.sources.tables import TableSink, load, read_csv
 from ledgerloom.sources.testdata import AS_OF, bank_tables
 
+# Schema of the tables that round trips leave behind.
+ROUND_TRIPS = "ledgerloom_round_trips"
 Query = Callable[[SparkSession, str], DataFrame]
 Plan = Callable[[FinanceModels], DataFrame]
 
 
 def finance_models(spark: SparkSession, folder: str) -> FinanceModels:
-    raw = bank_tables(spark, folder)
-    session.tune(spark, session.scan_bytes(raw.transactions))
-    return FinanceModels(raw, AS_OF)
+    return FinanceModels(bank_tables(spark, folder), AS_OF)
 
 
 def _columns(table: str, *names: str) -> Plan:
@@ -318,10 +319,21 @@ def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """The decoded accounts stored as a catalog table and read back."""
+    """The decoded accounts stored as a table of its own and read back."""
     table = finance_models(spark, folder).int_accounts_decoded
-    sink = TableSink(path=scratch_folder(spark), namespace="default")
-    return sink.publish(PUBLISHED["int_accounts_decoded"], table)
+    sink = TableSink(path=scratch_folder(spark), namespace=ROUND_TRIPS)
+    return sink.publish(f"accounts_{uuid.uuid4().hex}", table)
+
+
+def _table_load(spark: SparkSession, folder: str) -> DataFrame:
+    """The transactions in a catalog table with amounts as doubles, loaded in their own types."""
+    raw, place = bank_tables(spark, folder), f"{ROUND_TRIPS}_{uuid.uuid4().hex}"
+    sink = TableSink(path=scratch_folder(spark), namespace=place)
+    ledgers = {"a_m": raw.accounts, "c_m": raw.customers, "f_l": raw.fees, "t_l": raw.transactions}
+    for name, ledger in ledgers.items():
+        amounts = [f.name for f in ledger.schema if f.dataType == MONEY]
+        sink.publish(name, ledger.withColumns({n: F.col(n).cast("double") for n in amounts}))
+    return load(spark, place, fmt="table").transactions
 
 
 def _planned(plan: Plan) -> Query:
@@ -332,5 +344,6 @@ def registered() -> dict[str, Query]:
     return {
         **{name: _planned(plan) for name, plan in PLANS.items()},
         "src_csv_roundtrip": _csv_roundtrip,
+        "src_table_load": _table_load,
         "sink_table_roundtrip": _table_roundtrip,
     }

@@ -1,6 +1,6 @@
 """Session settings the operators are planned for."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Every one is a runtime setting, so an existing session can take them.
 SETTINGS = {
@@ -12,41 +12,21 @@ SETTINGS = {
     # Sums that do not fit their type fail instead of wrapping around.
     "spark.sql.ansi.enabled": "true",
 }
-# Hash the smaller side of a join instead of sorting both, where Spark has measured
-# every partition of that side at no more than this size. Unlike a sort, a hash
-# table cannot spill: only for executors with some gigabytes a core.
-HASH_JOINS = {"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB"}
-TASK_BYTES = 128 * 2**20
-MOST_PARTITIONS = 32_000
-LARGE_INPUT = 2**40
 
 
-def tune(
-    spark: SparkSession, shuffled_bytes: int | None = None, hash_joins: bool = False
-) -> SparkSession:
-    """Apply the settings; with the bytes of the largest shuffle, size its tasks too.
+def tune(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+    """Apply the settings; `shuffle_partitions` too, where the caller knows the size of the data.
 
-    Partitions start at about 128 MB each, and adaptive execution merges those
-    that turn out small. From some terabytes on their size grows instead of
-    their number, and scan tasks read more each, since the driver keeps track of
-    every pair of map task and partition; such partitions sort and spill.
+    About one partition for each 128 MB of the largest shuffle serves: adaptive
+    execution merges those that turn out small and splits skewed ones.
     """
-    for name, value in (SETTINGS | HASH_JOINS if hash_joins else SETTINGS).items():
+    for name, value in SETTINGS.items():
         spark.conf.set(name, value)
-    if shuffled_bytes:
-        present = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        wanted = min(shuffled_bytes // TASK_BYTES, MOST_PARTITIONS)
-        spark.conf.set("spark.sql.shuffle.partitions", str(max(present, wanted)))
-        if shuffled_bytes >= LARGE_INPUT:
-            spark.conf.set("spark.sql.files.maxPartitionBytes", str(4 * TASK_BYTES))
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return spark
 
 
-def scan_bytes(table: DataFrame) -> int:
-    """Spark's estimate for a plain scan, taken from the length of its files."""
-    return int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
 def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
     """Single-machine session for tests and the benchmark."""
     spark = (
@@ -58,4 +38,4 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return tune(spark, hash_joins=True)
+    return tune(spark)

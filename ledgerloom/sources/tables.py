@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DataType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    FractionalType,
+    IntegralType,
+    StructType,
+)
 
 from ledgerloom.sources import schemas, seeds
 
@@ -29,6 +39,43 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.options(**_CSV).schema(schema).csv(path)
 
 
+# How far the written form of a binary number may lie from the decimal it stands for, relative to it.
+_NOISE = {DoubleType(): 1e-12, FloatType(): 1e-7}
+
+
+def _fits(value: Column, cast: Column, arriving: DataType, wanted: DataType) -> Column:
+    """Whether a cast kept the whole value; binary fractions may be off by their own rounding."""
+    if arriving in _NOISE and isinstance(wanted, DecimalType):
+        near = F.abs(value) * _NOISE[arriving] + 1e-9
+        return F.abs(value.cast("double") - cast.cast("double")) <= near
+    if isinstance(wanted, DecimalType) and not isinstance(arriving, IntegralType):
+        return value.try_cast("decimal(38,18)") == cast.cast("decimal(38,18)")
+    if isinstance(wanted, IntegralType) and isinstance(arriving, FractionalType):
+        return value == cast.cast(arriving)
+    return F.lit(True)
+
+
+def conformed(table: DataFrame, schema: StructType, name: str) -> DataFrame:
+    """The columns of `schema`, in its types. A value that a type cannot hold whole stops the query.
+
+    Columns that arrive in the right type are passed on as they are.
+    """
+    columns = []
+    for field in schema:
+        value, arriving = F.col(field.name), table.schema[field.name].dataType
+        if arriving != field.dataType:
+            cast = value.try_cast(field.dataType)
+            sound = F.coalesce(_fits(value, cast, arriving, field.dataType), F.lit(False))
+            said = F.concat(
+                F.lit(f"{name}.{field.name} cannot be {field.dataType.simpleString()}: "),
+                value.cast("string"),
+            )
+            refused = F.raise_error(said).cast(field.dataType)
+            value = F.when(value.isNull() | (cast.isNotNull() & sound), cast).otherwise(refused)
+        columns.append(value.alias(field.name))
+    return table.select(*columns)
+
+
 def load(
     spark: SparkSession,
     location: str,
@@ -40,15 +87,16 @@ def load(
     `csv` and other file formats expect `<location>/<table>` (a `.csv` suffix for
     csv); `table` expects catalog tables `<location>.<table>`. Branches and
     divisions come from `reference_location`, same layout, or from the built-in
-    lists when it is left out.
+    lists when it is left out. Whatever the format, columns come in the types of
+    `schemas`; a value that does not fit, such as an amount finer than a cent,
+    stops the query that reads it.
     """
 
     def read(where: str, name: str, schema) -> DataFrame:
-        if fmt == "table":
-            return spark.table(f"{where}.{name}")
         if fmt == "csv":
             return read_csv(spark, f"{where}/{name}.csv", schema)
-        return spark.read.schema(schema).format(fmt).load(f"{where}/{name}")
+        stored = spark.table(f"{where}.{name}") if fmt == "table" else spark.read.load(f"{where}/{name}", fmt)
+        return conformed(stored, schema, name)
 
     ledgers = {name: read(location, name, schema) for name, schema in schemas.LEDGERS.items()}
     if reference_location is None:

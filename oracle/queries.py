@@ -168,6 +168,7 @@ _STATEMENTS = {
     "fct_branch_performance": _pick("branch_performance", "*"),
     "fct_division_performance": _pick("division_performance", "*"),
     "src_csv_roundtrip": _pick("t_l", "*"),
+    "src_table_load": _pick("t_l", "*"),
     "sink_table_roundtrip": _pick("accounts", "*"),
     "join_txn_bridge": _pick(
         "placed_transactions", "transaction_id", "customer_id", "branch_code", "division_code",

@@ -11,7 +11,7 @@ from ledgerloom.functions import expressions as X
 from ledgerloom.operators.bridge import attach_account
 from ledgerloom.operators.customers import customer_360
 from ledgerloom.operators.decode import flag_standalone_fees
-from ledgerloom.plans.registry import PLANS, finance_models
+from ledgerloom.plans.registry import PLANS, finance_models, registered
 from ledgerloom.session import tune
 
 
@@ -206,18 +206,20 @@ def test_busy_account_meets_its_owner_as_few_rows(spark, small_folder):
             assert "HashAggregate" in above[:first_shuffle]
 
 
-def test_shuffles_are_sized_by_the_data(spark):
-    touched = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
-    with settings(spark, {name: spark.conf.get(name) for name in touched}):
-        sizes = {}
-        for size in (10 * 2**20, 64 * 2**30, 100 * 2**40):
-            tune(spark, size)
-            sizes[size] = tuple(spark.conf.get(name) for name in touched)
-    assert sizes == {
-        10 * 2**20: ("4", "134217728b"),
-        64 * 2**30: ("512", "134217728b"),
-        100 * 2**40: ("32000", str(512 * 2**20)),
-    }
+def test_queries_leave_the_session_alone(spark, small_folder):
+    before = {row["key"]: row["value"] for row in spark.sql("SET").collect()}
+    for name in ("fct_branch_performance", "dq_report", "metric_region_rollup"):
+        registered()[name](spark, small_folder)
+    assert {row["key"]: row["value"] for row in spark.sql("SET").collect()} == before
+
+
+def test_partitions_are_the_callers_choice(spark):
+    name = "spark.sql.shuffle.partitions"
+    with settings(spark, {name: spark.conf.get(name)}):
+        tune(spark)
+        assert spark.conf.get(name) == "4"
+        tune(spark, 819_200)
+        assert spark.conf.get(name) == "819200"
 
 
 def test_expressions_are_exact(spark):
