@@ -1,8 +1,15 @@
+import sys
+from pathlib import Path
+
 import pytest
 
-from ledgerloom.llm.stored import package_on_workers
+sys.path.insert(0, str(Path(__file__).parent))
+
+from conftest_path import FOLDER  # noqa: E402
+
+from ledgerloom.llm.stored import package_on_workers  # noqa: E402
+
 
-FOLDER = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(autouse=True)
