@@ -210,30 +210,44 @@ def _count_row_level(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return _labelled(table.agg(*counts), checks)
 
 
-def _count_across_rows(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
-    table = tables[check.table]
-    if check.test == "unique":
-        failing = repeated_values(table, check.column).agg(F.count(F.lit(1)).alias("check_0"))
-    else:
-        parent = tables[check.parent]
-        failing = orphan_values(table, check.column, parent, check.parent_column).agg(
-            F.coalesce(F.sum("occurrences"), F.lit(0)).alias("check_0")
-        )
-    return _labelled(failing, [check])
+def _count_key(table: DataFrame, column: str, checks: Sequence[Check]) -> DataFrame:
+    """Repeated and missing values of a column in one pass."""
+    per_value = table.groupBy(column).agg(F.count(F.lit(1)).alias("occurrences"))
+    missing = F.col(column).isNull()
+    counts = {
+        "unique": F.count_if(~missing & (F.col("occurrences") > 1)),
+        "not_null": F.coalesce(F.sum(F.when(missing, F.col("occurrences"))), F.lit(0)),
+    }
+    return _labelled(
+        per_value.agg(*[counts[c.test].alias(f"check_{i}") for i, c in enumerate(checks)]), checks
+    )
+
+
+def _count_orphans(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
+    orphans = orphan_values(
+        tables[check.table], check.column, tables[check.parent], check.parent_column
+    )
+    total = F.coalesce(F.sum("occurrences"), F.lit(0))
+    return _labelled(orphans.agg(total.alias("check_0")), [check])
 
 
 def report(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS) -> DataFrame:
     """One row per check with its violations and outcome.
 
-    Violations are repeated values for `unique` and rows for the other tests.
+    Violations are repeated values for `unique` and rows for the other tests. `unique` and
+    `not_null` of a column share a pass, and all row-level checks of a table share one.
     """
-    parts = []
+    keys = {(c.table, c.column): [] for c in checks if c.test == "unique"}
     row_level: dict[str, list[Check]] = {}
+    parts = []
     for check in checks:
-        if check.test in ("not_null", "accepted_values"):
-            row_level.setdefault(check.table, []).append(check)
+        if check.test == "relationships":
+            parts.append(_count_orphans(tables, check))
+        elif check.test != "accepted_values" and (check.table, check.column) in keys:
+            keys[check.table, check.column].append(check)
         else:
-            parts.append(_count_across_rows(tables, check))
+            row_level.setdefault(check.table, []).append(check)
+    parts += [_count_key(tables[name], column, group) for (name, column), group in keys.items()]
     parts += [_count_row_level(tables[name], group) for name, group in row_level.items()]
     outcome = (
         F.when(F.col("violations") == 0, "pass")

@@ -15,13 +15,29 @@ from ledgerloom.plans.models import LAYERS, PUBLISHED, FinanceModels
 from ledgerloom.sources.tables import RawTables, TableSink, publish_view
 
 
+# Name of the stored check report.
+REPORT = "data_checks"
+
+
+class ChecksFailed(Exception):
+    """Data checks of severity `error` found violations."""
+
+
 @dataclass(frozen=True)
 class Refreshed:
-    """Scans of the published tables, by name, and the check report, not yet run."""
+    """Scans of the published tables, by name, and of the stored check report."""
 
     tables: dict[str, DataFrame]
     checks: DataFrame
 
+    def require_passed(self) -> None:
+        """Raise with the names of failed checks; warnings pass."""
+        # one row per declared check at most
+        failed = self.checks.where("outcome = 'fail'").collect()
+        if failed:
+            names = sorted(f"{r.table_name}.{r.column_name} {r.test}" for r in failed)
+            raise ChecksFailed(", ".join(names))
+
 
 def refresh(
     raw: RawTables,
@@ -36,6 +52,7 @@ def refresh(
     facts that need it. Tables of a layer are stored side by side, so that the
     last tasks of one leave no executor idle. Names in `views` become session views instead: with
     very large ledgers, leaving the staging layer unstored saves a full copy.
+    The check report runs over the stored tables and is stored as `data_checks`.
     Without `as_of`, the day on which the refresh starts holds for all tables. No
     setting of the session is changed; see `session.tune`.
     """
@@ -52,7 +69,7 @@ def refresh(
         with ThreadPoolExecutor(len(layer)) as pool:
             stored = pool.map(lambda attribute: getattr(models, attribute), layer)
             tables |= zip([PUBLISHED[attribute] for attribute in layer], stored)
-    return Refreshed(tables, quality.report(models.checked_tables()))
+    return Refreshed(tables, sink.publish(REPORT, quality.report(models.checked_tables())))
 
 
 def register_views(raw: RawTables, as_of: AsOf = None) -> FinanceModels:

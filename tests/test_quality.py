@@ -105,3 +105,15 @@ def test_grain_report(spark):
     table = spark.createDataFrame([(1, 1), (1, 1), (1, 2)], "a int, b int")
     rows = quality.grain_report({"t": table}, {"t": ("a", "b")}).collect()
     assert [tuple(r) for r in rows] == [("t", "a, b", 3, 1)]
+
+
+def test_key_checks_share_a_pass(spark):
+    table = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "id int")
+    checks = [quality.unique("t", "id"), quality.not_null("t", "id")]
+    report = quality.report({"t": table}, checks)
+    assert {(r.test, r.violations, r.outcome) for r in report.collect()} == {
+        ("unique", 1, "fail"),
+        ("not_null", 2, "fail"),
+    }
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == len(checks) - 1

@@ -8,6 +8,7 @@ from bank import AS_OF, hand_made
 
 from ledgerloom import FinanceModels, TableSink, load, refresh, register_views
 from ledgerloom.plans.models import PUBLISHED
+from ledgerloom.plans.refresh import ChecksFailed, Refreshed
 from ledgerloom.sources import schemas
 from ledgerloom.sources.scratch import scratch_folder
 
@@ -143,3 +144,14 @@ def test_scratch_folder_is_shared_on_a_cluster(spark):
     with pytest.raises(RuntimeError):
         scratch_folder(session_with("yarn"))
     assert scratch_folder(spark) != scratch_folder(spark)
+
+
+def test_report_is_stored_and_errors_can_stop(spark, tmp_path):
+    done = refresh(hand_made(spark), TableSink(path=str(tmp_path)), AS_OF)
+    assert rows(spark.read.parquet(f"{tmp_path}/data_checks")) == rows(done.checks)
+    columns = "table_name string, column_name string, test string, outcome string"
+    warned = [("f_l", "t_id", "relationships", "warn"), ("f_l", "f_id", "unique", "pass")]
+    Refreshed({}, spark.createDataFrame(warned, columns)).require_passed()
+    failed = [*warned, ("a_m", "a_id", "unique", "fail")]
+    with pytest.raises(ChecksFailed, match="a_m.a_id unique"):
+        Refreshed({}, spark.createDataFrame(failed, columns)).require_passed()
