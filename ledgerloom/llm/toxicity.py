@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import NamedTuple
 
@@ -81,6 +82,32 @@ def read(texts: list[bytes]) -> _Read:
     return _Read(word_rows, char_rows, np.cumsum(counts) - counts, which, found.counts)
 
 
+def parts_of(texts: list[bytes], most: int = SLICE_BYTES // 2) -> Iterator[slice]:
+    """Neighbouring texts of `most` bytes together, one text at least."""
+    start, size = 0, 0
+    for row, content in enumerate(texts):
+        if row > start and size + len(content) > most:
+            yield slice(start, row)
+            start, size = row, 0
+        size += len(content)
+    if texts:
+        yield slice(start, len(texts))
+
+
+def read_in_parts(texts: list[bytes]) -> _Read:
+    """As `read`, with the working memory of one part; a word has a row in each part that holds it."""
+    parts = [read(texts[part]) for part in parts_of(texts)] or [read(texts)]
+    rows = np.cumsum([0, *(len(p.word_rows) for p in parts)])
+    chars = np.cumsum([0, *(len(p.char_rows) for p in parts)])
+    return _Read(
+        np.concatenate([p.word_rows for p in parts]),
+        np.concatenate([p.char_rows for p in parts]),
+        np.concatenate([p.char_starts + first for p, first in zip(parts, chars)]),
+        np.concatenate([p.which + first for p, first in zip(parts, rows)]),
+        np.concatenate([p.counts for p in parts]),
+    )
+
+
 def features(detector: Detector, text: _Read) -> np.ndarray:
     """Of every distinct word: its embedding, and the largest of its character runs in each dimension."""
     if not len(text.word_rows):
@@ -121,6 +148,25 @@ def window_logits(detector: Detector, text: _Read, start, length, batch: int = 2
     return out
 
 
+def _of_words(text: _Read, used: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The character runs of some words one after another, where each word's begin, and their number."""
+    taken = np.diff(text.char_starts, append=len(text.char_rows))[used]
+    begins = np.cumsum(taken) - taken
+    return text.char_rows[np.arange(taken.sum()) + np.repeat(text.char_starts[used] - begins, taken)], begins, taken
+
+
+def logits_in_parts(detector: Detector, text: _Read, start, length, most: int = 4096) -> np.ndarray:
+    """As `window_logits` of windows in order, with inputs of only the words that `most` windows hold."""
+    out = []
+    for k in range(0, len(start), most):
+        some, lengths = start[k : k + most], length[k : k + most]
+        used, which = np.unique(text.which[some[0] : some[-1] + lengths[-1]], return_inverse=True)
+        char_rows, begins, _ = _of_words(text, used)
+        part = _Read(text.word_rows[used], char_rows, begins, which, text.counts)
+        out.append(window_logits(detector, part, some - some[0], lengths))
+    return np.concatenate(out)
+
+
 def score_texts(detector: Detector, texts: list[bytes]) -> np.ndarray:
     """The likeliest window of each text decides; texts without words score 0."""
     text = read(texts)
@@ -151,7 +197,7 @@ def train(texts: list[bytes], label: np.ndarray, settings: Settings = Settings()
     one, are clean examples.
     """
     random = np.random.default_rng(settings.seed)
-    text = read(texts)
+    text = read_in_parts(texts)
     size = settings.embedding
     tables = [(random.standard_normal((1 << bits, size)) * 0.1).astype(np.float32) for bits in (WORD_BITS, CHAR_BITS)]
     detector = Detector(*tables, gru.new_weights(2 * size, settings.hidden, random), settings)
@@ -162,11 +208,10 @@ def train(texts: list[bytes], label: np.ndarray, settings: Settings = Settings()
         detector.weights["out"][:] = 0
         return detector
     owner_of_word = np.repeat(np.arange(len(texts)), text.counts)
-    counts = np.diff(np.append(text.char_starts, len(text.char_rows)))
     ends = np.cumsum(text.counts)
     parts = [slice(a, b) for a, b in zip([0, *ends[99::100]], [*ends[99::100], ends[-1]])]
-    word_groups = [(text.word_rows[text.which[p]], owner_of_word[p]) for p in parts]
-    char_groups = (_chars_of_texts(text, counts, owner_of_word[p], text.which[p]) for p in parts if p.stop > p.start)
+    word_groups = ((text.word_rows[text.which[p]], owner_of_word[p]) for p in parts)
+    char_groups = (_chars_of_texts(text, owner_of_word[p], text.which[p]) for p in parts if p.stop > p.start)
     for table, groups in ((detector.words, word_groups), (detector.chars, char_groups)):
         table[:, 0] = np.clip(_log_odds(groups, label, len(table)), -4, 4) / 2
     owner, start, length = windows(text.counts, settings.window, settings.stride)
@@ -176,7 +221,7 @@ def train(texts: list[bytes], label: np.ndarray, settings: Settings = Settings()
     adam = gru.Adam(settings.rate)
     for number in range(settings.rounds):
         if number:
-            logits = window_logits(detector, text, start, length)
+            logits = logits_in_parts(detector, text, start, length)
         order = np.lexsort((-logits, owner))
         heads = np.flatnonzero(np.diff(owner[order], prepend=-1))
         best = order[heads]
@@ -190,8 +235,8 @@ def train(texts: list[bytes], label: np.ndarray, settings: Settings = Settings()
         weigh = np.minimum(weigh, 3.0)
         for _ in range(settings.steps):
             part = random.choice(len(chosen), min(settings.batch, len(chosen)), replace=False)
-            _learn(detector, text, counts, start[chosen[part]], length[chosen[part]], target[part], weigh[part], adam, everything)
-    _centre(detector, window_logits(detector, text, start, length), owner, label)
+            _learn(detector, text, start[chosen[part]], length[chosen[part]], target[part], weigh[part], adam, everything)
+    _centre(detector, logits_in_parts(detector, text, start, length), owner, label)
     return detector
 
 
@@ -205,26 +250,22 @@ def _centre(detector: Detector, logits: np.ndarray, owner: np.ndarray, label: np
         detector.weights["out_bias"] -= np.float32((clean + toxic) / 2)
 
 
-def _chars_of_texts(text: _Read, counts: np.ndarray, owner: np.ndarray, which: np.ndarray):
+def _chars_of_texts(text: _Read, owner: np.ndarray, which: np.ndarray):
     """Every character run of some texts, once for each distinct word of a text, and its text."""
-    owner, which = np.divmod(np.unique(owner * len(counts) + which), len(counts))
-    taken = counts[which]
-    upto = np.cumsum(taken)
-    places = np.arange(upto[-1]) + np.repeat(text.char_starts[which] - (upto - taken), taken)
-    return text.char_rows[places], np.repeat(owner, taken)
+    number = len(text.word_rows)
+    owner, which = np.divmod(np.unique(owner * number + which), number)
+    char_rows, _, taken = _of_words(text, which)
+    return char_rows, np.repeat(owner, taken)
 
 
-def _learn(detector, text, counts, start, length, target, weigh, adam, everything) -> None:
+def _learn(detector, text, start, length, target, weigh, adam, everything) -> None:
     """One step of gradient descent on a batch of windows."""
     settings, size = detector.settings, detector.settings.embedding
     steps = np.arange(settings.window)[:, None]
     at = np.minimum(start + np.where(steps < length, steps, 0), len(text.which) - 1)
     used, rows = np.unique(text.which[at], return_inverse=True)
     rows = rows.reshape(at.shape)
-    taken = counts[used]
-    upto = np.cumsum(taken)
-    places = np.arange(upto[-1]) + np.repeat(text.char_starts[used] - (upto - taken), taken)
-    char_rows, begins = text.char_rows[places], upto - taken
+    char_rows, begins, taken = _of_words(text, used)
     values = detector.chars[char_rows]
     pooled = np.maximum.reduceat(values, begins, axis=0)
     given = np.concatenate((detector.words[text.word_rows[used]], pooled), axis=1)
@@ -290,14 +331,9 @@ def toxicity_of(spark: SparkSession, text: str | Column, detector: Detector) ->
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         contents = [b"" if t is None else t.encode() for t in texts]
-        scores, start, size = np.zeros(len(contents)), 0, 0
-        for row, content in enumerate(contents):
-            if row > start and size + len(content) > SLICE_BYTES // 2:
-                scores[start:row] = score_texts(shared.value, contents[start:row])
-                start, size = row, 0
-            size += len(content)
-        if contents:
-            scores[start:] = score_texts(shared.value, contents[start:])
+        scores = np.zeros(len(contents))
+        for part in parts_of(contents):
+            scores[part] = score_texts(shared.value, contents[part])
         return pd.Series(scores)
 
     return score.asNondeterministic()(text)
