@@ -192,9 +192,9 @@ def _log_odds(groups: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, si
 def train(texts: list[bytes], label: np.ndarray, settings: Settings = Settings()) -> Detector:
     """Fit the network to texts, of which only the whole is labelled.
 
-    The first dimension of the embeddings starts as log odds of the training labels. In each round the
-    likeliest window of a toxic text stands for it, and the likeliest two of a clean one, besides a random
-    one, are clean examples.
+    The first dimension of the embeddings starts as log odds of the training labels, and attention starts
+    from those. In each round the likeliest window of a toxic text stands for it, and the likeliest two of a
+    clean one, besides a random one, are clean examples.
     """
     random = np.random.default_rng(settings.seed)
     text = read_in_parts(texts)
@@ -214,6 +214,7 @@ def train(texts: list[bytes], label: np.ndarray, settings: Settings = Settings()
     char_groups = (_chars_of_texts(text, owner_of_word[p], text.which[p]) for p in parts if p.stop > p.start)
     for table, groups in ((detector.words, word_groups), (detector.chars, char_groups)):
         table[:, 0] = np.clip(_log_odds(groups, label, len(table)), -4, 4) / 2
+    _attend_to_odds(detector.weights, size, settings.hidden)
     owner, start, length = windows(text.counts, settings.window, settings.stride)
     first = features(detector, text)[:, [0, size]].sum(axis=1)[text.which]
     logits = np.array([first[a:b].max() for a, b in zip(start, start + length)])
@@ -240,6 +241,18 @@ def train(texts: list[bytes], label: np.ndarray, settings: Settings = Settings()
     return detector
 
 
+def _attend_to_odds(weights: gru.Weights, size: int, hidden: int) -> None:
+    """Let training start from a network whose first unit follows the log odds and draws the attention.
+
+    Otherwise one toxic word among many clean ones has a small share of the pooled state.
+    """
+    weights["input"][:, [0, size], 2 * hidden] += 1
+    weights["input_bias"][:, 0] -= 3  # of the gate that keeps the state before
+    weights["attend"][[0, hidden], 0] += 1
+    weights["attend_out"][0] += 6
+    weights["out"][[0, hidden]] += 1
+
+
 def _centre(detector: Detector, logits: np.ndarray, owner: np.ndarray, label: np.ndarray) -> None:
     """Put zero halfway between the highest clean texts and the lowest toxic ones, a few of each aside."""
     best = np.full(len(label), -np.inf)
