@@ -14,8 +14,8 @@ ROWS_PER_LANGUAGE = 128
 DICTIONARY_BYTES = 64 * 1024
 MOST_LANGUAGES = 200
 PIECE_BYTES = 4 * 1024
-MIN_MARGIN = 0.002
-LEAST_EVIDENCE = 200  # bytes; shorter texts are not rejected for a narrow margin
+MIN_MARGIN = 0.02  # of the second size
+MIN_GAIN = 0.01  # of the size without a dictionary
 LEVEL = 6
 UNKNOWN = "und"
 Dictionaries = tuple[tuple[str, bytes], ...]
@@ -71,6 +71,7 @@ def learn_dictionaries(
 
 @lru_cache(maxsize=4)
 def _compressors(dictionaries: Dictionaries) -> list[zstandard.ZstdCompressor]:
+    """One for each dictionary, and one without."""
     made = []
     for _, content in dictionaries:
         known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -80,42 +81,57 @@ def _compressors(dictionaries: Dictionaries) -> list[zstandard.ZstdCompressor]:
                 level=LEVEL, dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False
             )
         )
+    made.append(
+        zstandard.ZstdCompressor(level=LEVEL, write_checksum=False, write_content_size=False, write_dict_id=False)
+    )
     return made
 
 
 def compressed_sizes(text: bytes, dictionaries: Dictionaries) -> list[int]:
-    """Bytes of the whole text under each dictionary, piece by piece, so that the dictionary stays near."""
+    """Bytes of the whole text under each dictionary and then without one.
+
+    It is compressed piece by piece, so that the dictionary stays near.
+    """
     pieces = [text[k : k + PIECE_BYTES] for k in range(0, len(text), PIECE_BYTES)]
     return [sum(len(c.compress(p)) for p in pieces) for c in _compressors(dictionaries)]
 
 
-def classify(text: str | None, dictionaries: Dictionaries, min_margin: float) -> tuple[str, float, bool]:
+def classify(
+    text: str | None, dictionaries: Dictionaries, min_margin: float, min_gain: float
+) -> tuple[str, float, bool]:
     """Language, score and whether to reject."""
     if text is None or not dictionaries or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0, True
-    content = text.lower().encode()
-    sizes = compressed_sizes(content, dictionaries)
+    *sizes, alone = compressed_sizes(text.lower().encode(), dictionaries)
     order = sorted(range(len(sizes)), key=lambda k: (sizes[k], k))
+    best = sizes[order[0]]
+    strange = alone - best <= min_gain * alone
     if len(order) == 1:
-        return dictionaries[0][0], 1.0, False
-    best, second = sizes[order[0]], sizes[order[1]]
-    narrow = (second - best) / second < min_margin and len(content) >= LEAST_EVIDENCE
-    return dictionaries[order[0]][0], second / (best + second), narrow
-
-
-def language_of(text: str | Column, dictionaries: Dictionaries, min_margin: float = MIN_MARGIN) -> Column:
+        return dictionaries[0][0], 1.0, strange
+    second = sizes[order[1]]
+    narrow = second - best < min_margin * second
+    return dictionaries[order[0]][0], second / (best + second), strange or narrow
+
+
+def language_of(
+    text: str | Column,
+    dictionaries: Dictionaries,
+    min_margin: float = MIN_MARGIN,
+    min_gain: float = MIN_GAIN,
+) -> Column:
     """A struct of lang_pred, score and rejected for a text column.
 
     The whole text is compressed with every dictionary; the smallest size wins, of equal sizes the more
-    frequent language. score is second / (best + second), 0.5 when two languages do equally well. A text is
-    rejected when the winner saves less than `min_margin` of the second size, unless it is so short that
-    whole bytes cannot tell (`LEAST_EVIDENCE`), and when it is null, empty or has no letter, which gives
-    `und` and score 0. Without dictionaries everything is `und`.
+    frequent language. score is second / (best + second), 0.5 when two languages do equally well and 1 with
+    a single dictionary. A text of any length is rejected when the winner saves less than `min_margin` of the
+    second size, or no more than `min_gain` of the size without a dictionary, so ties are always rejected; and
+    when it is null, empty or has no letter, which gives `und` and score 0. Without dictionaries everything
+    is `und`.
     """
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        found = [classify(t, dictionaries, min_margin) for t in texts]
+        found = [classify(t, dictionaries, min_margin, min_gain) for t in texts]
         return pd.DataFrame(found, columns=["lang_pred", "score", "rejected"])
 
     return predict.asNondeterministic()(text)

@@ -1,3 +1,5 @@
+from random import Random
+
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import language
@@ -31,3 +33,23 @@ def test_odd_rows(spark, documents, odd_texts, no_texts):
     assert language.learn_dictionaries(no_texts) == ()
     assert no_texts.select(language.language_of("text", learned)).count() == 0
     assert {r[0]["lang_pred"] for r in odd_texts.select(language.language_of("text", ())).collect()} == {"und"}
+
+
+def test_strange_texts_go_and_clean_ones_stay(spark, documents):
+    """A language that was left out, and letters at random, at every length."""
+    random = Random(4)
+    junk = ["".join(random.choices("abcdefghijklmnopqrstuvwxyz ", k=n)) for n in (40, 150, 400) for _ in range(60)]
+    held_out, training = documents.where("doc_id % 4 = 1"), documents.where("doc_id % 4 <> 1")
+
+    def rejected(texts, learned):
+        found = texts.select(language.language_of("text", learned)["rejected"]).collect()
+        return sum(r[0] for r in found) / len(found)
+
+    every = language.learn_dictionaries(training)
+    assert rejected(spark.createDataFrame([(t,) for t in junk], "text string"), every) >= 0.98
+    for cut in (100, 200, 100_000):
+        texts = held_out.where(F.length("text") >= 100).select("lang", F.substring("text", 1, cut).alias("text"))
+        assert rejected(texts, every) <= 0.02
+        for name in ("de", "es"):
+            others = language.learn_dictionaries(training.where(F.col("lang") != name))
+            assert rejected(texts.where(F.col("lang") == name), others) >= 0.75
