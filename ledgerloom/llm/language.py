@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 ROWS_PER_LANGUAGE = 128
 DICTIONARY_BYTES = 64 * 1024
 MOST_LANGUAGES = 200
+SPREAD = 1 << 30  # places that texts hash to
 PIECE_BYTES = 4 * 1024
 MIN_MARGIN = 0.02  # of the second size
 MIN_GAIN = 0.01  # of the size without a dictionary
@@ -31,42 +32,55 @@ def learn_dictionaries(
 ) -> Dictionaries:
     """A raw-content dictionary for each language, from a bounded sample of the labelled rows.
 
-    Of each of the `most_languages` most frequent languages, the `rows_per_language` rows whose texts hash
-    lowest (ties: by text) give equal parts of the dictionary, from the middle of their texts. Rows with a
-    null text or language are left out; repeated texts count once. Without any row there are no dictionaries.
-    The most frequent language comes first.
+    Of each of the `most_languages` most frequent languages, the `rows_per_language` different texts that hash
+    lowest (ties: by text), or all if there are fewer, give equal parts of the dictionary, from the middle of
+    the texts. Rows with a null text or language are left out; repeated texts count once. Without any row there
+    are no dictionaries. The most frequent language comes first.
     """
-    spread = 1 << 30
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
-        F.col(text).alias("text"), F.col(lang).alias("lang")
+        F.col(text).alias("text"), F.col(lang).alias("lang"), F.pmod(F.xxhash64(text), F.lit(SPREAD)).alias("place")
     )
+    places = rows.groupBy("lang", "place").agg(F.count("*").alias("rows"))
+    sizes = places.groupBy("lang").agg(F.sum("rows").alias("rows"), F.count("*").alias("places"))
     counts = {
-        r["lang"]: r["count"]
-        for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+        r["lang"]: (r["rows"], r["places"])
+        for r in sizes.orderBy(F.desc("rows"), "lang").limit(most_languages).collect()
     }
-    if not counts:
-        return ()
     part = dictionary_bytes // rows_per_language
-    # of every language some times the rows wanted, whatever its share; all if it has so few
-    limits = {name: min(spread, spread * 8 * rows_per_language // n + 1) for name, n in counts.items()}
-    limit = F.create_map(*[F.lit(x) for item in limits.items() for x in item])
-    hashed = rows.withColumn("place", F.pmod(F.xxhash64("text"), F.lit(spread)))
-    chosen = hashed.where(F.col("place") < F.try_element_at(limit, F.col("lang"))).distinct()
+    # of every language some times the texts wanted, whatever its share or copies; all if it has so few
+    limits = {name: min(SPREAD, SPREAD * 8 * rows_per_language // n + 1) for name, (_, n) in counts.items()}
+    texts: dict[str, list[str]] = {}
+    while limits:
+        found = _lowest(rows, limits, rows_per_language, part)
+        enough = {
+            name
+            for name, limit in limits.items()
+            if limit == SPREAD or len(found.get(name, ())) >= min(rows_per_language, counts[name][1])
+        }
+        texts |= {name: found[name] for name in enough if name in found}
+        limits = {name: min(SPREAD, 16 * limit) for name, limit in limits.items() if name not in enough}
+    frequent = sorted(texts, key=lambda name: (-counts[name][0], name))
+    return tuple((name, "\n".join(texts[name]).lower().encode()[:dictionary_bytes]) for name in frequent)
+
+
+def _lowest(rows: DataFrame, limits: dict[str, int], most: int, part: int) -> dict[str, list[str]]:
+    """Middles of the `most` different texts of each language with the lowest places below its limit, in order."""
+    below = rows.sparkSession.createDataFrame(list(limits.items()), "lang string, below long")
+    chosen = rows.join(F.broadcast(below), "lang").where("place < below").select("lang", "place", "text").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))
     middle = F.substring(
         "text", (F.greatest(F.lit(0), (F.length("text") - part) / 2) + 1).cast("int"), F.lit(part)
     )
     sample = (
         chosen.withColumn("rank", rank)
-        .where(F.col("rank") <= rows_per_language)
+        .where(F.col("rank") <= most)
         .select("lang", "rank", middle.alias("middle"))
         .collect()
     )
     texts: dict[str, list[str]] = {}
     for row in sorted(sample):
         texts.setdefault(row["lang"], []).append(row["middle"])
-    frequent = sorted(texts, key=lambda name: (-counts[name], name))
-    return tuple((name, "\n".join(texts[name]).lower().encode()[:dictionary_bytes]) for name in frequent)
+    return texts
 
 
 @lru_cache(maxsize=4)

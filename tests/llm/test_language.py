@@ -53,3 +53,13 @@ def test_strange_texts_go_and_clean_ones_stay(spark, documents):
         for name in ("de", "es"):
             others = language.learn_dictionaries(training.where(F.col("lang") != name))
             assert rejected(texts.where(F.col("lang") == name), others) >= 0.75
+
+
+def test_languages_of_copies_have_dictionaries(spark):
+    """The sample is taken of different texts: thousands of copies do not push a language out of it."""
+    texts = {f"l{k}": f"{word} " * 30 for k, word in enumerate(("alpha", "beta", "gamma", "delta"))}
+    copies = spark.range(50_000).crossJoin(spark.createDataFrame(list(texts.items()), "lang string, text string"))
+    others = spark.range(300).selectExpr("'l0' AS lang", "concat('other ', id) AS text")
+    learned = dict(language.learn_dictionaries(copies.select("lang", "text").union(others)))
+    assert learned.keys() == texts.keys()
+    assert learned["l1"].decode() == texts["l1"] and len(learned["l0"].decode().split("\n")) == language.ROWS_PER_LANGUAGE
