@@ -12,7 +12,9 @@ from pyspark.sql.window import Window
 
 ROWS_PER_LANGUAGE = 128
 DICTIONARY_BYTES = 64 * 1024
-MOST_LANGUAGES = 200
+ALL_BYTES = 200 * DICTIONARY_BYTES  # of all dictionaries
+LEAST_BYTES = 512  # of a dictionary
+LEAST_PART = 64  # characters of a text
 SPREAD = 1 << 30  # places that texts hash to
 PIECE_BYTES = 4 * 1024
 MIN_MARGIN = 0.02  # of the second size
@@ -28,14 +30,15 @@ def learn_dictionaries(
     lang: str = "lang",
     rows_per_language: int = ROWS_PER_LANGUAGE,
     dictionary_bytes: int = DICTIONARY_BYTES,
-    most_languages: int = MOST_LANGUAGES,
+    all_bytes: int = ALL_BYTES,
 ) -> Dictionaries:
     """A raw-content dictionary for each language, from a bounded sample of the labelled rows.
 
-    Of each of the `most_languages` most frequent languages, the `rows_per_language` different texts that hash
-    lowest (ties: by text), or all if there are fewer, give equal parts of the dictionary, from the middle of
-    the texts. Rows with a null text or language are left out; repeated texts count once. Without any row there
-    are no dictionaries. The most frequent language comes first.
+    Every language has one. Of each, the `rows_per_language` different texts that hash lowest (ties: by text),
+    or all if there are fewer, give equal parts of the dictionary, from the middle of the texts. Languages that
+    would take more than `all_bytes` together get smaller dictionaries, of fewer texts, but not below
+    `LEAST_BYTES`. Rows with a null text or language are left out; repeated texts count once. Without any row
+    there are no dictionaries. The most frequent language comes first.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(text).alias("text"), F.col(lang).alias("lang"), F.pmod(F.xxhash64(text), F.lit(SPREAD)).alias("place")
@@ -44,8 +47,10 @@ def learn_dictionaries(
     sizes = places.groupBy("lang").agg(F.sum("rows").alias("rows"), F.count("*").alias("places"))
     counts = {
         r["lang"]: (r["rows"], r["places"])
-        for r in sizes.orderBy(F.desc("rows"), "lang").limit(most_languages).collect()
+        for r in sizes.collect()
     }
+    dictionary_bytes = min(dictionary_bytes, max(LEAST_BYTES, all_bytes // max(1, len(counts))))
+    rows_per_language = min(rows_per_language, max(1, dictionary_bytes // LEAST_PART))
     part = dictionary_bytes // rows_per_language
     # of every language some times the texts wanted, whatever its share or copies; all if it has so few
     limits = {name: min(SPREAD, SPREAD * 8 * rows_per_language // n + 1) for name, (_, n) in counts.items()}

@@ -63,3 +63,17 @@ def test_languages_of_copies_have_dictionaries(spark):
     learned = dict(language.learn_dictionaries(copies.select("lang", "text").union(others)))
     assert learned.keys() == texts.keys()
     assert learned["l1"].decode() == texts["l1"] and len(learned["l0"].decode().split("\n")) == language.ROWS_PER_LANGUAGE
+
+
+def test_rare_languages_are_learned(spark):
+    """Every language of 250 has a dictionary, within the bytes of all, and its texts are told by it."""
+    random = Random(8)
+    words = {f"l{k:03}": ["".join(random.choices("abcdefghijklmnop", k=9)) for _ in range(12)] for k in range(250)}
+    texts = [(name, " ".join(random.choices(own, k=20))) for name, own in words.items() for _ in range(3)]
+    labelled = spark.createDataFrame(texts, "lang string, text string")
+    learned = language.learn_dictionaries(labelled)
+    assert {name for name, _ in learned} == words.keys()
+    found = labelled.select("lang", language.language_of("text", learned)["lang_pred"].alias("found")).collect()
+    assert all(r["lang"] == r["found"] for r in found)
+    small = language.learn_dictionaries(labelled, all_bytes=250 * 600)
+    assert len(small) == 250 and all(0 < len(content) <= 600 for _, content in small)
