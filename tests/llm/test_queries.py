@@ -62,3 +62,12 @@ def test_pipeline_stages(spark, documents):
     assert {r[0] for r in kept[3].select("doc_id").collect()} == {k for k, (_, _, first) in groups.items() if first}
     pieces = corpus_pipeline.packed(spark, kept[3], FOLDER)
     assert {r[0] for r in pieces.select("doc_id").distinct().collect()} == {r[0] for r in kept[3].select("doc_id").collect()}
+
+
+def test_near_duplicates_go_by_row(spark):
+    """One row of each group stays, with repeated and null keys too, and no text goes with another's copy."""
+    one, two, three = ("one two three four five six", "red green blue black white grey", "do re mi fa sol la ti")
+    rows = [(2, one), (2, one), (1, one), (None, two), (None, two), (3, one), (3, three), (4, None), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.without_near_duplicates(spark, docs, FOLDER).collect()
+    assert Counter(map(tuple, kept)) == Counter([(1, one), (None, two), (3, three), (4, None), (4, None)])
