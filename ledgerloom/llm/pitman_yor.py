@@ -1,9 +1,10 @@
-"""Seating of a hierarchical Pitman-Yor model whose context restaurants share parents.
+"""Seating of a hierarchical Pitman-Yor model of words after words.
 
-A dish is a word (its hash without the last byte). Customers of a word sit in the restaurant of the
-context they come from, every table there sends one customer to the parent restaurant of the context,
-and every table of a parent one to the root, where each known word has one table: the base measure is
-spread over all possible words, so unknown words share what the root keeps for new tables.
+A dish is a word (its hash without the last byte). Customers of a word sit in the restaurant of the word
+before them, of which there are as many as words (`Seats`). Every table there sends one customer to the
+restaurant of the class of the word before, every table of a class one to the parent it shares with other
+classes, and every table of a parent one to the root, where each known word has one table (`Shard`): the
+base measure is spread over all possible words, so unknown words share what the root keeps for new tables.
 
 A sweep seats all customers of a word anew in every restaurant by the Chinese restaurant process, given
 the tables of all other words after the sweep before. Words are thus independent of each other within a
@@ -13,10 +14,13 @@ sweep, and shards of them only need the totals of each restaurant.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
 
+from ledgerloom.llm.textbytes import mixed
+
 CONTEXTS, PARENTS = 256, 16
 PER_PARENT = CONTEXTS // PARENTS
 STRENGTH = 1.0
@@ -131,10 +135,11 @@ class Shard:
         own = (self.customers - discounts[0] * self.tables) / (totals.customers[self.context] + STRENGTH)
         return root, parent, own + totals.context_new()[self.context] * parent[self.pair]
 
-    def sweep(self, totals: Totals, random: np.random.Generator) -> None:
-        """Seat everybody anew, given the totals of the sweep before."""
+    def sweep(self, totals: Totals, random: np.random.Generator, customers: np.ndarray | None = None) -> None:
+        """Seat everybody, or other customers of the same dishes, anew, given the totals of the sweep before."""
         discounts = totals.discounts
         root, parent, _ = self.predictive(totals)
+        self.customers = self.customers if customers is None else customers
         weight = (STRENGTH + discounts[0] * totals.tables[self.context]) * parent[self.pair]
         tables = seat(self.customers, weight, discounts[0], random)
         weight = (STRENGTH + discounts[1] * totals.parent_tables[self.parent]) * root[self.pair_word]
@@ -162,6 +167,81 @@ class Shard:
         return np.where(known, self.word_counts[place], 0)
 
 
+def discount(ones: float, twos: float) -> float:
+    """Of real contexts, from the numbers of their dishes served once and twice."""
+    return float(np.clip(ones / max(ones + 2 * twos, 1), 0.05, 0.95))
+
+
+def places(keys: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Of real contexts, spread evenly: the class in the last byte of the keys and 32 bits of the word before."""
+    return mixed((keys & np.uint64(255)) << np.uint64(32) | before.astype(np.uint64))
+
+
+@dataclass
+class Seats:
+    """The customers of some words after real words, over the Shard of the words after classes.
+
+    Entries are in order of their keys (as of Shard) and of the words before (32 bits of their hash).
+    """
+
+    keys: np.ndarray
+    before: np.ndarray
+    customers: np.ndarray
+
+    def __post_init__(self):
+        new = np.diff(self.keys, prepend=~self.keys[:1]) != 0
+        distinct, self.entry = self.keys[new], np.cumsum(new) - 1
+        self.places = places(self.keys, self.before)
+        self.tables = np.ones(len(self.keys), np.int64)
+        self.shard = Shard(distinct, np.bincount(self.entry, minlength=len(distinct)).astype(np.int64))
+        word = self.shard.word[self.entry]
+        # counts of tokens, not of tables
+        self.shard.word_counts = np.bincount(word, self.customers, len(self.shard.words)).astype(np.int64)
+
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all pairs in order, and their entries."""
+        hashes = mixed(self.keys ^ self.places)
+        order = np.argsort(hashes)
+        return hashes[order], order
+
+    def state(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.tables, self.shard.tables, self.shard.parent_tables
+
+    def take(self, tables: np.ndarray, class_tables: np.ndarray, parent_tables: np.ndarray) -> None:
+        """Go to a state."""
+        self.tables, self.shard.tables, self.shard.parent_tables = tables, class_tables, parent_tables
+        self.shard.customers = self._sent(tables)
+
+    def _sent(self, tables: np.ndarray) -> np.ndarray:
+        return np.bincount(self.entry, tables, len(self.shard.keys)).astype(np.int64)
+
+    def sweep(self, totals: Totals, own: float, tables: np.ndarray, random: np.random.Generator) -> None:
+        """Seat everybody anew, given the totals of the sweep before and all tables of the context of each entry."""
+        chance = self.shard.predictive(totals)[2]
+        weight = (STRENGTH + own * tables) * chance[self.entry]
+        self.tables = seat(self.customers, weight, own, random)
+        self.shard.sweep(totals, random, self._sent(self.tables))
+
+    def probabilities(
+        self,
+        keys: np.ndarray,
+        before: np.ndarray,
+        totals: Totals,
+        own: float,
+        customers: np.ndarray,
+        tables: np.ndarray,
+    ) -> np.ndarray:
+        """Of any pairs whose words belong here, given customers and tables of the context of each pair."""
+        passed = (STRENGTH + own * tables) / (customers + STRENGTH) * self.shard.probabilities(keys, totals)
+        if not len(self.keys):
+            return passed
+        hashes, order = self.pairs
+        place, seen = _find(hashes, mixed(keys ^ places(keys, before)))
+        entry = order[place]
+        return passed + np.where(seen, (self.customers[entry] - own * self.tables[entry]) / (customers + STRENGTH), 0.0)
+
+
 def _find(ordered: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place of each wanted value, and whether it is there; place 0 where it is not."""
     if not len(ordered):

@@ -1,10 +1,11 @@
 """Language-model scores of whole texts under a hierarchical Pitman-Yor model of all training texts.
 
-The context of a word is a class of the word before it: short words by themselves, longer ones by their
-ending. Words are dealt to units by hash. Counts, summed within each task first, meet in the unit of
-their word; Gibbs sweeps run on each unit and exchange only totals by restaurant. For scoring, the
-probabilities of the commonest words are broadcast (a fixed number of them, and those that a third of all
-tokens could be); the other words of a text ask their unit, which answers with sums by text.
+The context of a word is the word before it; its parent is a class of such words: short ones by themselves,
+longer ones by their ending. Words are dealt to units by hash. Counts of pairs, summed within each task
+first, meet in the unit of their word. A sweep runs on each unit; units then exchange the totals of real
+contexts through owners, to which contexts are dealt by hash, and those of classes, a fixed number, through
+the driver. For scoring, the different pairs of a block of texts ask the units of their words, which answer
+with probabilities; units that are asked much answer in several tasks.
 """
 
 from __future__ import annotations
@@ -21,18 +22,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.pitman_yor import CONTEXTS, PER_PARENT, Shard, Totals
-from ledgerloom.llm.stored import stored
+from ledgerloom.llm.pitman_yor import CONTEXTS, PER_PARENT, Seats, Shard, Totals, discount, places
+from ledgerloom.llm.stored import discard, drop_shuffles, stored
 from ledgerloom.llm.textbytes import Words, mixed, slices, words
 
 END = np.uint64(0xE0D0_0000_0000_0100)
 BLOCK_TOKENS = 1_000_000
-UNIT_BYTES = 24 * 2**20  # of text, for each unit
+UNIT_BYTES = 8 * 2**20  # of text, for each unit
+QUESTION_BYTES = 8 * 2**20  # packed, for each task that answers
+FLAT, STATE, COUNTS, PLACES, TOKENS = -1, -2, -3, -4, -5  # kinds of rows that are no unit's
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Gibbs sweeps, the last of them that are averaged, and the number of words that are broadcast."""
+    """Gibbs sweeps, and the last of them that are averaged. `common_words` is no longer used: all pairs ask."""
 
     sweeps: int = 3
     averaged: int = 2
@@ -65,8 +68,11 @@ def contexts(found: Words) -> np.ndarray:
     return (parent * np.uint64(PER_PARENT) + own).astype(np.uint64)
 
 
-def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Key (word and context) and text of every token in order, and their number by text; texts end with END."""
+def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Key (word and class), word before and text of every token in order, and their number by text.
+
+    Texts end with END; before the first word there is none: 0.
+    """
     found = words(texts)
     counts = found.counts + 1
     ends = np.cumsum(counts) - 1
@@ -74,14 +80,51 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inner = np.ones(len(keys), bool)
     inner[ends] = False
     keys[inner], keys[ends] = found.hashes, END
-    context = np.zeros(len(keys), np.uint64)
+    context, before = np.zeros(len(keys), np.uint64), np.zeros(len(keys), np.uint32)
     after = np.flatnonzero(inner) + 1
-    context[after] = contexts(found)
-    return (keys & ~np.uint64(255)) | context, np.repeat(np.arange(len(texts)), counts), counts
+    context[after], before[after] = contexts(found), found.hashes.astype(np.uint32)
+    return (keys & ~np.uint64(255)) | context, before, np.repeat(np.arange(len(texts)), counts), counts
+
+
+def summed(
+    keys: np.ndarray, before: np.ndarray, counts: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Different pairs in order, their counts, and the place there of every pair."""
+    order = np.lexsort((before, keys))
+    counts = np.ones(len(keys), np.int64) if counts is None else counts.astype(np.int64)
+    keys, before = keys[order], before[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (before[1:] != before[:-1])
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(new) - 1
+    starts = np.flatnonzero(new)
+    sums = np.add.reduceat(counts[order], starts) if len(starts) else np.zeros(0, np.int64)
+    return keys[starts], before[starts], sums, place
+
+
+def _wide(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers that may pass 32 bits, as two columns."""
+    whole = values.astype(np.uint64)
+    return whole & np.uint64(0xFFFFFFFF), whole >> np.uint64(32)
+
+
+def _whole(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return low.astype(np.int64) | high.astype(np.int64) << 32
+
+
+def _pack_columns(*columns: np.ndarray) -> bytes:
+    """32-bit numbers, or floats, of equal lengths."""
+    parts = [np.ascontiguousarray(c).view(np.uint8).reshape(-1, 4).T.tobytes() for c in columns]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+
+
+def _unpack_columns(blob: bytes, columns: int) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(columns, 4, -1)
+    return [np.ascontiguousarray(c.T).view(np.uint32).ravel() for c in raw]
 
 
 def _unit(keys: np.ndarray, units: int) -> np.ndarray:
-    """Units take ranges of hashes, so ordered keys come unit by unit."""
+    """Units, and owners, take ranges of hashes, so ordered keys come unit by unit."""
     return ((keys >> np.uint64(32)) * np.uint64(units)) >> np.uint64(32)
 
 
@@ -93,131 +136,154 @@ def _by_unit(keys: np.ndarray, units: int) -> list[tuple[int, int, int]]:
 
 
 def count_words(documents: DataFrame, text: str, units: int) -> DataFrame:
-    """(unit, counts): the counts of every key in the documents, packed, one row for each unit."""
+    """(unit, blob): the counts of every pair in the documents, packed, one row for each unit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[np.ndarray] = []
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
-            keys, counts = np.unique(np.concatenate([*waiting, np.zeros(0, np.uint64)]), return_counts=True)
+            keys, before, counts, _ = summed(*(np.concatenate(c) for c in zip(*waiting)))
             waiting.clear()
-            rows = [(unit, _pack(keys[a:b], counts[a:b])) for unit, a, b in _by_unit(keys, units)]
+            rows = [(unit, _pack(keys[a:b], before[a:b], counts[a:b])) for unit, a, b in _by_unit(keys, units)]
             return pa.RecordBatch.from_pydict(
-                {"unit": pa.array([r[0] for r in rows], pa.int32()), "counts": pa.array([r[1] for r in rows], pa.binary())}
+                {"unit": pa.array([r[0] for r in rows], pa.int32()), "blob": pa.array([r[1] for r in rows], pa.binary())}
             )
 
         for batch in batches:
             for _, some in slices(batch, text):
-                waiting.append(tokens(some)[0])
-                if sum(map(len, waiting)) >= BLOCK_TOKENS:
+                waiting.append(tokens(some)[:2])
+                if sum(len(w[0]) for w in waiting) >= BLOCK_TOKENS:
                     yield flush()
-        yield flush()
+        if waiting:
+            yield flush()
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpack(blob) for blob in group["counts"]]
-        keys, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        counts = np.bincount(place, np.concatenate([p[1] for p in parts]), len(keys))
-        return pd.DataFrame({"unit": [group["unit"].iloc[0]], "counts": [_pack_counts(keys, counts)]})
+        parts = [_unpack(blob, 2) for blob in group["blob"]]
+        keys, before, counts, _ = summed(*(np.concatenate(c) for c in zip(*parts)))
+        return pd.DataFrame({"unit": [group["unit"].iloc[0]], "blob": [_pack(keys, before, *_wide(counts))]})
 
-    parts = documents.select(text).mapInArrow(run, "unit int, counts binary")
-    return stored(parts.groupBy("unit").applyInPandas(merge, "unit int, counts binary"))
+    parts = documents.select(text).mapInArrow(run, "unit int, blob binary")
+    return stored(parts.groupBy("unit").applyInPandas(merge, "unit int, blob binary"))
 
 
-def _pack_counts(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Counts of all texts may pass 32 bits: two columns."""
-    whole = counts.astype(np.uint64)
-    return _pack(keys, whole & np.uint64(0xFFFFFFFF), whole >> np.uint64(32))
+HELD = "unit int, step int, kind int, blob binary"
 
 
-def _shard(blob: bytes) -> Shard:
-    keys, low, high = _unpack(blob, 2)
-    return Shard(keys, low.astype(np.int64) | high.astype(np.int64) << 32)
+def with_places(counts: DataFrame, questions: DataFrame) -> DataFrame:
+    """Rows of HELD for every unit that counts or is asked: counts, and places of the contexts it needs."""
 
+    def asked(group: pd.DataFrame) -> pd.DataFrame:
+        found = np.unique(np.concatenate([np.unique(places(*_unpack(blob))) for blob in group["blob"]]))
+        return pd.DataFrame({"unit": [group["unit"].iloc[0]], "blob": [_pack(found)]})
 
-def _seated(blob: bytes, unit: int, history: list[np.ndarray], seed: int) -> Iterator[Shard]:
-    """The unit after no sweep, after the first, and so on; the same whenever it is repeated."""
-    shard = _shard(blob)
-    yield shard
-    for number, flat in enumerate(history):
-        shard.sweep(Totals.of(flat), np.random.default_rng((seed, number, unit)))
-        yield shard
+    def both(held: pd.DataFrame, needed: pd.DataFrame) -> pd.DataFrame:
+        unit = int((held if len(held) else needed)["unit"].iloc[0])
+        blob = held["blob"].iloc[0] if len(held) else _pack(np.zeros(0, np.uint64), *[np.zeros(0, np.uint32)] * 3)
+        keys, before, _, _ = _unpack(blob, 3)
+        found = np.unique(np.concatenate([places(keys, before), *(_unpack(b, 0)[0] for b in needed["blob"])]))
+        return pd.DataFrame({"unit": unit, "step": -1, "kind": [COUNTS, PLACES], "blob": [blob, _pack(found)]})
 
+    needed = questions.groupBy("unit", "salt").applyInPandas(asked, "unit int, blob binary")
+    return stored(counts.groupBy("unit").cogroup(needed.groupBy("unit")).applyInPandas(both, HELD))
 
-def gibbs(counts: DataFrame, settings: Settings) -> list[np.ndarray]:
-    """Totals over all units before the first sweep and after each one."""
-    history: list[np.ndarray] = []
-    size = len(Shard(np.zeros(0, np.uint64), np.zeros(0, np.int64)).totals().flat())
-    for _ in range(settings.sweeps + 1):
-        now = list(history)
-
-        def totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for unit, blob in zip(batch["unit"], batch["counts"]):
-                    *_, shard = _seated(blob, unit, now, settings.seed)
-                    yield pd.DataFrame({"totals": [shard.totals().flat()]})
-
-        each = counts.mapInPandas(totals, "totals array<double>").select(F.posexplode("totals").alias("place", "value"))
-        sums = each.groupBy("place").agg(F.sum("value").alias("value")).collect()
-        flat = np.zeros(size)
-        for row in sums:
-            flat[row["place"]] = row["value"]
-        history.append(flat)
-    return history
 
+class _Unit:
+    """What the rows of HELD of one unit say."""
 
-def _averaged(blob: bytes, unit: int, history: list[np.ndarray], settings: Settings, keys: np.ndarray):
-    """The unit, and probabilities of keys averaged over the last sweeps."""
-    total, first = np.zeros(len(keys)), settings.sweeps - settings.averaged + 1
-    for number, shard in enumerate(_seated(blob, unit, history[:-1], settings.seed)):
-        if number >= first:
-            total += shard.probabilities(keys, Totals.of(history[number]))
-    return shard, total / settings.averaged
+    def __init__(self, rows: pd.DataFrame):
+        self.blobs = {(s, k): b for s, k, b in zip(rows["step"], rows["kind"], rows["blob"])}
+        keys, before, low, high = _unpack(self.blobs[-1, COUNTS], 3)
+        self.seats = Seats(keys, before, _whole(low, high))
+        self.places = _unpack(self.blobs[-1, PLACES], 0)[0]
 
+    def go(self, step: int) -> tuple[np.ndarray, np.ndarray]:
+        """To the state after a sweep; customers and tables of the contexts at its places then."""
+        state = _whole(*_unpack_columns(self.blobs[step, STATE], 2))
+        self.seats.take(*np.split(state, np.cumsum([len(s) for s in self.seats.state()])[:-1]))
+        owners = sorted(k for s, k in self.blobs if s == step and k >= 0)
+        parts = [_unpack_columns(self.blobs[step, k], 4) for k in owners]
+        low, high, *tables = (np.concatenate(c) for c in zip(*parts))
+        return _whole(low, high), _whole(*tables)
 
-@dataclass(frozen=True)
-class Common:
-    """The commonest words, by hash: counts, and log10 probabilities by context."""
-
-    words: np.ndarray
-    counts: np.ndarray
-    logs: np.ndarray
-
-
-def common_words(counts: DataFrame, history: list[np.ndarray], settings: Settings) -> Common:
-    """At most `common_words` words of all units."""
-    most = settings.common_words
-
-    def tops(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for blob in batch["counts"]:
-                shard = _shard(blob)
-                order = np.lexsort((shard.words, -shard.word_counts))[:most]
-                yield pd.DataFrame({"word": shard.words[order].astype(np.int64), "count": shard.word_counts[order]})
-
-    chosen = counts.mapInPandas(tops, "word long, count long").orderBy(F.desc("count"), "word").limit(most).collect()
-    wanted = np.sort(np.array([r["word"] for r in chosen], np.uint64))
-
-    def tables(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for unit, blob in zip(batch["unit"], batch["counts"]):
-                own = wanted[np.isin(wanted, _shard(blob).words)]
-                keys = np.repeat(own << np.uint64(8), CONTEXTS) | np.tile(np.arange(CONTEXTS, dtype=np.uint64), len(own))
-                shard, chances = _averaged(blob, unit, history, settings, keys)
-                logs = np.log10(chances).reshape(len(own), CONTEXTS)
-                yield pd.DataFrame(
-                    {"word": own.astype(np.int64), "count": shard.counts_of(own), "logs": list(logs)}
-                )
-
-    rows = counts.mapInPandas(tables, "word long, count long, logs array<double>").collect()
-    rows.sort(key=lambda r: r["word"])
-    return Common(
-        np.array([r["word"] for r in rows], np.uint64),
-        np.array([r["count"] for r in rows], np.int64),
-        np.array([r["logs"] for r in rows], float).reshape(len(rows), CONTEXTS),
-    )
 
+def gibbs(held: DataFrame, units: int, settings: Settings) -> tuple[DataFrame, list[np.ndarray]]:
+    """States of the units and totals of their contexts, as rows of HELD, for the sweeps that are averaged.
 
-_SUMS = np.dtype([("text", "<u4"), ("known", "<u4"), ("score", "<f4"), ("base", "<f8")])
+    And totals of classes over all units before the first sweep and after each one, followed by the numbers of
+    pairs met once and twice and of tokens.
+    """
+    history: list[np.ndarray] = []
+    kept: DataFrame | None = None
+    size = len(Shard(np.zeros(0, np.uint64), np.zeros(0, np.int64)).totals().flat()) + 3
+    last: DataFrame | None = None
+
+    def sweep_to(step: int, before: np.ndarray | None):
+        def sweep(rows: pd.DataFrame) -> pd.DataFrame:
+            number, own = int(rows["unit"].iloc[0]), _Unit(rows)
+            seats = own.seats
+            place = np.searchsorted(own.places, seats.places)
+            if step:
+                _, tables = own.go(step - 1)
+                totals, share = _split(before)
+                random = np.random.default_rng((settings.seed, step - 1, number))
+                seats.sweep(totals, share, tables[place], random)
+            n = len(own.places)
+            sums = [
+                c.astype(np.uint32)
+                for values in (seats.customers, seats.tables)
+                for c in _wide(np.bincount(place, values, n))
+            ]
+            served = [(seats.customers == 1).sum(), (seats.customers == 2).sum(), seats.customers.sum()]
+            flat = np.concatenate([seats.shard.totals().flat(), np.array(served, float)])
+            state = _pack_columns(*(c.astype(np.uint32) for c in _wide(np.concatenate(seats.state()))))
+            out = [(number, FLAT, None, flat), (number, STATE, state, None)]
+            out += [
+                (number, owner, _pack(own.places[a:b], *(c[a:b] for c in sums)), None)
+                for owner, a, b in _by_unit(own.places, units)
+            ]
+            return pd.DataFrame(out, columns=["unit", "kind", "blob", "flat"])
+
+        return sweep
+
+    for step in range(settings.sweeps + 1):
+        rows = held if last is None else held.unionByName(last)
+        sweep = sweep_to(step, history[-1] if history else None)
+        said = stored(rows.groupBy("unit").applyInPandas(sweep, "unit int, kind int, blob binary, flat array<double>"))
+        if last is not None and step - 1 <= settings.sweeps - settings.averaged:
+            discard(last)
+        each = said.where(F.col("kind") == FLAT).select(F.posexplode("flat").alias("place", "value"))
+        flat = np.zeros(size)
+        for row in each.groupBy("place").agg(F.sum("value").alias("value")).collect():
+            flat[row["place"]] = row["value"]
+        history.append(flat)
+        answers = said.where("kind >= 0").groupBy("kind").applyInPandas(_add_contexts, HELD.replace("step int, ", ""))
+        states = said.where(F.col("kind") == STATE).select("unit", "kind", "blob")
+        found = states.unionByName(answers).select("unit", F.lit(step).alias("step"), "kind", "blob")
+        last = stored(found)
+        discard(said)
+        drop_shuffles(held.sparkSession)
+        if step > settings.sweeps - settings.averaged:
+            kept = last if kept is None else kept.unionByName(last)
+    return kept, history
+
+
+def _split(flat: np.ndarray) -> tuple[Totals, float]:
+    """Totals of classes, and the discount of real contexts."""
+    return Totals.of(flat[:-3]), discount(flat[-3], flat[-2])
+
+
+def _add_contexts(group: pd.DataFrame) -> pd.DataFrame:
+    """Of one owner's contexts the sums over all units, to every unit that named them, in its order."""
+    parts = [_unpack(blob, 4) for blob in group["blob"]]
+    known, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    sums = []
+    for k in (1, 3):
+        total = np.zeros(len(known), np.int64)
+        np.add.at(total, place, np.concatenate([_whole(p[k], p[k + 1]) for p in parts]))
+        sums += [c.astype(np.uint32) for c in _wide(total)]
+    ends = np.cumsum([len(p[0]) for p in parts])
+    blobs = [_pack_columns(*(c[place[b - len(p[0]) : b]] for c in sums)) for p, b in zip(parts, ends)]
+    return pd.DataFrame({"unit": group["unit"].to_numpy(), "kind": group["kind"].to_numpy(), "blob": blobs})
 
 
 def score_documents(
@@ -231,7 +297,7 @@ def score_documents(
 
     Texts are lower-cased (A-Z) and cut into words at 0x20 and 0x09 to 0x0D; one end follows and counts as
     a token. The model learns from all rows where `held_out` is false. score is the log10 probability of
-    the text under it, all unknown words sharing that of a new word, averaged over the last sweeps for each
+    the text under it, all unknown words sharing that of a new word after the same word, averaged over the last sweeps for each
     token; perplexity is 10 ^ (-score / n_tokens). base_score is the sum over tokens of
     log10((c + 0.5) / (N + 0.5 * (V + 1))), n_known the number of tokens with c > 0, train_tokens is N.
 
@@ -244,39 +310,18 @@ def score_documents(
     size = rows.select(F.sum(F.octet_length(text))).first()[0] or 0
     units = max(1, -(-size // UNIT_BYTES))
     counts = count_words(rows.where(~F.col("held_out")), text, units)
-    history = gibbs(counts, settings)
-    last = Totals.of(history[-1])
-    known_words, train_tokens = last.root[1], last.customers.sum()
-    whole = np.log10(train_tokens + 0.5 * (known_words + 1))
-    spark = documents.sparkSession
-    common = spark.sparkContext.broadcast(common_words(counts, history, settings))
-    unknown = np.zeros(CONTEXTS)
-    for flat in history[settings.sweeps - settings.averaged + 1 :]:
-        unknown += Totals.of(flat).unknown() / settings.averaged
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of texts, with what the common words add up to; and questions, unit by unit, about the others."""
+        """Rows of texts, the pair of each of their tokens, and the different pairs, unit by unit, as questions."""
         numbers = iter(range(TaskContext.get().partitionId() << 32, 1 << 62))
         waiting: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
-            block, frequent = next(numbers), common.value
-            keys = np.concatenate([w[1] for w in waiting])
-            sizes = [len(w[2]) for w in waiting]
-            owner = np.concatenate([w[3] + before for w, before in zip(waiting, np.cumsum([0, *sizes[:-1]]))])
-            count = np.concatenate([w[2] for w in waiting])
-            place = np.minimum(np.searchsorted(frequent.words, keys >> np.uint64(8)), max(len(frequent.words) - 1, 0))
-            here = frequent.words[place] == keys >> np.uint64(8) if len(frequent.words) else np.zeros(len(keys), bool)
-            mine, context = place[here], (keys[here] & np.uint64(255)).astype(np.int64)
-            sums = np.zeros(len(count), _SUMS)
-            sums["text"] = np.arange(len(count))
-            # what the text knows by itself is kept in full precision, apart
-            score = np.bincount(owner[here], frequent.logs[mine, context] if len(mine) else None, len(count)) if len(mine) else np.zeros(len(count))
-            base = np.bincount(owner[here], np.log10(frequent.counts[mine] + 0.5), len(count)) if len(mine) else np.zeros(len(count))
-            known = np.bincount(owner[here], minlength=len(count))
-            order = np.argsort(keys[~here], kind="stable")
-            rest, texts = keys[~here][order], owner[~here][order]
-            asked = [(u, _pack(rest[a:b], texts[a:b])) for u, a, b in _by_unit(rest, units)]
+            block = next(numbers)
+            keys, before, _, place = summed(*(np.concatenate([w[k] for w in waiting]) for k in (1, 2)))
+            count = np.concatenate([w[3] for w in waiting])
+            asked = [(TOKENS, _pack_columns(place.astype(np.uint32)))]
+            asked += [(u, _pack(keys[a:b], before[a:b])) for u, a, b in _by_unit(keys, units)]
             names = pa.concat_arrays([w[0].column(0) for w in waiting])
             held = pa.concat_arrays([w[0].column(2) for w in waiting])
             waiting.clear()
@@ -288,24 +333,16 @@ def score_documents(
                     pa.array([None] * n + [b for _, b in asked], pa.binary()),
                     pa.concat_arrays([names, pa.nulls(m, names.type)]),
                     pa.concat_arrays([held, pa.nulls(m, held.type)]),
-                    *(
-                        pa.concat_arrays([pa.array(x.astype(kind)), pa.nulls(m, t)])
-                        for x, kind, t in (
-                            (np.arange(n), np.int32, pa.int32()),
-                            (count, np.int64, pa.int64()),
-                            (known, np.int64, pa.int64()),
-                            (score, float, pa.float64()),
-                            (base, float, pa.float64()),
-                        )
-                    ),
+                    pa.concat_arrays([pa.array(np.arange(n), pa.int32()), pa.nulls(m, pa.int32())]),
+                    pa.concat_arrays([pa.array(count, pa.int64()), pa.nulls(m, pa.int64())]),
                 ],
                 names=asked_schema.names,
             )
 
         for batch in batches:
             for some, texts in slices(batch, text):
-                keys, owner, count = tokens(texts)
-                waiting.append((some, keys, count, owner))
+                keys, before, _, count = tokens(texts)
+                waiting.append((some, keys, before, count))
                 if sum(len(w[1]) for w in waiting) >= BLOCK_TOKENS:
                     yield flush()
         if waiting:
@@ -314,68 +351,75 @@ def score_documents(
     kinds = {
         "block": T.LongType(),
         "unit": T.IntegerType(),
-        "keys": T.BinaryType(),
+        "blob": T.BinaryType(),
         "key": rows.schema[key].dataType,
         "held_out": T.BooleanType(),
         "place": T.IntegerType(),
         "n_tokens": T.LongType(),
-        "n_known": T.LongType(),
-        "score": T.DoubleType(),
-        "base": T.DoubleType(),
     }
     asked_schema = T.StructType([T.StructField(n, k) for n, k in kinds.items()])
     asked = stored(rows.mapInArrow(ask, asked_schema))
+    drop_shuffles(documents.sparkSession)
+    questions = asked.where("unit >= 0").select("unit", "block", "blob")
+    sizes = questions.groupBy("unit").agg(F.sum(F.octet_length("blob")).alias("size"))
+    salts = stored(sizes.select("unit", F.ceil(F.col("size") / QUESTION_BYTES).cast("int").alias("salts")))
+    spread = questions.join(salts, "unit").withColumn("salt", F.pmod(F.xxhash64("block"), "salts").cast("int")).drop("salts")
+    model = with_places(counts, spread)
+    discard(counts)
+    drop_shuffles(documents.sparkSession)
+    kept, history = gibbs(model, units, settings)
+    train_tokens, known_words = int(history[-1][-1]), _split(history[-1])[0].root[1]
+    whole = np.log10(train_tokens + 0.5 * (known_words + 1))
 
     def answer(questions: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if not len(questions):
-            return pd.DataFrame(columns=["block", "sums"])
-        unit = int(questions["unit"].iloc[0])
-        parts = [_unpack(blob) for blob in questions["keys"]]
-        wanted = np.unique(np.concatenate([p[0] for p in parts]))
-        if len(held):
-            shard, chances = _averaged(held["counts"].iloc[0], unit, history, settings, wanted)
-            counted = shard.counts_of(wanted >> np.uint64(8))
-        else:
-            chances, counted = np.zeros(len(wanted)), np.zeros(len(wanted), np.int64)
-        new = counted == 0
-        chances[new] = unknown[(wanted[new] & np.uint64(255)).astype(np.int64)]
-        logs, bases = np.log10(chances), np.log10(counted + 0.5)
-        out = []
-        for keys, texts in parts:
-            place = np.searchsorted(wanted, keys)
-            own, which = np.unique(texts, return_inverse=True)
-            sums = np.zeros(len(own), _SUMS)
-            sums["text"] = own
-            sums["known"] = np.bincount(which, counted[place] > 0, len(own))
-            sums["score"] = np.bincount(which, logs[place], len(own))
-            sums["base"] = np.bincount(which, bases[place], len(own))
-            out.append(sums.tobytes())
-        return pd.DataFrame({"block": questions["block"].to_numpy(), "sums": out})
+            return pd.DataFrame(columns=["block", "unit", "blob"])
+        own = _Unit(held)
+        parts = [_unpack(blob) for blob in questions["blob"]]
+        keys, before, _, place = summed(*(np.concatenate(c) for c in zip(*parts)))
+        context = np.searchsorted(own.places, places(keys, before))
+        total = np.zeros(len(keys))
+        for step in range(settings.sweeps - settings.averaged + 1, settings.sweeps + 1):
+            customers, tables = own.go(step)
+            totals, share = _split(history[step])
+            total += own.seats.probabilities(keys, before, totals, share, customers[context], tables[context])
+        logs = np.log10(total / settings.averaged).astype(np.float32)
+        counted = [c.astype(np.uint32) for c in _wide(own.seats.shard.counts_of(keys >> np.uint64(8)))]
+        ends = np.cumsum([len(p[0]) for p in parts])
+        mine = [place[b - len(p[0]) : b] for p, b in zip(parts, ends)]
+        blobs = [_pack_columns(logs[m], *(c[m] for c in counted)) for m in mine]
+        return pd.DataFrame({"block": questions["block"].to_numpy(), "unit": questions["unit"].to_numpy(), "blob": blobs})
 
     def add_up(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        texts = texts.sort_values("place")
-        known, score, base = (texts[n].to_numpy().copy() for n in ("n_known", "score", "base"))
-        for blob in answers["sums"]:
-            sums = np.frombuffer(blob, _SUMS)
-            known[sums["text"]] += sums["known"]
-            score[sums["text"]] += sums["score"]
-            base[sums["text"]] += sums["base"]
+        texts, answers = texts.sort_values("place"), answers.sort_values("unit")
+        place = _unpack_columns(answers["blob"].iloc[0], 1)[0]
+        parts = [_unpack_columns(blob, 3) for blob in answers["blob"].iloc[1:]]
+        logs, low, high = (np.concatenate(c) for c in zip(*parts))
+        counted = _whole(low, high)
+        n = texts["n_tokens"].to_numpy()
+        owner = np.repeat(np.arange(len(n)), n)
+        score = np.bincount(owner, logs.view(np.float32).astype(float)[place], len(n))
         return pd.DataFrame(
             {
                 key: texts["key"].to_numpy(),
                 "held_out": texts["held_out"].to_numpy(dtype=bool),
-                "n_tokens": texts["n_tokens"].to_numpy(),
-                "n_known": known,
+                "n_tokens": n,
+                "n_known": np.bincount(owner, counted[place] > 0, len(n)).astype(np.int64),
                 "train_tokens": np.int64(train_tokens),
-                "base_score": base - texts["n_tokens"].to_numpy() * whole,
+                "base_score": np.bincount(owner, (np.log10(counted + 0.5) - whole)[place], len(n)),
                 "score": score,
-                "perplexity": 10.0 ** (-score / texts["n_tokens"].to_numpy()),
+                "perplexity": 10.0 ** (-score / n),
             }
         )
 
-    questions = asked.where(F.col("unit").isNotNull()).select("unit", "block", "keys")
-    answers = questions.groupBy("unit").cogroup(counts.groupBy("unit")).applyInPandas(answer, "block long, sums binary")
-    texts = asked.where(F.col("unit").isNull()).drop("unit", "keys")
+    each = salts.select("unit", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    states = model.unionByName(kept).join(each, "unit")
+    answers = (
+        spread.groupBy("unit", "salt").cogroup(states.groupBy("unit", "salt"))
+        .applyInPandas(answer, "block long, unit int, blob binary")
+    )
+    answers = answers.unionByName(asked.where(F.col("unit") == TOKENS).select("block", "unit", "blob"))
+    texts = asked.where(F.col("unit").isNull()).drop("unit", "blob")
     result = T.StructType([rows.schema[key]])
     for name, kind in (
         ("held_out", T.BooleanType()),

@@ -31,6 +31,20 @@ def stored(table: DataFrame) -> DataFrame:
     return spark.read.schema(table.schema).parquet(place)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table that `stored` gave and that no later step reads."""
+    jvm, session = table.sparkSession._jvm, table.sparkSession._jsparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+        if folder.rsplit("/", 1)[1].startswith("llm-"):
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(session.sessionState().newHadoopConf()).delete(path, True)
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps, which it does once the driver collects garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def package_on_workers(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application, for sessions without it installed."""
     context = spark.sparkContext

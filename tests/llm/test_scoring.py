@@ -76,3 +76,38 @@ def test_odd_rows(odd_texts, no_texts):
     assert scoring.score_documents(no_texts, F.lit(False)).count() == 0
     unlearned = scoring.score_documents(odd_texts, F.lit(True)).collect()
     assert {(r["score"], r["base_score"], r["n_known"], r["train_tokens"]) for r in unlearned} == {(0.0, 0.0, 0, 0)}
+
+
+def test_words_of_one_class_have_their_own_followers(spark):
+    """Words that share an ending, and so a class, do not share what follows them."""
+    texts = ["walking alpha", "talking beta"] * 50 + ["walking alpha", "walking beta"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scores = {r["doc_id"]: r["score"] for r in scoring.score_documents(docs, F.col("doc_id") >= 100).collect()}
+    assert scores[100] > scores[101] + 0.5
+
+
+def test_probabilities_after_every_real_word_sum_to_one():
+    random = np.random.default_rng(3)
+    words = np.sort(random.integers(1, 2**55, 200, dtype=np.uint64))
+    before = random.integers(0, 2**32, 40, dtype=np.uint32)
+    classes = random.integers(0, 256, 40, dtype=np.uint64)
+    context, word = random.integers(0, 40, 3000), random.integers(0, 200, 3000)
+    keys, found, counts, _ = scoring.summed(words[word] << np.uint64(8) | classes[context], before[context])
+    seats = pitman_yor.Seats(keys, found, counts)
+    assert seats.shard.word_counts.sum() == counts.sum() == 3000
+    known, place = np.unique(seats.places, return_inverse=True)
+    share = pitman_yor.discount((counts == 1).sum(), (counts == 2).sum())
+    for sweep in range(4):
+        totals = seats.shard.totals()
+        customers, tables = np.bincount(place, counts), np.bincount(place, seats.tables)
+        for one in (0, 7, 39):
+            asked = words << np.uint64(8) | classes[one]
+            own = np.searchsorted(known, pitman_yor.places(asked[:1], before[one : one + 1]))[0]
+            chances = seats.probabilities(
+                asked, np.full(200, before[one]), totals, share, np.full(200, customers[own]), np.full(200, tables[own])
+            )
+            stranger = totals.unknown()[int(classes[one])] * (1 + share * tables[own]) / (customers[own] + 1)
+            assert chances.sum() + stranger == pytest.approx(1, abs=1e-9)
+        seats.sweep(totals, share, tables[place], np.random.default_rng(sweep))
+        assert (seats.tables >= 1).all() and (seats.tables <= seats.customers).all()
+        assert seats.shard.customers.sum() == seats.tables.sum()
