@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from ledgerloom.llm.stored import stored
-from ledgerloom.llm.textbytes import SpanHasher, slices
+from ledgerloom.llm.textbytes import slices, span_hashes
 
 DECODED_ROWS = 500
 LEAF = 512  # bytes of an unsplit run that are encoded in one go
@@ -138,7 +138,7 @@ class ByteBpe:
         data, starts, ends, owner = cut_chunks(texts)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        keys = SpanHasher(data)(starts, ends)
+        keys = span_hashes(data, starts, ends)
         _, first, which = np.unique(keys, return_index=True, return_inverse=True)
         highest = np.maximum.reduceat(data, starts)[first]
         ids, at, counts = self._encode_chunks(data, starts[first], ends[first], highest, leaf)

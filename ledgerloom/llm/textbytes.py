@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -10,9 +11,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 2 * 2**20
-_BASE = 0x9E3779B97F4A7C15  # any odd number
+LONG_SPAN = 512
+_SEED = 0x9E3779B97F4A7C15  # any odd number
 _SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _IS_SPACE = np.isin(np.arange(256), np.frombuffer(_SPACES, np.uint8))
 
 
@@ -44,32 +46,33 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-class SpanHasher:
-    """Hashes of any spans of a byte run, from the sums of its prefixes."""
-
-    _powers = np.ones(1, np.uint64)
-    _inverse = np.ones(1, np.uint64)
-
-    @classmethod
-    def _grow(cls, size: int) -> None:
-        if len(cls._powers) < size:
-            size = max(size, SLICE_BYTES + 1)
-            for name, base in (("_powers", _BASE), ("_inverse", pow(_BASE, -1, 2**64))):
-                steps = np.full(size, base, np.uint64)
-                steps[0] = 1
-                setattr(cls, name, np.cumprod(steps, dtype=np.uint64))
-
-    def __init__(self, data: np.ndarray):
-        self._grow(len(data) + 1)
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self._powers[: len(data)], out=self.sums[1:])
-
-    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[ends] - self.sums[starts]) * self._inverse[starts] + (ends - starts).astype(np.uint64))
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of a byte run: eight bytes at a time, each mixed into what came before.
+
+    Spans beyond LONG_SPAN bytes are rare and go through BLAKE2 one by one.
+    """
+    sizes = (ends - starts).astype(np.int64)
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eights = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    hashes = mixed(sizes.astype(np.uint64) + np.uint64(_SEED))
+    short = sizes <= LONG_SPAN
+    open_, at = np.flatnonzero(short & (sizes > 0)), 0
+    while len(open_):
+        left = sizes[open_] - at
+        part = eights[starts[open_] + at]
+        last = left < 8
+        part[last] &= (np.uint64(1) << (left[last] * 8).astype(np.uint64)) - np.uint64(1)
+        hashes[open_] = mixed((hashes[open_] ^ part) * np.uint64(_SEED))
+        at += 8
+        open_ = open_[left > 8]
+    for span in np.flatnonzero(~short):
+        digest = hashlib.blake2b(data[starts[span] : ends[span]].tobytes(), digest_size=8).digest()
+        hashes[span] = int.from_bytes(digest, "little")
+    return hashes
 
 
 class Words(NamedTuple):
-    """Words of several texts: bytes (A-Z lower-cased), spans, hashes, and the text of each word."""
+    """Words of several texts: bytes, spans, hashes, and the text of each word."""
 
     data: np.ndarray
     starts: np.ndarray
@@ -79,10 +82,11 @@ class Words(NamedTuple):
     counts: np.ndarray
 
 
-def words(texts: Iterable[bytes]) -> Words:
-    """Runs of bytes other than 0x20 and 0x09 to 0x0D, in order."""
+def words(texts: Iterable[bytes], lower: bool = True) -> Words:
+    """Runs of bytes other than 0x20 and 0x09 to 0x0D, in order, with A-Z lower-cased if `lower`."""
     texts = list(texts)
-    data = np.frombuffer(b" ".join(texts).translate(_LOWER) + b" ", np.uint8)
+    joined = b" ".join(texts)
+    data = np.frombuffer((joined.translate(LOWER) if lower else joined) + b" ", np.uint8)
     space = _IS_SPACE[data]
     inside = ~space
     starts = np.flatnonzero(inside & np.concatenate(([True], space[:-1])))
@@ -91,5 +95,5 @@ def words(texts: Iterable[bytes]) -> Words:
     bounds = np.cumsum(sizes)
     owner = np.searchsorted(bounds, starts, side="right")
     return Words(
-        data, starts, ends, SpanHasher(data)(starts, ends), owner, np.bincount(owner, minlength=len(texts))
+        data, starts, ends, span_hashes(data, starts, ends), owner, np.bincount(owner, minlength=len(texts))
     )
