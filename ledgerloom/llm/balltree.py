@@ -61,6 +61,8 @@ def search_tree(queries: pd.DataFrame, nodes: pd.DataFrame, k: int) -> list[np.n
     # rounding may not hide a member
     products, lengths = asked @ centers.T, np.sqrt((asked**2).sum(axis=1))
     bounds = products + np.outer(lengths, radius) * (1 + 1e-9) + np.abs(products) * 1e-9 + 1.0
+    # a bound that overflowed says nothing
+    bounds[~np.isfinite(bounds)] = np.inf
     place = {node: n for n, node in enumerate(nodes["node"].tolist())}
     for node in sorted(place):
         if node > 1:
