@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.stored import stored
+
 RULE_BYTES = 64 * 2**20
 MATCH = "host string, path string, rule string, verdict string"
 
@@ -103,8 +105,12 @@ def _by_trie(located: DataFrame, rules: list[Rule]) -> DataFrame:
     return located.withColumn("_fit", match("host", "path"))
 
 
-def _by_join(located: DataFrame, rules: DataFrame, key: str) -> DataFrame:
-    """Every host suffix and every path start of a length that rules have, looked up by equality."""
+def _by_join(located: DataFrame, rules: DataFrame) -> DataFrame:
+    """Every host suffix and every path start of a length that rules have, looked up by equality.
+
+    Rows get stored numbers of their own first, so repeated and null keys are judged one by one.
+    """
+    located = stored(located.withColumn("_row", F.monotonically_increasing_id()))
     rules = rules.select(
         "verdict",
         F.translate("host", string.ascii_uppercase, string.ascii_lowercase).alias("_host"),
@@ -123,11 +129,11 @@ def _by_join(located: DataFrame, rules: DataFrame, key: str) -> DataFrame:
             lambda n: F.substring(F.col("path"), F.lit(1), n),
         )
     )
-    tried = located.select(key, "host", "path", F.explode(suffixes).alias("_host")).select(
-        key, "_host", F.explode(starts).alias("_path")
+    tried = located.select("_row", "host", "path", F.explode(suffixes).alias("_host")).select(
+        "_row", "_host", F.explode(starts).alias("_path")
     )
     fits = tried.join(rules, ["_host", "_path"]).select(
-        key,
+        "_row",
         F.struct(
             F.size(F.split("_host", r"\.", -1)).alias("labels"),
             F.length("_path").alias("length"),
@@ -135,8 +141,8 @@ def _by_join(located: DataFrame, rules: DataFrame, key: str) -> DataFrame:
             F.concat("_host", "_path").alias("rule"),
         ).alias("_fit"),
     )
-    best = fits.groupBy(key).agg(F.max("_fit").alias("_fit"))
-    return located.join(best, key, "left")
+    best = fits.groupBy("_row").agg(F.max("_fit").alias("_fit"))
+    return located.join(best, "_row", "left")
 
 
 def judge_urls(
@@ -150,7 +156,7 @@ def judge_urls(
     """`key`, host, path, rule and verdict of every row.
 
     Rules up to `rule_bytes` (measured) are broadcast as a trie; beyond that, or given as a table of
-    that size, they are joined by key columns, which needs distinct non-null keys. A rule fits its host
+    that size, they are joined by host suffixes and path starts, with the same result. A rule fits its host
     and all subdomains when the path starts with the rule's path. More host labels win, then the longer
     path, then `block`. Without a fit, rule is null and the verdict is `default`.
 
@@ -168,7 +174,7 @@ def judge_urls(
         rules = [Rule(*r) for r in rules]
         if sum(len(r.host) + len(r.path) + 200 for r in rules) > rule_bytes:
             rules = pages.sparkSession.createDataFrame(rules, "verdict string, host string, path string")
-    found = _by_join(located, rules, key) if isinstance(rules, DataFrame) else _by_trie(located, rules)
+    found = _by_join(located, rules) if isinstance(rules, DataFrame) else _by_trie(located, rules)
     return found.select(
         key,
         "host",

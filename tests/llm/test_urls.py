@@ -60,3 +60,12 @@ def test_odd_addresses(spark):
     assert found[6]["rule"] == "com/" and tuple(found[None])[1:] == ("com", "/", "com/", "allow")
     assert tuple(found[7])[1:] == ("net", "", None, "block")
     assert urls.judge_urls(pages.limit(0), RULES).count() == 0
+
+
+def test_repeated_and_null_keys_are_judged_by_row(spark):
+    rows = [(1, "http://a.com/x"), (1, "http://net/e"), (None, "http://b.net/"), (None, "http://com/"), (1, "http://a.com/x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    ways = [urls.judge_urls(pages, RULES), urls.judge_urls(pages, RULES, rule_bytes=0)]
+    one, two = (sorted((repr(r) for r in w.collect())) for w in ways)
+    assert one == two and len(one) == len(rows)
+    assert sum("'block'" in r for r in one) == 2
