@@ -13,10 +13,13 @@ from ledgerloom.llm import (
     balltree,
     bpe,
     chat,
+    collocations,
+    crosspolytope,
     language,
     minhash,
     neighbours,
     packing,
+    repeats,
     scoring,
     toxicity,
     urls,
@@ -200,6 +203,117 @@ def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return balltree.exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op11_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links, components and kept rows of all vectors at a cosine of 0.95; odd ones as the operator says."""
+    return crosspolytope.near_duplicate_vectors(table(spark, folder, "embeddings"), cosine=0.95)
+
+
+OP11_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION
+  SELECT reached.vec_id, links.b FROM reached JOIN links ON links.a = reached.other
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = reached.vec_id) AS n_links,
+  min(other) AS component_id, vec_id = min(other) AS kept
+FROM reached GROUP BY vec_id
+"""
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2000 best phrases of each language; null texts and languages as the operator says."""
+    return collocations.mine_collocations(table(spark, folder, "documents"))
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), phrases AS (
+  SELECT lang, size, array_to_string(words[place:place + size - 1], ' ') AS phrase, count(*) AS f
+  FROM (
+    SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS place
+    FROM worded, (SELECT unnest(range(1, 5)) AS size) WHERE len(words) >= size
+  ) GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM phrases WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT * FROM phrases WHERE size >= 2 AND f >= 30
+), cuts AS (
+  SELECT c.lang, c.phrase, c.size, c.f AS a, k, l.f AS l, r.f AS r,
+    ((2000000::HUGEINT * c.f) // (l.f + r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k, string_split(phrase, ' ') AS words FROM candidates) c
+  JOIN phrases l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1:k], ' ')
+  JOIN phrases r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[k + 1:], ' ')
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), held_phrases AS (
+  SELECT lang, f, array_to_string(words[place:place + part - 1], ' ') AS phrase
+  FROM (
+    SELECT *, unnest(range(1, size - part + 2)) AS place
+    FROM (SELECT lang, f, size, string_split(phrase, ' ') AS words, unnest(range(2, size)) AS part FROM candidates)
+  )
+), left_over AS (
+  SELECT * FROM lowest WHERE NOT EXISTS (
+    SELECT 1 FROM held_phrases i
+    WHERE i.lang = lowest.lang AND i.phrase = lowest.phrase AND 100::HUGEINT * i.f >= 80::HUGEINT * lowest.a
+  )
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_over
+) JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+def made_periodic(text: Column, key: Column) -> Column:
+    """The text, every tenth by the checksum of its key with its last words replaced by repeats of some of them."""
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
+    h = F.crc32(key.cast("string"))
+    g, n = F.floor(h / 10), F.size(words).cast("long")
+    begin = (g % n).cast("int")
+    rest = (n - begin).cast("int")
+    period = (F.floor(rest / (3 + g % 8)) + 1).cast("int")
+    block = F.slice(words, begin + 1, period)
+    tail = F.slice(F.flatten(F.array_repeat(block, F.ceil(rest / period).cast("int"))), F.lit(1), rest)
+    changed = F.array_join(F.concat(F.slice(words, F.lit(1), begin), tail), " ")
+    return F.when((h % 10 == 0) & (n > 0), changed).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the runs of every document, every tenth made periodic first; null texts have none."""
+    documents = table(spark, folder, "documents")
+    changed = documents.select("doc_id", made_periodic(F.col("text"), F.col("doc_id")).alias("text"))
+    found = repeats.periodic_runs(changed)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    written = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    longest = F.array_min(
+        F.transform("runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period")))
+    )
+    found = found.withColumns({"longest": longest, "written": written})
+    length = -F.col("longest.shorter")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.start",
+        length.alias("length"),
+        "longest.period",
+        F.floor(length * 1000 / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2("written", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def _shipped(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -220,6 +334,9 @@ _OPERATORS = (
     op8_packing,
     op9_toxicity,
     op10_exact_top_k,
+    op11_vector_dedup,
+    op12_collocations,
+    op13_periodic_runs,
 )
 OP10_SQL = """
 WITH parts AS (
@@ -239,4 +356,10 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 """
 
 QUERIES: dict[str, Query] = {query.__name__: _shipped(query) for query in _OPERATORS}
-ORACLES: dict[str, str] = {"op4_chat_formatting": OP4_SQL, "op6_url_filter": OP6_SQL, "op10_exact_top_k": OP10_SQL}
+ORACLES: dict[str, str] = {
+    "op4_chat_formatting": OP4_SQL,
+    "op6_url_filter": OP6_SQL,
+    "op10_exact_top_k": OP10_SQL,
+    "op11_vector_dedup": OP11_SQL,
+    "op12_collocations": OP12_SQL,
+}
