@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.functions import codes
+from oracle import codes
 from oracle.relations import WINDOWS, listed, money, percent, query, rollup
 
 _DAY = "transaction_date, division_code"
@@ -168,7 +168,7 @@ _STATEMENTS = {
     "fct_branch_performance": _pick("branch_performance", "*"),
     "fct_division_performance": _pick("division_performance", "*"),
     "src_csv_roundtrip": _pick("t_l", "*"),
-    "src_table_load": _pick("t_l", "*"),
+    "src_table_load": "SELECT * REPLACE (CAST(a_id AS VARCHAR) AS a_id) FROM t_l",
     "sink_table_roundtrip": _pick("accounts", "*"),
     "join_txn_bridge": _pick(
         "placed_transactions", "transaction_id", "customer_id", "branch_code", "division_code",
@@ -278,6 +278,8 @@ FROM placed_transactions GROUP BY ALL""",
     "metric_new_customers": _customer_metric(
         "tenure_days <= CASE division_code WHEN 'RB' THEN 90 WHEN 'CB' THEN 180 END",
         "new_customer_count"),
+    "metric_mom_fee_revenue_delta": _pick(
+        "division_performance", "division_code", "report_month", "mom_fee_revenue_delta"),
     "metric_active_customers": _customer_metric(
         "customer_status_code = 'AC'", "active_customer_count"),
     "metric_kyc_alerts": f"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from ledgerloom.functions import codes
+from oracle import codes
 
 AS_OF = "DATE '2001-06-30'"
 
@@ -150,29 +150,28 @@ FROM lineitem WHERE l_partkey % 8 < 3"""
 
 # -- renamed ----------------------------------------------------------------
 
-RELATIONS["stg_accounts"] = """
-SELECT CAST(a_id AS VARCHAR) AS account_id, CAST(c_id AS VARCHAR) AS customer_id,
-  br_cd AS branch_code, a_typ AS account_type_code, a_st AS account_status_code,
-  a_bal AS balance, a_opn_dt AS open_date, a_cls_dt AS close_date
-FROM a_m"""
-
-RELATIONS["stg_customers"] = """
-SELECT CAST(c_id AS VARCHAR) AS customer_id, c_extrn_ref AS crm_reference, c_dob AS date_of_birth,
-  c_onb_dt AS onboard_date, c_seg AS segment_code, c_st_cd AS customer_status_code,
-  c_rsk_sc AS risk_score, CAST(c_kyc_flg AS VARCHAR) AS know_your_cust_flag
-FROM c_m"""
-
-RELATIONS["stg_fees"] = """
-SELECT CAST(f_id AS VARCHAR) AS fee_id, CAST(a_id AS VARCHAR) AS account_id,
-  CAST(t_id AS VARCHAR) AS transaction_id, f_dt AS fee_date, f_amt AS fee_amount, f_typ AS fee_type_code
-FROM f_l"""
-
-RELATIONS["stg_transactions"] = """
-SELECT CAST(t_id AS VARCHAR) AS transaction_id, CAST(a_id AS VARCHAR) AS account_id,
-  t_dt AS transaction_date, t_post_dt AS posting_date, t_dr_cr AS transaction_indicator,
-  t_amt AS transaction_amount, t_st AS settlement_status, t_typ AS transaction_type_code,
-  t_ch AS transaction_channel_code
-FROM t_l"""
+# Arriving and published names, in the order of the ledgers. Marked ones become text.
+RENAMED = {
+    "stg_accounts": ("a_m", {
+        "a_id": "account_id", "c_id": "customer_id", "a_typ": "account_type_code", "a_opn_dt": "open_date",
+        "a_cls_dt": "close_date", "a_st": "account_status_code", "a_bal": "balance", "br_cd": "branch_code"}),
+    "stg_customers": ("c_m", {
+        "c_id": "customer_id", "c_extrn_ref": "crm_reference", "c_dob": "date_of_birth", "c_onb_dt": "onboard_date",
+        "c_seg": "segment_code", "c_st_cd": "customer_status_code", "c_rsk_sc": "risk_score",
+        "c_kyc_flg": "know_your_cust_flag"}),
+    "stg_fees": ("f_l", {
+        "f_id": "fee_id", "a_id": "account_id", "t_id": "transaction_id", "f_typ": "fee_type_code",
+        "f_amt": "fee_amount", "f_dt": "fee_date"}),
+    "stg_transactions": ("t_l", {
+        "t_id": "transaction_id", "a_id": "account_id", "t_dt": "transaction_date", "t_post_dt": "posting_date",
+        "t_amt": "transaction_amount", "t_dr_cr": "transaction_indicator", "t_typ": "transaction_type_code",
+        "t_ch": "transaction_channel_code", "t_st": "settlement_status"}),
+}
+TEXT = {"a_id", "c_id", "f_id", "t_id", "c_kyc_flg"}
+for _name, (_ledger, _names) in RENAMED.items():
+    RELATIONS[_name] = "SELECT " + each(
+        f"CAST({old} AS VARCHAR) AS {new}" if old in TEXT else f"{old} AS {new}" for old, new in _names.items()
+    ) + f" FROM {_ledger}"
 
 # -- decoded ----------------------------------------------------------------
 
@@ -182,7 +181,7 @@ SELECT *,
   {labelled('account_type_code', codes.ACCOUNT_TYPES)} AS account_type,
   {labelled('account_status_code', codes.ACCOUNT_STATUSES)} AS account_status,
   account_type_code IN {listed(codes.RETAIL_PRODUCTS)} AS is_retail_product,
-  starts_with(account_type_code, 'COM_') AS is_commercial_product,
+  account_type_code IN {listed(codes.COMMERCIAL_PRODUCTS)} AS is_commercial_product,
   account_status_code = 'O' AS is_open, account_status_code = 'C' AS is_closed,
   account_status_code = 'F' AS is_frozen,
   {_AGE_DAYS} AS account_age_days,
@@ -385,8 +384,8 @@ SELECT transaction_date, transaction_month, transaction_year, transaction_month_
   {mean_amount('transaction_amount')} AS avg_transaction_amount,
   {STATUS_COUNTS},
   {each(added('transaction_amount', f"settlement_status = '{s}'", f"{n}_volume") for n, s in _STATUSES.items())},
-  {added('transaction_amount', 'sign(signed_amount) = -1', 'total_debit_volume')},
-  {added('transaction_amount', 'sign(signed_amount) = 1', 'total_credit_volume')},
+  {added('transaction_amount', 'signed_amount < 0', 'total_debit_volume')},
+  {added('transaction_amount', 'signed_amount > 0', 'total_credit_volume')},
   {money('sum(signed_amount)')} AS net_flow,
   {each(times(f"transaction_channel_code = '{c}'", n) for c, n in codes.CHANNEL_COUNTS.items())},
   {each(times(f"transaction_type_code = '{c}'", n) for c, n in codes.TRANSACTION_TYPE_COUNTS.items())},
