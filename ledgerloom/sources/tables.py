@@ -7,13 +7,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    CharType,
     DataType,
     DecimalType,
     DoubleType,
     FloatType,
     FractionalType,
     IntegralType,
+    StringType,
     StructType,
+    VarcharType,
 )
 
 from ledgerloom.sources import schemas, seeds
@@ -45,6 +48,9 @@ _NOISE = {DoubleType(): 1e-12, FloatType(): 1e-7}
 
 def _fits(value: Column, cast: Column, arriving: DataType, wanted: DataType) -> Column:
     """Whether a cast kept the whole value; binary fractions may be off by their own rounding."""
+    if isinstance(wanted, StringType):
+        # identifiers and codes: a fraction or a binary number has no one written form
+        return F.lit(isinstance(arriving, (IntegralType, CharType, VarcharType)) or getattr(arriving, "scale", 1) == 0)
     if arriving in _NOISE and isinstance(wanted, DecimalType):
         near = F.abs(value) * _NOISE[arriving] + 1e-9
         return F.abs(value.cast("double") - cast.cast("double")) <= near
@@ -76,6 +82,34 @@ def conformed(table: DataFrame, schema: StructType, name: str) -> DataFrame:
     return table.select(*columns)
 
 
+def _read(spark: SparkSession, where: str, name: str, fmt: str, schema: StructType) -> DataFrame:
+    if fmt == "csv":
+        return read_csv(spark, f"{where}/{name}.csv", schema)
+    stored = spark.table(f"{where}.{name}") if fmt == "table" else spark.read.load(f"{where}/{name}", fmt)
+    return conformed(stored, schema, name)
+
+
+def load_reference_lists(
+    spark: SparkSession, location: str, fmt: str = "csv"
+) -> tuple[DataFrame, DataFrame]:
+    """Branches and divisions from `<location>/branches` and `<location>/divisions`, typed as in `load`."""
+    branches, divisions = (
+        _read(spark, location, name, fmt, schema) for name, schema in schemas.REFERENCE_LISTS.items()
+    )
+    return branches, divisions
+
+
+def store_reference_lists(branches: DataFrame, divisions: DataFrame, location: str) -> None:
+    """Write the two lists as CSV with a header, as `load_reference_lists` reads them.
+
+    Columns are checked and cast first, so what is stored can be loaded.
+    """
+    lists = {"branches": branches, "divisions": divisions}
+    for name, schema in schemas.REFERENCE_LISTS.items():
+        table = conformed(lists[name], schema, name)
+        table.write.option("header", "true").mode("overwrite").csv(f"{location}/{name}.csv")
+
+
 def load(
     spark: SparkSession,
     location: str,
@@ -89,23 +123,14 @@ def load(
     divisions come from `reference_location`, same layout, or from the built-in
     lists when it is left out. Whatever the format, columns come in the types of
     `schemas`; a value that does not fit, such as an amount finer than a cent,
-    stops the query that reads it.
+    stops the query that reads it. Identifiers may arrive as whole numbers or as
+    text and become text.
     """
-
-    def read(where: str, name: str, schema) -> DataFrame:
-        if fmt == "csv":
-            return read_csv(spark, f"{where}/{name}.csv", schema)
-        stored = spark.table(f"{where}.{name}") if fmt == "table" else spark.read.load(f"{where}/{name}", fmt)
-        return conformed(stored, schema, name)
-
-    ledgers = {name: read(location, name, schema) for name, schema in schemas.LEDGERS.items()}
+    ledgers = {name: _read(spark, location, name, fmt, s) for name, s in schemas.LEDGERS.items()}
     if reference_location is None:
         branches, divisions = seeds.seed_branches(spark), seeds.seed_divisions(spark)
     else:
-        branches, divisions = (
-            read(reference_location, name, schema)
-            for name, schema in schemas.REFERENCE_LISTS.items()
-        )
+        branches, divisions = load_reference_lists(spark, reference_location, fmt)
     return RawTables(
         accounts=ledgers["a_m"],
         customers=ledgers["c_m"],

@@ -49,12 +49,20 @@ FEES = [
 ]
 
 
+def table(spark, rows, schema):
+    """Identifiers are written as numbers above and arrive as text."""
+    return spark.createDataFrame(
+        [[str(v) if f.name in schemas.IDENTIFIERS and v is not None else v for f, v in zip(schema, row)] for row in rows],
+        schema,
+    )
+
+
 def hand_made(spark) -> RawTables:
     return RawTables(
-        accounts=spark.createDataFrame(ACCOUNTS, schemas.ACCOUNTS),
-        customers=spark.createDataFrame(CUSTOMERS, schemas.CUSTOMERS),
-        fees=spark.createDataFrame(FEES, schemas.FEES),
-        transactions=spark.createDataFrame(TRANSACTIONS, schemas.TRANSACTIONS),
+        accounts=table(spark, ACCOUNTS, schemas.ACCOUNTS),
+        customers=table(spark, CUSTOMERS, schemas.CUSTOMERS),
+        fees=table(spark, FEES, schemas.FEES),
+        transactions=table(spark, TRANSACTIONS, schemas.TRANSACTIONS),
         branches=seed_branches(spark),
         divisions=seed_divisions(spark),
     )
