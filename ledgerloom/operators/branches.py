@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import codes
 from ledgerloom.functions import expressions as X
+from ledgerloom.operators import activity
 from ledgerloom.operators.bridge import branch_places
 
 
@@ -71,21 +72,15 @@ def branch_account_metrics(bridge: DataFrame) -> DataFrame:
     )
 
 
-def branch_transaction_metrics(placed_transactions: DataFrame) -> DataFrame:
-    cents = F.col("cents")
-    grouped = (
-        placed_transactions.withColumn("cents", X.cents("transaction_amount"))
-        .groupBy("branch_code", F.col("transaction_month").alias("report_month"))
-        .agg(
-            X.rows().alias("total_transaction_count"),
-            X.total(cents).alias("total_transaction_volume"),
-            X.mean_money(cents).alias("avg_transaction_amount"),
-            F.count_if("is_settled").alias("settled_count"),
-            F.count_if("is_pending").alias("pending_count"),
-            F.count_if("is_returned").alias("returned_count"),
-            F.count_if("is_digital_retail").alias("digital_count_retail_def"),
-            F.count_if("is_digital_commercial").alias("digital_count_commercial_def"),
-        )
+def branch_transaction_metrics(parts: DataFrame) -> DataFrame:
+    """Transactions by branch and month, from their parts."""
+    grouped = parts.groupBy("branch_code", F.col("transaction_month").alias("report_month")).agg(
+        activity.uses().alias("total_transaction_count"),
+        X.total(F.col("cents")).alias("total_transaction_volume"),
+        activity.mean_transaction().alias("avg_transaction_amount"),
+        *activity.status_counts(),
+        activity.digital("retail").alias("digital_count_retail_def"),
+        activity.digital("commercial").alias("digital_count_commercial_def"),
     )
     return grouped.withColumns(
         {
@@ -117,17 +112,18 @@ def branch_fee_metrics(placed_fees: DataFrame) -> DataFrame:
 def branch_performance(
     bridge: DataFrame,
     transactions: DataFrame,
-    placed_transactions: DataFrame,
+    parts: DataFrame,
     placed_fees: DataFrame,
 ) -> DataFrame:
     """One row per branch and report month; only the averages may be missing.
 
-    `transactions` sets the months, the placed ledgers know their account.
+    `transactions` sets the months; `parts` of transactions and the placed fees know
+    their account.
     """
     grain = ["branch_code", "report_month"]
     metrics = [
         branch_account_metrics(bridge),
-        branch_transaction_metrics(placed_transactions),
+        branch_transaction_metrics(parts),
         branch_fee_metrics(placed_fees),
     ]
     board = branch_months(transactions, bridge)

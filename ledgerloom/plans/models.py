@@ -19,6 +19,7 @@ from ledgerloom.operators import (
     staging,
 )
 from ledgerloom.operators.bridge import account_customer_bridge, attach_account
+from ledgerloom.plans.columns import COLUMNS
 from ledgerloom.sources.tables import RawTables
 
 # Published name of each table.
@@ -32,7 +33,7 @@ PUBLISHED = {
     "int_transactions_decoded": "int_finance__transactions_decoded",
     "int_fees_decoded": "int_finance__fees_decoded",
     "int_acct_cust_bridge": "int_finance__acct_cust_bridge",
-    "placed_transactions": "int_finance__transactions_placed",
+    "daily_parts": "int_finance__transactions_daily",
     "placed_fees": "int_finance__fees_placed",
     "fct_account_summary": "fct_account_summary",
     "fct_customer_360": "fct_customer_360",
@@ -52,7 +53,7 @@ LAYERS = (
         "int_fees_decoded",
     ),
     ("int_acct_cust_bridge",),
-    ("placed_transactions", "placed_fees"),
+    ("daily_parts", "placed_fees"),
     (
         "fct_account_summary",
         "fct_customer_360",
@@ -63,9 +64,9 @@ LAYERS = (
     ),
     ("fct_division_performance",),
 )
-# Working tables: the ledgers cut to what branch, channel, daily and fee facts read,
-# with the place of the account. They exist so that the join runs once for all facts.
-WORKING = ("placed_transactions", "placed_fees")
+# Working tables: what branch, channel, daily and fee facts read, with the place of the
+# account. They exist so that the join runs once for all facts.
+WORKING = ("daily_parts", "placed_fees")
 _PLACE = ("branch_code", "division_code", "division_name")
 _TRANSACTION_FACTS = (
     "transaction_date",
@@ -74,11 +75,7 @@ _TRANSACTION_FACTS = (
     "signed_amount",
     "transaction_type_code",
     "transaction_channel_code",
-    "is_settled",
-    "is_pending",
-    "is_returned",
-    "is_digital_retail",
-    "is_digital_commercial",
+    "settlement_status",
     "settlement_lag_days",
 )
 _FEE_FACTS = ("fee_month", "fee_type_code", "fee_amount", "is_standalone_fee")
@@ -88,7 +85,10 @@ Keep = Callable[[str, DataFrame], DataFrame]
 
 def _table(define: Callable[[FinanceModels], DataFrame]) -> cached_property:
     def build(self: FinanceModels) -> DataFrame:
-        return self._keep(PUBLISHED[define.__name__], define(self))
+        table = define(self)
+        if define.__name__ in COLUMNS:
+            table = table.select(*COLUMNS[define.__name__])
+        return self._keep(PUBLISHED[define.__name__], table)
 
     return cached_property(build)
 
@@ -97,13 +97,15 @@ class FinanceModels:
     """Lazy tables over the inputs: reading an attribute plans it, nothing runs.
 
     `keep(name, table)` may store a table and return a scan of it, which every
-    later table then reads. By default tables are left unevaluated.
+    later table then reads. By default tables are left unevaluated. `stored` says
+    that tables are kept, so that adding up by day pays.
     """
 
-    def __init__(self, raw: RawTables, as_of: AsOf = None, keep: Keep | None = None):
+    def __init__(self, raw: RawTables, as_of: AsOf = None, keep: Keep | None = None, stored: bool = False):
         self.raw = raw
         self.as_of = as_of
         self._keep = keep or (lambda name, table: table)
+        self._stored = stored
 
     @_table
     def stg_accounts(self):
@@ -147,9 +149,10 @@ class FinanceModels:
         )
 
     @_table
-    def placed_transactions(self):
+    def daily_parts(self):
         facts = attach_account(self.int_transactions_decoded, self.int_acct_cust_bridge)
-        return facts.select(*_TRANSACTION_FACTS, *_PLACE)
+        parts = activity.transaction_parts(facts.select(*_TRANSACTION_FACTS, *_PLACE))
+        return activity.pre_aggregated(parts) if self._stored else parts
 
     @_table
     def placed_fees(self):
@@ -181,18 +184,18 @@ class FinanceModels:
 
     @_table
     def fct_channel_agg(self):
-        return activity.channel_mix(self.placed_transactions)
+        return activity.channel_mix(self.daily_parts)
 
     @_table
     def fct_daily_transactions(self):
-        return activity.daily_transactions(self.placed_transactions)
+        return activity.daily_transactions(self.daily_parts)
 
     @_table
     def fct_branch_performance(self):
         return branches.branch_performance(
             self.int_acct_cust_bridge,
             self.int_transactions_decoded,
-            self.placed_transactions,
+            self.daily_parts,
             self.placed_fees,
         )
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,16 @@ from ledgerloom.operators.decode import flag_standalone_fees
 from ledgerloom.plans.models import PUBLISHED, WORKING, FinanceModels
 from ledgerloom.sources.schemas import MONEY
 from ledgerloom.sources.scratch import scratch_folder
-from ledgerloom.sources.tables import TableSink, load, read_csv
+from ledgerloom.sources.tables import (
+    TableSink,
+    load,
+    load_reference_lists,
+    read_csv,
+    store_reference_lists,
+)
 from ledgerloom.sources.testdata import AS_OF, bank_tables
 
-# Schema of the tables that round trips leave behind.
+# What the catalog schemas of round trips are called; each lasts as long as its call.
 ROUND_TRIPS = "ledgerloom_round_trips"
 Query = Callable[[SparkSession, str], DataFrame]
 Plan = Callable[[FinanceModels], DataFrame]
@@ -105,9 +112,6 @@ _DAY = ("transaction_date", "division_code")
 _STATUS = ("settled", "pending", "returned")
 
 PLANS: dict[str, Plan] = {
-    # reference lists
-    "seed_branches": lambda m: m.raw.branches,
-    "seed_divisions": lambda m: m.raw.divisions,
     # tables
     **{name: _columns(name, "*") for name in PUBLISHED if name not in WORKING},
     # joins
@@ -166,7 +170,7 @@ PLANS: dict[str, Plan] = {
         m.int_acct_cust_bridge
     ),
     "agg_branch_txn_metrics": lambda m: branches.branch_transaction_metrics(
-        m.placed_transactions
+        m.daily_parts
     ),
     "agg_branch_fee_metrics": lambda m: branches.branch_fee_metrics(m.placed_fees),
     "agg_division_rollup": lambda m: divisions.division_rollup(m.fct_branch_performance),
@@ -301,6 +305,9 @@ PLANS: dict[str, Plan] = {
         m.fct_daily_transactions
     ),
     "metric_new_customers": lambda m: metrics.metric_new_customers(m.int_customers_decoded),
+    "metric_mom_fee_revenue_delta": lambda m: metrics.metric_mom_fee_revenue_delta(
+        m.fct_division_performance
+    ),
     "metric_active_customers": lambda m: metrics.metric_active_customers(m.int_customers_decoded),
     "metric_kyc_alerts": lambda m: metrics.metric_kyc_alerts(m.int_customers_decoded),
     "metric_region_rollup": lambda m: metrics.metric_region_rollup(m.fct_branch_performance),
@@ -318,22 +325,47 @@ def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, path, ledger.schema)
 
 
+@contextmanager
+def _own_schema(spark: SparkSession) -> Iterator[str]:
+    """A catalog schema of this call alone. Its tables are forgotten afterwards; their files stay readable."""
+    name = f"{ROUND_TRIPS}_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {name}")
+    try:
+        yield name
+    finally:
+        for table in spark.catalog.listTables(name):
+            if not table.isTemporary:
+                spark.sql(f"DROP TABLE {name}.{table.name}")
+        spark.sql(f"DROP SCHEMA {name}")
+
+
 def _table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The decoded accounts stored as a table of its own and read back."""
     table = finance_models(spark, folder).int_accounts_decoded
-    sink = TableSink(path=scratch_folder(spark), namespace=ROUND_TRIPS)
-    return sink.publish(f"accounts_{uuid.uuid4().hex}", table)
+    with _own_schema(spark) as schema:
+        return TableSink(path=scratch_folder(spark), namespace=schema).publish("accounts", table)
 
 
 def _table_load(spark: SparkSession, folder: str) -> DataFrame:
-    """The transactions in a catalog table with amounts as doubles, loaded in their own types."""
-    raw, place = bank_tables(spark, folder), f"{ROUND_TRIPS}_{uuid.uuid4().hex}"
-    sink = TableSink(path=scratch_folder(spark), namespace=place)
+    """The transactions in a catalog table with amounts as doubles, loaded in their own types.
+
+    Account ids arrive as whole numbers, transaction ids as text.
+    """
+    raw = bank_tables(spark, folder)
     ledgers = {"a_m": raw.accounts, "c_m": raw.customers, "f_l": raw.fees, "t_l": raw.transactions}
-    for name, ledger in ledgers.items():
-        amounts = [f.name for f in ledger.schema if f.dataType == MONEY]
-        sink.publish(name, ledger.withColumns({n: F.col(n).cast("double") for n in amounts}))
-    return load(spark, place, fmt="table").transactions
+    with _own_schema(spark) as schema:
+        sink = TableSink(path=scratch_folder(spark), namespace=schema)
+        for name, ledger in ledgers.items():
+            amounts = [f.name for f in ledger.schema if f.dataType == MONEY]
+            sink.publish(name, ledger.withColumns({n: F.col(n).cast("double") for n in amounts}))
+        return load(spark, schema, fmt="table").transactions
+
+
+def _seeded(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The two reference lists written as seed files and loaded like any bank's own."""
+    raw, place = bank_tables(spark, folder), scratch_folder(spark)
+    store_reference_lists(raw.branches, raw.divisions, place)
+    return load_reference_lists(spark, place)
 
 
 def _planned(plan: Plan) -> Query:
@@ -343,6 +375,8 @@ def _planned(plan: Plan) -> Query:
 def registered() -> dict[str, Query]:
     return {
         **{name: _planned(plan) for name, plan in PLANS.items()},
+        "seed_branches": lambda spark, folder: _seeded(spark, folder)[0],
+        "seed_divisions": lambda spark, folder: _seeded(spark, folder)[1],
         "src_csv_roundtrip": _csv_roundtrip,
         "src_table_load": _table_load,
         "sink_table_roundtrip": _table_roundtrip,
