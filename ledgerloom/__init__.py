@@ -2,6 +2,15 @@
 
 from ledgerloom.plans.models import FinanceModels
 from ledgerloom.plans.refresh import Refreshed, refresh, register_views
-from ledgerloom.sources.tables import RawTables, TableSink, load
+from ledgerloom.sources.tables import RawTables, TableSink, VersionedSink, load
 
-__all__ = ["FinanceModels", "RawTables", "Refreshed", "TableSink", "load", "refresh", "register_views"]
+__all__ = [
+    "FinanceModels",
+    "RawTables",
+    "Refreshed",
+    "TableSink",
+    "VersionedSink",
+    "load",
+    "refresh",
+    "register_views",
+]

@@ -181,8 +181,8 @@ def orphan_values(
     return values.join(known, F.col(column) == F.col("_known"), "left_anti")
 
 
-def _row_level(check: Check) -> Column:
-    """Rows that break a check which needs no other row."""
+def broken_rows(check: Check) -> Column:
+    """Number of rows that break a check which needs no other row."""
     column = F.col(check.column)
     if check.test == "not_null":
         return F.count_if(column.isNull())
@@ -206,7 +206,7 @@ def _labelled(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 def _count_row_level(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All row-level checks of a table in one scan."""
-    counts = [_row_level(check).alias(f"check_{i}") for i, check in enumerate(checks)]
+    counts = [broken_rows(check).alias(f"check_{i}") for i, check in enumerate(checks)]
     return _labelled(table.agg(*counts), checks)
 
 
@@ -249,12 +249,16 @@ def report(tables: Mapping[str, DataFrame], checks: Sequence[Check] = CHECKS) ->
             row_level.setdefault(check.table, []).append(check)
     parts += [_count_key(tables[name], column, group) for (name, column), group in keys.items()]
     parts += [_count_row_level(tables[name], group) for name, group in row_level.items()]
+    return with_outcome(reduce(DataFrame.unionByName, parts))
+
+
+def with_outcome(counted: DataFrame) -> DataFrame:
     outcome = (
         F.when(F.col("violations") == 0, "pass")
         .when(F.col("severity") == "warn", "warn")
         .otherwise("fail")
     )
-    return reduce(DataFrame.unionByName, parts).withColumn("outcome", outcome)
+    return counted.withColumn("outcome", outcome)
 
 
 def row_rule_report(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -4,17 +4,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _renamed(raw: DataFrame, names: dict[str, str], text: tuple[str, ...]) -> DataFrame:
-    return raw.select(
-        *[
-            (F.col(old).cast("string") if old in text else F.col(old)).alias(new)
-            for old, new in names.items()
-        ]
-    )
-
-
-def stage_accounts(raw: DataFrame) -> DataFrame:
-    names = {
+# Arriving and published names of each ledger.
+NAMES = {
+    "a_m": {
         "a_id": "account_id",
         "c_id": "customer_id",
         "a_typ": "account_type_code",
@@ -23,12 +15,8 @@ def stage_accounts(raw: DataFrame) -> DataFrame:
         "a_st": "account_status_code",
         "a_bal": "balance",
         "br_cd": "branch_code",
-    }
-    return _renamed(raw, names, text=("a_id", "c_id"))
-
-
-def stage_customers(raw: DataFrame) -> DataFrame:
-    names = {
+    },
+    "c_m": {
         "c_id": "customer_id",
         "c_extrn_ref": "crm_reference",
         "c_dob": "date_of_birth",
@@ -37,24 +25,16 @@ def stage_customers(raw: DataFrame) -> DataFrame:
         "c_st_cd": "customer_status_code",
         "c_rsk_sc": "risk_score",
         "c_kyc_flg": "know_your_cust_flag",
-    }
-    return _renamed(raw, names, text=("c_id", "c_kyc_flg"))
-
-
-def stage_fees(raw: DataFrame) -> DataFrame:
-    names = {
+    },
+    "f_l": {
         "f_id": "fee_id",
         "a_id": "account_id",
         "t_id": "transaction_id",
         "f_typ": "fee_type_code",
         "f_amt": "fee_amount",
         "f_dt": "fee_date",
-    }
-    return _renamed(raw, names, text=("f_id", "a_id", "t_id"))
-
-
-def stage_transactions(raw: DataFrame) -> DataFrame:
-    names = {
+    },
+    "t_l": {
         "t_id": "transaction_id",
         "a_id": "account_id",
         "t_dt": "transaction_date",
@@ -64,5 +44,30 @@ def stage_transactions(raw: DataFrame) -> DataFrame:
         "t_typ": "transaction_type_code",
         "t_ch": "transaction_channel_code",
         "t_st": "settlement_status",
-    }
-    return _renamed(raw, names, text=("t_id", "a_id"))
+    },
+}
+
+
+def _renamed(raw: DataFrame, ledger: str, text: tuple[str, ...]) -> DataFrame:
+    return raw.select(
+        *[
+            (F.col(old).cast("string") if old in text else F.col(old)).alias(new)
+            for old, new in NAMES[ledger].items()
+        ]
+    )
+
+
+def stage_accounts(raw: DataFrame) -> DataFrame:
+    return _renamed(raw, "a_m", text=("a_id", "c_id"))
+
+
+def stage_customers(raw: DataFrame) -> DataFrame:
+    return _renamed(raw, "c_m", text=("c_id", "c_kyc_flg"))
+
+
+def stage_fees(raw: DataFrame) -> DataFrame:
+    return _renamed(raw, "f_l", text=("f_id", "a_id", "t_id"))
+
+
+def stage_transactions(raw: DataFrame) -> DataFrame:
+    return _renamed(raw, "t_l", text=("t_id", "a_id"))

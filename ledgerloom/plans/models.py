@@ -211,18 +211,17 @@ class FinanceModels:
 
     def checked_tables(self) -> dict[str, DataFrame]:
         """Every table a data check may name."""
-        raw = self.raw
-        tables = {
-            "a_m": raw.accounts,
-            "c_m": raw.customers,
-            "f_l": raw.fees,
-            "t_l": raw.transactions,
-            "branches": raw.branches,
-            "divisions": raw.divisions,
-        }
-        tables |= {
-            name: getattr(self, attribute)
-            for attribute, name in PUBLISHED.items()
-            if attribute not in WORKING
-        }
-        return tables
+        published = {n: getattr(self, a) for a, n in PUBLISHED.items() if a not in WORKING}
+        return ledgers(self.raw) | published
+
+
+def ledgers(raw: RawTables) -> dict[str, DataFrame]:
+    """The inputs by the names under which checks know them."""
+    return {
+        "a_m": raw.accounts,
+        "c_m": raw.customers,
+        "f_l": raw.fees,
+        "t_l": raw.transactions,
+        "branches": raw.branches,
+        "divisions": raw.divisions,
+    }

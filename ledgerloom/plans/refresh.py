@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.expressions import AsOf
-from ledgerloom.operators import quality
-from ledgerloom.plans.models import LAYERS, PUBLISHED, FinanceModels
-from ledgerloom.sources.tables import RawTables, TableSink, publish_view
+from ledgerloom.operators import quality, watching
+from ledgerloom.plans.models import LAYERS, PUBLISHED, FinanceModels, ledgers
+from ledgerloom.sources.tables import RawTables, TableSink, VersionedSink, publish_view
 
-
-# Name of the stored check report.
+# Names of the stored check report, and of the counted keys it is made from.
 REPORT = "data_checks"
+KEYS = "data_check_keys"
 
 
 class ChecksFailed(Exception):
@@ -41,9 +41,10 @@ class Refreshed:
 
 def refresh(
     raw: RawTables,
-    sink: TableSink,
+    sink: TableSink | VersionedSink,
     as_of: AsOf = None,
     views: Collection[str] = (),
+    only_passed: bool = False,
 ) -> Refreshed:
     """Compute and store all tables, each reading the stored ones before it.
 
@@ -52,24 +53,72 @@ def refresh(
     facts that need it. Tables of a layer are stored side by side, so that the
     last tasks of one leave no executor idle. Names in `views` become session views instead: with
     very large ledgers, leaving the staging layer unstored saves a full copy.
-    The check report runs over the stored tables and is stored as `data_checks`.
-    Without `as_of`, the day on which the refresh starts holds for all tables. No
+
+    Checks on single rows are counted while their table is stored. Each key is counted
+    once, into the stored table `data_check_keys`; the report is stored as `data_checks`.
+    With `only_passed`, failed checks raise before anything of a `VersionedSink` is
+    published. Without `as_of`, the day on which the refresh starts holds for all tables. No
     setting of the session is changed; see `session.tune`.
     """
     spark = raw.transactions.sparkSession
     if as_of is None:
         as_of = spark.range(1).select(F.current_date()).first()[0]
+    watcher, target = watching.Watcher(), sink.begin(spark)
 
     def keep(name: str, table: DataFrame) -> DataFrame:
-        return publish_view(name, table) if name in views else sink.publish(name, table)
-
-    models = FinanceModels(raw, as_of, keep)
+        if name in views:
+            return publish_view(name, table)
+        return target.publish(name, watcher.watched(name, table))
+
+    def ledger(name: str, table: DataFrame) -> DataFrame:
+        # a ledger is read once, when its staged table is stored
+        return table if watching.STAGED[name] in views else watcher.watched(name, table)
+
+    arriving = replace(
+        raw,
+        accounts=ledger("a_m", raw.accounts),
+        customers=ledger("c_m", raw.customers),
+        fees=ledger("f_l", raw.fees),
+        transactions=ledger("t_l", raw.transactions),
+    )
+    models = FinanceModels(arriving, as_of, keep, stored=True)
     tables = {}
     for layer in LAYERS:
         with ThreadPoolExecutor(len(layer)) as pool:
             stored = pool.map(lambda attribute: getattr(models, attribute), layer)
             tables |= zip([PUBLISHED[attribute] for attribute in layer], stored)
-    return Refreshed(tables, sink.publish(REPORT, quality.report(models.checked_tables())))
+    known = {**tables, **ledgers(raw)}
+    done = Refreshed(tables, _checked(spark, target, watcher, known, tables))
+    if only_passed:
+        done.require_passed()
+    target.commit(spark, [name for name in [*tables, KEYS, REPORT] if name not in views])
+    return done
+
+
+def _checked(
+    spark: SparkSession,
+    target: TableSink,
+    watcher: watching.Watcher,
+    known: Mapping[str, DataFrame],
+    tables: Mapping[str, DataFrame],
+) -> DataFrame:
+    """The check report, from what the writes have counted and one pass over each key."""
+    counted = watcher.counted()
+    open_ = [c for c in watcher.checks if c.test in ("not_null", "accepted_values") and c not in counted]
+    across = [c for c in watcher.checks if c.test in ("unique", "relationships")]
+    answers = {
+        key: watching.stored_key(source, tables)
+        for key, source in watching.keys_to_count(across, watcher.prints()).items()
+    }
+    keys = watching.key_counts(known, dict.fromkeys(answers.values()))
+    counts = target.publish(KEYS, keys, by=("table_name", "column_name"))
+    parts = [
+        watching.report_of_rows(spark, counted),
+        watching.report_of_keys(counts, answers, across).drop("outcome"),
+    ]
+    if open_:
+        parts.append(quality.report(known, open_).drop("outcome"))
+    return target.publish(REPORT, watching.whole_report(parts))
 
 
 def register_views(raw: RawTables, as_of: AsOf = None) -> FinanceModels:

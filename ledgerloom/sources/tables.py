@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     CharType,
@@ -158,21 +160,95 @@ class TableSink:
         if not (self.path or self.namespace):
             raise ValueError("a sink needs a path or a namespace")
 
-    def publish(self, name: str, table: DataFrame) -> DataFrame:
+    def publish(self, name: str, table: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        """Store a table, in a folder for each value of the columns `by` if there are any."""
         spark = table.sparkSession
         writer = table.write.format(self.fmt).mode("overwrite")
+        if by:
+            writer = writer.partitionBy(*by)
         if self.namespace:
             place = f" LOCATION '{self.path}'" if self.path else ""
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.namespace}{place}")
             if self.path:
                 writer = writer.option("path", f"{self.path}/{name}")
             writer.saveAsTable(f"{self.namespace}.{name}")
-            return spark.table(f"{self.namespace}.{name}")
+            return spark.table(f"{self.namespace}.{name}").select(*table.columns)
         writer.save(f"{self.path}/{name}")
-        return spark.read.format(self.fmt).schema(table.schema).load(f"{self.path}/{name}")
+        stored = spark.read.format(self.fmt).schema(table.schema).load(f"{self.path}/{name}")
+        return stored.select(*table.columns)
+
+    def begin(self, spark: SparkSession) -> TableSink:
+        """Where a refresh writes: in place."""
+        return self
+
+    def commit(self, spark: SparkSession, names: Iterable[str]) -> None:
+        """Nothing is left to do: every table is visible once it is stored."""
 
 
 def publish_view(name: str, table: DataFrame) -> DataFrame:
     """Session view instead of a stored table."""
     table.createOrReplaceTempView(name)
     return table.sparkSession.table(name)
+
+
+_ENTRIES = "number bigint, folder string, tables array<string>"
+
+
+@dataclass(frozen=True)
+class VersionedSink:
+    """Full-refresh publishing all at once: readers see the old tables until every new one is stored.
+
+    Each refresh writes to a folder of its own below `path`. One row added to the list of versions
+    publishes it: Spark commits that file or does not. A refresh that fails leaves no row, and the version
+    before stays what `tables` reads. With `namespace`, views of that catalog schema follow the list; should
+    a failure come between the two, `show` brings them in line. Old versions stay until they are removed
+    by whoever owns the folder, so that running queries may finish.
+    """
+
+    path: str
+    namespace: str | None = None
+    fmt: str = "parquet"
+
+    def versions(self, spark: SparkSession) -> DataFrame:
+        """number, folder and tables of every published version."""
+        place = f"{self.path}/versions"
+        spark.createDataFrame([], _ENTRIES).write.mode("append").parquet(place)
+        return spark.read.schema(_ENTRIES).parquet(place)
+
+    def _latest(self, spark: SparkSession) -> Row | None:
+        # of two refreshes that end together the last by name
+        return self.versions(spark).orderBy(F.desc("number"), F.desc("folder")).first()
+
+    def tables(self, spark: SparkSession) -> dict[str, DataFrame]:
+        """Scans of all tables of the version that is published."""
+        now = self._latest(spark)
+        if now is None:
+            return {}
+        return {name: spark.read.format(self.fmt).load(f"{self.path}/{now.folder}/{name}") for name in now.tables}
+
+    def begin(self, spark: SparkSession) -> _Version:
+        return _Version(fmt=self.fmt, path=f"{self.path}/{uuid.uuid4().hex}", owner=self)
+
+    def show(self, spark: SparkSession) -> None:
+        """Point the views of `namespace` at the published version."""
+        now = self._latest(spark)
+        if now is None or not self.namespace:
+            return
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.namespace}")
+        for name in now.tables:
+            stored = f"{self.fmt}.`{self.path}/{now.folder}/{name}`"
+            spark.sql(f"CREATE OR REPLACE VIEW {self.namespace}.{name} AS SELECT * FROM {stored}")
+
+
+@dataclass(frozen=True)
+class _Version(TableSink):
+    """The folder of one refresh."""
+
+    owner: VersionedSink | None = None
+
+    def commit(self, spark: SparkSession, names: Iterable[str]) -> None:
+        before = self.owner._latest(spark)
+        number = 1 if before is None else before.number + 1
+        entry = [(number, self.path.rsplit("/", 1)[1], sorted(names))]
+        spark.createDataFrame(entry, _ENTRIES).coalesce(1).write.mode("append").parquet(f"{self.owner.path}/versions")
+        self.owner.show(spark)
