@@ -15,8 +15,8 @@ from ledgerloom.llm.stored import stored
 from ledgerloom.llm.textbytes import LOWER, mixed, slices, span_hashes
 
 LONGEST = 4  # words of a window, and of the longest phrase
-SLICE = 4 * 2**20  # bytes of text whose windows are counted together before Spark sees them
-BITS = 27  # the filter of frequent word pairs has 2^BITS bits (16 MB) at any size of the input
+SLICE = 2 * 2**20  # bytes of text whose windows are counted together before Spark sees them
+BITS = 27  # a field of frequent runs has 2^BITS bits (16 MB) at any size of the input
 UNKNOWN = "und"
 _BREAKS = np.isin(np.arange(256), np.frombuffer(b".,;:!?\x0a\x0b\x0c\x0d", np.uint8))
 _BLANKS = np.isin(np.arange(256), np.frombuffer(b"\x20\x09", np.uint8)) | _BREAKS
@@ -41,11 +41,25 @@ class _Pieces:
         self.hashes = span_hashes(self.data, self.starts, self.ends)
         self.salts = salts[self.lang]
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """First words of word pairs within a piece, and hashes of the pairs with their language."""
-        first = np.flatnonzero(self.joined)
-        both = mixed(self.hashes[first] * _STEP + self.salts[first]) * _STEP + self.hashes[first + 1]
-        return first, mixed(both)
+    def walk(self, fields: list[np.ndarray], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of 2, 3, ... words, one size more than there are fields: places and hashes of runs within a piece.
+
+        Runs are left out unless the fields have a bit for both runs inside that are one word shorter.
+        """
+        alive, hashes = np.ones(len(self.starts), bool), mixed(self.hashes * _STEP + self.salts)
+        for size in range(2, len(fields) + 3):
+            follows = np.concatenate((alive[1:], [False]))[: len(alive)]
+            places = np.flatnonzero(alive & follows & self.joined)
+            longer = np.zeros_like(hashes)
+            longer[places] = mixed(hashes[places] * _STEP + self.hashes[places + size - 1])
+            hashes, found = longer, longer[places]
+            if size - 2 < len(fields):
+                at = (found >> np.uint64(64 - bits)).astype(np.int64)
+                known = (fields[size - 2][at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                places, found = places[known], found[known]
+                alive = np.zeros(len(self.starts), bool)
+                alive[places] = True
+            yield places, found
 
 
 def _run(spans: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -59,52 +73,64 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[_Pieces]:
             yield _Pieces(texts, rows.column(0).to_pylist())
 
 
-def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for pieces in _read(batches):
-        pairs, counts = np.unique(pieces.pairs()[1], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(counts)], names=["pair", "n"])
+Fields = list[Broadcast]
 
 
-def frequent_pairs(texts: DataFrame, least: int, bits: int = BITS) -> bytes:
-    """A bit field of 2^bits bits that has a bit for every word pair of `least` occurrences or more.
+def _opened(fields: Fields) -> list[np.ndarray]:
+    return [np.frombuffer(field.value, np.uint8) for field in fields]
 
-    Hashes that share a value or a bit only make it say yes more often. Spark gathers the field from
-    parts of 8 KB, so what comes to the driver is never more than the field.
+
+def frequent_runs(texts: DataFrame, least: int, fields: Fields, bits: int = BITS) -> bytes:
+    """A field of 2^bits bits with one for every run of `least` occurrences or more, of two words more than `fields`.
+
+    Only runs whose inner runs the shorter `fields` know are counted: no others can be as frequent. Runs
+    that share a hash or a bit only make the field say yes more often. Spark gathers it from parts of
+    4 KB, so what comes to the driver is never more than the field.
     """
-    counted = texts.mapInArrow(_pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    place = F.shiftrightunsigned("pair", 64 - bits)
-    frequent = counted.where(F.col("n") >= least).select(
-        F.shiftrightunsigned(place, 16).alias("part"), place.bitwiseAND(65535).cast("int").alias("bit")
-    )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shorter = _opened(fields)
+        for pieces in _read(batches):
+            *_, (_, found) = pieces.walk(shorter, bits)
+            runs, counts = np.unique(found, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(runs.view(np.int64)), pa.array(counts)], names=["run", "n"])
+
+    counted = texts.mapInArrow(count, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
+    place = F.shiftrightunsigned("run", 64 - bits)
     # bitmap_construct_agg holds 32768 bits
-    halves = frequent.groupBy("part", F.shiftright("bit", 15).alias("half")).agg(
-        F.bitmap_construct_agg(F.col("bit").bitwiseAND(32767).cast("long")).alias("field")
+    parts = counted.where(F.col("n") >= least).groupBy(F.shiftrightunsigned(place, 15).alias("part")).agg(
+        F.bitmap_construct_agg(place.bitwiseAND(32767)).alias("bits")
     )
     field = np.zeros(max(1, 2**bits // 8), np.uint8)
-    for row in halves.toLocalIterator():
-        begin = (row["part"] * 2 + row["half"]) * 4096
-        own = np.frombuffer(bytes(row["field"]), np.uint8)[: len(field) - begin]
+    for row in parts.toLocalIterator():
+        begin = row["part"] * 4096
+        own = np.frombuffer(bytes(row["bits"]), np.uint8)[: len(field) - begin]
         field[begin : begin + len(own)] = own
     return field.tobytes()
 
 
-def _windows(field: Broadcast, bits: int):
+def known_runs(texts: DataFrame, least: int, bits: int = BITS) -> Fields:
+    """Fields for runs of two, three, ... words up to the longest phrase."""
+    fields: Fields = []
+    while len(fields) < LONGEST - 1:
+        field = frequent_runs(texts, least, fields, bits)
+        fields.append(texts.sparkSession.sparkContext.broadcast(field))
+    return fields
+
+
+def _windows(fields: Fields, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.frombuffer(field.value, np.uint8)
+        known = _opened(fields)
         for pieces in _read(batches):
             if not len(pieces.starts):
                 continue
-            first, hashes = pieces.pairs()
-            place = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-            goes_on = np.zeros(len(pieces.starts) + LONGEST, bool)
-            goes_on[first] = (known[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-            # words of the window at each place: further ones as long as every pair so far is frequent
+            # words of the window at each place: as many as the longest known run from there, 0 for none
             _, named, word = np.unique(pieces.hashes, return_index=True, return_inverse=True)
-            columns, inside = [word + 1], np.ones(len(word), bool)
-            for lead in range(1, LONGEST):
-                inside = inside & goes_on[lead - 1 : lead - 1 + len(word)]
-                after = np.concatenate((word[lead:], np.zeros(min(lead, len(word)), word.dtype)))
-                columns.append(np.where(inside, after + 1, 0))
+            columns = [word + 1]
+            for lead, (places, _) in zip(range(1, LONGEST), pieces.walk(known, bits)):
+                column = np.zeros(len(word), word.dtype)
+                column[places] = word[places + lead] + 1
+                columns.append(column)
             # equal windows of the slice are counted here
             keys = np.column_stack([pieces.lang, *columns])
             order = np.lexsort(keys.T[::-1])
@@ -122,14 +148,13 @@ def _windows(field: Broadcast, bits: int):
     return run
 
 
-def longest_windows(texts: DataFrame, field: bytes, bits: int = BITS) -> DataFrame:
+def longest_windows(texts: DataFrame, fields: Fields, bits: int = BITS) -> DataFrame:
     """lang, w1 to w4 and n: a window for every word, it and the words that it leads, with null beyond.
 
-    A window ends with its piece, and before a word pair that `field` excludes.
+    A window ends with its piece, and before the word with which the `fields` exclude it.
     """
-    sent = texts.sparkSession.sparkContext.broadcast(field)
     kind = "lang string, " + ", ".join(f"{w} string" for w in _WORDS) + ", n long"
-    windows = texts.mapInArrow(_windows(sent, bits), kind)
+    windows = texts.mapInArrow(_windows(fields, bits), kind)
     return windows.groupBy("lang", *_WORDS).agg(F.sum("n").alias("n"))
 
 
@@ -203,16 +228,17 @@ def mine_collocations(
     Phrases inside a longer one that is at least `percent` per cent as frequent are left out.
 
     Every word heads one window of four; Spark counts the windows and one ROLLUP gives all shorter
-    phrases. Windows are cut before word pairs that cannot be in any phrase of `least` occurrences, told
-    by a bit field of fixed size; where the field fills up, fewer windows are cut and the result is the same.
+    phrases. Windows are cut where no phrase of `least` occurrences can go on, which bit fields of fixed
+    size tell, one for each number of words; where a field fills up, fewer windows are cut and the result
+    is the same.
 
     A null text is empty and counts nothing, a null language is `und`. Repeated rows count as often as
     they come; phrases of equal score and count are ordered by their bytes. Other columns are not read.
     No words give no rows.
     """
     texts = documents.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
-    field = frequent_pairs(texts, least, bits)
-    phrases = stored(phrase_counts(longest_windows(texts, field, bits), least))
+    fields = known_runs(texts, least, bits)
+    phrases = stored(phrase_counts(longest_windows(texts, fields, bits), least))
     candidates = stored(scored(phrases.where("size > 0"), scale))
     left = candidates.join(_absorbed(candidates, percent), ["lang", "phrase"], "left_anti")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,8 +71,27 @@ def test_odd_texts(spark, odd_texts, no_texts):
 def test_windows_hold_every_word_once(spark):
     rows = [("x", "a b c d e. a b"), ("x", "b c")]
     table = spark.createDataFrame(rows, "lang string, text string")
-    windows = collocations.longest_windows(table, b"\xff" * 2**24).collect()
+    full, none = (spark.sparkContext.broadcast(bytes([byte]) * 2**24) for byte in (255, 0))
+    windows = collocations.longest_windows(table, [full] * 3).collect()
     assert sum(r["n"] for r in windows) == 9
     assert ("x", "b", "c", "d", "e", 1) in [tuple(r) for r in windows]
-    shorter = collocations.longest_windows(table, bytes(2**24)).collect()
+    shorter = collocations.longest_windows(table, [none] * 3).collect()
     assert {tuple(r)[1:] for r in shorter} == {(w, None, None, None, n) for w, n in zip("abcde", (2, 3, 2, 1, 1))}
+
+
+def test_fields_know_every_frequent_run(spark):
+    """A window may go on too far, never stop too early."""
+    rows = list(made(random.Random(4)))
+    fields = collocations.known_runs(spark.createDataFrame(rows, "lang string, text string").fillna("und"), 8)
+    texts = [(text or "").encode() for _, text in rows]
+    pieces = collocations._Pieces(texts, [lang or "und" for lang, _ in rows])
+    walked = list(pieces.walk(collocations._opened(fields), collocations.BITS))
+    _, word = np.unique(pieces.hashes, return_inverse=True)
+    for size, (places, _) in zip((2, 3, 4), walked):
+        runs = Counter()
+        for at in range(len(word) - size + 1):
+            if pieces.joined[at : at + size - 1].all():
+                runs[pieces.lang[at], *word[at : at + size]] += 1
+        often = {at for at in range(len(word) - size + 1)
+                 if pieces.joined[at : at + size - 1].all() and runs[pieces.lang[at], *word[at : at + size]] >= 8}
+        assert often == set(places.tolist())
