@@ -106,9 +106,32 @@ def metric_kyc_alerts(customers: DataFrame) -> DataFrame:
     )
 
 
-def metric_region_rollup(branch_performance: DataFrame) -> DataFrame:
+def metric_kyc_alert_count(
+    customers: DataFrame, by: tuple[str, ...] = ("division_code",)
+) -> DataFrame:
+    """Number of customers whose identity checks are incomplete."""
+    return _customers_by_division(customers).groupBy(*by).agg(
+        F.count_if(F.col("know_your_cust_flag") == "0").alias("kyc_alert_count")
+    )
+
+
+def metric_region_rollup(
+    branch_performance: DataFrame,
+    by: tuple[str, ...] = ("report_month", "region_code", "region_name"),
+) -> DataFrame:
     """Branch figures by region and report month."""
-    return roll_up_branches(branch_performance, "report_month", "region_code", "region_name")
+    return roll_up_branches(branch_performance, *by)
+
+
+def metric_month_end_accounts(
+    month_end_accounts: DataFrame, by: tuple[str, ...] = ("branch_code", "report_month")
+) -> DataFrame:
+    """Accounts open at the end of the month, which add up over places; `measures` has other periods."""
+    if "report_month" not in by:
+        raise ValueError("a stock does not add up over months")
+    return month_end_accounts.groupBy(*by).agg(
+        F.sum("accounts_active_at_month_end").alias("accounts_active_at_month_end")
+    )
 
 
 # Metrics by name, with the table each one is computed from.
@@ -119,5 +142,8 @@ METRICS = {
     "high_risk_customer_count": (metric_high_risk_customers, "int_customers_decoded"),
     "new_customer_count": (metric_new_customers, "int_customers_decoded"),
     "active_customer_count": (metric_active_customers, "int_customers_decoded"),
+    "kyc_alert_count": (metric_kyc_alert_count, "int_customers_decoded"),
+    "region_rollup": (metric_region_rollup, "fct_branch_performance"),
+    "accounts_active_at_month_end": (metric_month_end_accounts, "month_end_accounts"),
     "mom_fee_revenue_delta": (metric_mom_fee_revenue_delta, "fct_division_performance"),
 }

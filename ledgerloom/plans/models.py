@@ -12,13 +12,15 @@ from ledgerloom.operators import (
     accounts,
     activity,
     branches,
+    customer_sets,
     customers,
     decode,
     divisions,
+    measures,
     metrics,
     staging,
 )
-from ledgerloom.operators.bridge import account_customer_bridge, attach_account
+from ledgerloom.operators.bridge import account_customer_bridge, attach_account, branch_places
 from ledgerloom.plans.columns import COLUMNS
 from ledgerloom.sources.tables import RawTables
 
@@ -203,6 +205,27 @@ class FinanceModels:
     def fct_division_performance(self):
         return divisions.division_performance(self.fct_branch_performance)
 
+    @cached_property
+    def month_end_accounts(self):
+        """Accounts open at the end of each report month, by branch, with its region and division."""
+        stock = branches.accounts_active_at_month_end(
+            self.int_acct_cust_bridge, self.int_transactions_decoded
+        )
+        places = branch_places(self.int_acct_cust_bridge)
+        return stock.join(places.select("branch_code", "region_code", "division_code"), "branch_code")
+
+    @cached_property
+    def customer_sets(self):
+        """Customers of each branch and opening month as sets that can be united."""
+        numbers = customer_sets.numbered_customers(self.int_customers_decoded)
+        return customer_sets.customer_sets(self.int_acct_cust_bridge, numbers)
+
+    def measure(
+        self, name: str, by: Sequence[str] = ("division_code",), period: str = "month"
+    ) -> DataFrame:
+        """A measure by name for columns and a period over which it adds up; refused for others."""
+        return measures.measured(name, getattr(self, measures.MEASURES[name].table), by, period)
+
     def metric(self, name: str, by: Sequence[str] | None = None) -> DataFrame:
         """A metric by name, at its usual grain or by other columns of its table."""
         compute, table = metrics.METRICS[name]

@@ -5,15 +5,25 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import codes
-from ledgerloom.operators import accounts, branches, customers, divisions, metrics, quality
+from ledgerloom.operators import (
+    accounts,
+    branches,
+    customer_sets,
+    customers,
+    divisions,
+    metrics,
+    quality,
+)
 from ledgerloom.operators.bridge import attach_account, branch_places
 from ledgerloom.operators.decode import flag_standalone_fees
 from ledgerloom.plans.models import PUBLISHED, WORKING, FinanceModels
+from ledgerloom.sources.quarantine import read_separated
 from ledgerloom.sources.schemas import MONEY
 from ledgerloom.sources.scratch import scratch_folder
 from ledgerloom.sources.tables import (
@@ -108,6 +118,30 @@ def _owned_transactions(m: FinanceModels) -> DataFrame:
     return attach_account(m.int_transactions_decoded, m.int_acct_cust_bridge)
 
 
+def _distinct_customers(m: FinanceModels) -> DataFrame:
+    """Distinct customers at three grains, all united from the sets of branches and opening months."""
+    month = F.col("report_month")
+    quarter = F.trunc(month, "quarter").alias("period_start")
+    grains = {
+        "branch and month": ("branch_code", month.alias("period_start")),
+        "region and quarter": ("region_code", quarter),
+        "division": ("division_code", F.lit(None).cast("date").alias("period_start")),
+    }
+    parts = [
+        customer_sets.distinct_customers(m.customer_sets, F.col(place).alias("place"), period)
+        .select(F.lit(grain).alias("grain"), "*")
+        for grain, (place, period) in grains.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _quarters(m: FinanceModels) -> DataFrame:
+    """Measures that add up in three ways, by division and quarter."""
+    names = ("fee_revenue", "digital_adoption_rate", "accounts_active_at_month_end", "accounts_opened")
+    parts = [m.measure(name, period="quarter") for name in names]
+    return reduce(lambda a, b: a.join(b, ["division_code", "period_start"], "full"), parts)
+
+
 _DAY = ("transaction_date", "division_code")
 _STATUS = ("settled", "pending", "returned")
 
@@ -311,12 +345,33 @@ PLANS: dict[str, Plan] = {
     "metric_active_customers": lambda m: metrics.metric_active_customers(m.int_customers_decoded),
     "metric_kyc_alerts": lambda m: metrics.metric_kyc_alerts(m.int_customers_decoded),
     "metric_region_rollup": lambda m: metrics.metric_region_rollup(m.fct_branch_performance),
+    "agg_distinct_customers_rollup": _distinct_customers,
+    "metric_quarters": _quarters,
     "metric_active_accounts_asof": lambda m: branches.accounts_active_at_month_end(
         m.int_acct_cust_bridge, m.int_transactions_decoded
     ),
 }
 
 
+def _csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Fees written as CSV, the amounts of every seventh account too fine or no numbers, and what loading makes of them."""
+    fees = bank_tables(spark, folder).fees
+    text = F.col("f_amt").cast("string")
+    line = F.col("a_id") % 14
+    spoiled = F.when(line == 0, F.concat(text, F.lit("5"))).when(line == 7, F.lit("n/a")).otherwise(text)
+    place = scratch_folder(spark)
+    fees.withColumn("f_amt", spoiled).write.option("header", "true").csv(f"{place}/f_l.csv")
+    good, rejected = read_separated(spark, place, "f_l")
+    refused = rejected.select(
+        F.get_json_object("record", "$.f_id").alias("f_id"),
+        F.get_json_object("record", "$.a_id").alias("a_id"),
+        F.lit(None).cast(MONEY).alias("f_amt"),
+        "reason",
+    )
+    kept = good.select("f_id", "a_id", "f_amt", F.lit(None).cast("string").alias("reason"))
+    return kept.unionByName(refused)
+
+
 def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The transaction ledger written as typed CSV and loaded again."""
     ledger = finance_models(spark, folder).raw.transactions
@@ -378,6 +433,7 @@ def registered() -> dict[str, Query]:
         "seed_branches": lambda spark, folder: _seeded(spark, folder)[0],
         "seed_divisions": lambda spark, folder: _seeded(spark, folder)[1],
         "src_csv_roundtrip": _csv_roundtrip,
+        "src_csv_quarantine": _csv_quarantine,
         "src_table_load": _table_load,
         "sink_table_roundtrip": _table_roundtrip,
     }

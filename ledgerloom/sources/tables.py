@@ -63,6 +63,14 @@ def _fits(value: Column, cast: Column, arriving: DataType, wanted: DataType) ->
     return F.lit(True)
 
 
+def sound_cast(value: Column, arriving: DataType, wanted: DataType) -> tuple[Column, Column]:
+    """The value in another type, and whether that type holds it whole; never raises."""
+    if arriving == wanted:
+        return value, F.lit(True)
+    cast = value.try_cast(wanted)
+    return cast, cast.isNotNull() & F.coalesce(_fits(value, cast, arriving, wanted), F.lit(False))
+
+
 def conformed(table: DataFrame, schema: StructType, name: str) -> DataFrame:
     """The columns of `schema`, in its types. A value that a type cannot hold whole stops the query.
 
@@ -72,14 +80,13 @@ def conformed(table: DataFrame, schema: StructType, name: str) -> DataFrame:
     for field in schema:
         value, arriving = F.col(field.name), table.schema[field.name].dataType
         if arriving != field.dataType:
-            cast = value.try_cast(field.dataType)
-            sound = F.coalesce(_fits(value, cast, arriving, field.dataType), F.lit(False))
+            cast, sound = sound_cast(value, arriving, field.dataType)
             said = F.concat(
                 F.lit(f"{name}.{field.name} cannot be {field.dataType.simpleString()}: "),
                 value.cast("string"),
             )
             refused = F.raise_error(said).cast(field.dataType)
-            value = F.when(value.isNull() | (cast.isNotNull() & sound), cast).otherwise(refused)
+            value = F.when(value.isNull() | sound, cast).otherwise(refused)
         columns.append(value.alias(field.name))
     return table.select(*columns)
 

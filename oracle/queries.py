@@ -168,6 +168,11 @@ _STATEMENTS = {
     "fct_branch_performance": _pick("branch_performance", "*"),
     "fct_division_performance": _pick("division_performance", "*"),
     "src_csv_roundtrip": _pick("t_l", "*"),
+    "src_csv_quarantine": """
+SELECT f_id, CAST(a_id AS VARCHAR) AS a_id, CASE WHEN a_id % 7 <> 0 THEN f_amt END AS f_amt,
+  CASE WHEN a_id % 14 = 0 THEN 'f_amt cannot be decimal(18,2): ' || CAST(f_amt AS VARCHAR) || '5'
+    WHEN a_id % 7 = 0 THEN 'f_amt cannot be decimal(18,2): n/a' END AS reason
+FROM f_l""",
     "src_table_load": "SELECT * REPLACE (CAST(a_id AS VARCHAR) AS a_id) FROM t_l",
     "sink_table_roundtrip": _pick("accounts", "*"),
     "join_txn_bridge": _pick(
@@ -287,6 +292,43 @@ SELECT customer_id, crm_reference, {_DIVISION} AS division_code, segment_code, c
   risk_score, onboard_date
 FROM customers WHERE know_your_cust_flag = '0'""",
     "metric_region_rollup": rollup("report_month, region_code, region_name"),
+    "agg_distinct_customers_rollup": _union(
+        f"""SELECT '{grain}' AS grain, {place} AS place, {period} AS period_start,
+  count(DISTINCT customer_id) AS total_customer_count,
+  count(DISTINCT customer_id) FILTER (WHERE customer_is_active) AS active_customer_count,
+  count(DISTINCT customer_id) FILTER (WHERE customer_is_dormant) AS dormant_customer_count
+FROM bridge GROUP BY ALL"""
+        for grain, place, period in (
+            ("branch and month", "branch_code", "CAST(date_trunc('month', open_date) AS DATE)"),
+            ("region and quarter", "region_code", "CAST(date_trunc('quarter', open_date) AS DATE)"),
+            ("division", "division_code", "CAST(NULL AS DATE)"),
+        )
+    ),
+    "metric_quarters": f"""
+WITH fees_by AS (
+  SELECT division_code, CAST(date_trunc('quarter', fee_month) AS DATE) AS period_start,
+    {money("coalesce(sum(fee_amount) FILTER (WHERE CASE division_code WHEN 'RB' THEN is_retail_fee ELSE is_commercial_fee END), 0)")} AS fee_revenue
+  FROM placed_fees GROUP BY ALL
+), uses_by AS (
+  SELECT division_code, CAST(date_trunc('quarter', transaction_month) AS DATE) AS period_start,
+    {percent("count(*) FILTER (WHERE CASE division_code WHEN 'RB' THEN is_digital_retail ELSE is_digital_commercial END)", "count(*)")} AS digital_adoption_rate
+  FROM placed_transactions GROUP BY ALL
+), ends AS (
+  SELECT CAST(date_trunc('quarter', report_month) AS DATE) AS period_start, last_day(max(report_month)) AS closing
+  FROM spine GROUP BY ALL
+), stock_by AS (
+  SELECT p.division_code, e.period_start, count(b.account_id) AS accounts_active_at_month_end
+  FROM (SELECT DISTINCT branch_code, division_code FROM places) p, ends e
+  LEFT JOIN bridge b ON b.branch_code = p.branch_code AND b.open_date <= e.closing
+    AND (b.close_date IS NULL OR b.close_date > e.closing)
+  GROUP BY ALL
+), opened_by AS (
+  SELECT division_code, CAST(date_trunc('quarter', report_month) AS DATE) AS period_start,
+    CAST(sum(accounts_opened) AS BIGINT) AS accounts_opened
+  FROM branch_performance GROUP BY ALL
+)
+SELECT * FROM fees_by FULL JOIN uses_by USING (division_code, period_start)
+FULL JOIN stock_by USING (division_code, period_start) FULL JOIN opened_by USING (division_code, period_start)""",
     "metric_active_accounts_asof": f"""
 SELECT s.branch_code, s.report_month, count(b.account_id) AS accounts_active_at_month_end
 FROM spine s LEFT JOIN bridge b ON b.branch_code = s.branch_code

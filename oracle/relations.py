@@ -500,4 +500,7 @@ def query(sql: str) -> str:
 
     visit(sql)
     named = [f"{name} AS ({body.strip()})" for name, body in RELATIONS.items() if name in needed]
+    if sql.strip().startswith("WITH "):
+        named.append(sql.strip().removeprefix("WITH "))
+        return "WITH " + ",\n".join(named)
     return ("WITH " + ",\n".join(named) + "\n" if named else "") + sql.strip()
