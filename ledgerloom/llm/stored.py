@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder name below `spark.checkpoint.dir`.
 
-    Where the session names none, a single-machine session gets one of its own, which it keeps.
+    Where the session names none, a single-machine application gets a folder of its own; no setting changes.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="ledgerloom-llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="ledgerloom-llm-")
+        root = _LOCAL[context.applicationId]
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
@@ -56,3 +58,4 @@ def package_on_workers(spark: SparkSession) -> None:
 
 
 _SENT: set[str] = set()
+_LOCAL: dict[str, str] = {}
