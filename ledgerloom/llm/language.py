@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -10,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerloom.llm.textbytes import give_back
+
 ROWS_PER_LANGUAGE = 128
 DICTIONARY_BYTES = 64 * 1024
 ALL_BYTES = 200 * DICTIONARY_BYTES  # of all dictionaries
@@ -149,8 +152,11 @@ def language_of(
     """
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        found = [classify(t, dictionaries, min_margin, min_gain) for t in texts]
-        return pd.DataFrame(found, columns=["lang_pred", "score", "rejected"])
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            found = [classify(t, dictionaries, min_margin, min_gain) for t in texts]
+            del texts
+            yield pd.DataFrame(found, columns=["lang_pred", "score", "rejected"])
+            give_back()
 
     return predict.asNondeterministic()(text)

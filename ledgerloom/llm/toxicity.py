@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import gru
 from ledgerloom.llm.sampling import lowest_hashes
-from ledgerloom.llm.textbytes import SLICE_BYTES, mixed, words
+from ledgerloom.llm.textbytes import SLICE_BYTES, give_back, mixed, words
 
 WORD_BITS, CHAR_BITS = 18, 17
 RUNS = (4, 5, 6, 7, 8)  # bytes
@@ -82,8 +82,8 @@ def read(texts: list[bytes]) -> _Read:
     return _Read(word_rows, char_rows, np.cumsum(counts) - counts, which, found.counts)
 
 
-def parts_of(texts: list[bytes], most: int = SLICE_BYTES // 2) -> Iterator[slice]:
-    """Neighbouring texts of `most` bytes together, one text at least."""
+def parts_of(texts: list[bytes] | list[str], most: int = SLICE_BYTES // 2) -> Iterator[slice]:
+    """Neighbouring texts of `most` bytes, or characters, together, one text at least."""
     start, size = 0, 0
     for row, content in enumerate(texts):
         if row > start and size + len(content) > most:
@@ -324,12 +324,13 @@ def learn_detector(
         documents.select(key, text)
         .join(F.broadcast(chosen.select(key, "_toxic")), key)
         .where(F.length(text) <= settings.most_chars)
-        .select(text, "_toxic", F.xxhash64(text).alias("_order"))
-        .dropDuplicates([text])
+        .groupBy(text)
+        .agg(F.max("_toxic").alias("_toxic"))
+        .withColumn("_order", F.xxhash64(text))
+        .orderBy("_order", text)
         .limit(4 * settings.rows_per_label)
         .collect()
     )
-    found.sort(key=lambda r: (r["_order"], r[0]))
     return train([r[0].encode() for r in found], np.array([r["_toxic"] for r in found], bool), settings)
 
 
@@ -342,11 +343,14 @@ def toxicity_of(spark: SparkSession, text: str | Column, detector: Detector) ->
     shared = spark.sparkContext.broadcast(detector)
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        contents = [b"" if t is None else t.encode() for t in texts]
-        scores = np.zeros(len(contents))
-        for part in parts_of(contents):
-            scores[part] = score_texts(shared.value, contents[part])
-        return pd.Series(scores)
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            scores = np.zeros(len(texts))
+            for part in parts_of([t or "" for t in texts]):
+                contents = ["" if t is None else t for t in texts[part]]
+                scores[part] = score_texts(shared.value, [t.encode() for t in contents])
+            del texts
+            yield pd.Series(scores)
+            give_back()
 
     return score.asNondeterministic()(text)
