@@ -227,8 +227,8 @@ class FinanceModels:
         return measures.measured(name, getattr(self, measures.MEASURES[name].table), by, period)
 
     def metric(self, name: str, by: Sequence[str] | None = None) -> DataFrame:
-        """A metric by name, at its usual grain or by other columns of its table."""
-        compute, table = metrics.METRICS[name]
+        """A metric, or list, by name, at its usual grain or by other columns of its table."""
+        compute, table = {**metrics.METRICS, **metrics.LISTS}[name]
         source = getattr(self, table)
         return compute(source) if by is None else compute(source, tuple(by))
 
