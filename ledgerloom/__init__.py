@@ -1,7 +1,7 @@
 """Spark-native reporting tables, quality checks and metrics for a retail and commercial bank."""
 
 from ledgerloom.plans.models import FinanceModels
-from ledgerloom.plans.refresh import Refreshed, refresh, register_views
+from ledgerloom.plans.refresh import Refreshed, refresh, register_views, restate_month
 from ledgerloom.sources.tables import RawTables, TableSink, VersionedSink, load
 
 __all__ = [
@@ -13,4 +13,5 @@ __all__ = [
     "load",
     "refresh",
     "register_views",
+    "restate_month",
 ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from ledgerloom.operators import quality, watching
 from ledgerloom.plans.models import LAYERS, PUBLISHED, FinanceModels, ledgers
 from ledgerloom.sources.tables import RawTables, TableSink, VersionedSink, publish_view
 
+# Working tables in a folder for each month, and the month column of the ledger they come from.
+MONTHLY = {"int_finance__transactions_daily": "transaction_month", "int_finance__fees_placed": "fee_month"}
 # Names of the stored check report, and of the counted keys it is made from.
 REPORT = "data_checks"
 KEYS = "data_check_keys"
@@ -68,6 +71,9 @@ def refresh(
     def keep(name: str, table: DataFrame) -> DataFrame:
         if name in views:
             return publish_view(name, table)
+        if name in MONTHLY:
+            # months of any size, each in few files
+            return target.publish(name, table.hint("rebalance", F.col(MONTHLY[name])), by=(MONTHLY[name],))
         return target.publish(name, watcher.watched(name, table))
 
     def ledger(name: str, table: DataFrame) -> DataFrame:
@@ -121,6 +127,49 @@ def _checked(
     return target.publish(REPORT, watching.whole_report(parts))
 
 
+def restate_month(raw: RawTables, sink: TableSink, month: date) -> dict[str, DataFrame]:
+    """Bring the facts of one month up to date after its rows in the ledgers have changed.
+
+    Between two refreshes into the folder of `sink`. Of the ledgers, that month's transactions and fees are
+    read (and of all transactions their ids and days: fees may refer to any, and a month is reported once
+    it has one). The month's folders of the working tables are overwritten, the others are not touched; fee,
+    channel, daily, branch and division facts are computed again from the working tables and returned.
+    Staged and decoded ledgers, accounts and customers stay as the last refresh left them.
+
+    Raises `ValueError` for a month without transactions or fees in the ledgers: nothing would replace
+    its folders, and a refresh is needed.
+    """
+    spark = raw.transactions.sparkSession
+    start, end = F.lit(month.replace(day=1)), F.add_months(F.lit(month.replace(day=1)), 1)
+
+    def of_month(ledger: DataFrame, day: str) -> DataFrame:
+        return ledger.where((F.col(day) >= start) & (F.col(day) < end))
+
+    bridge = sink.stored(spark, "int_finance__acct_cust_bridge")
+
+    def built(transactions: DataFrame, fees: DataFrame) -> FinanceModels:
+        models = FinanceModels(replace(raw, transactions=transactions, fees=fees), stored=True)
+        models.__dict__["int_acct_cust_bridge"] = bridge
+        return models
+
+    parts = built(of_month(raw.transactions, "t_dt"), raw.fees).daily_parts
+    fees = built(raw.transactions, of_month(raw.fees, "f_dt")).placed_fees
+    fresh = {"int_finance__transactions_daily": parts, "int_finance__fees_placed": fees}
+    for name, table in fresh.items():
+        if table.isEmpty():
+            raise ValueError(f"{name} has no rows in {month:%Y-%m}")
+    for name, table in fresh.items():
+        sink.replace_parts(name, table.hint("rebalance", F.col(MONTHLY[name])), by=(MONTHLY[name],))
+    now = built(raw.transactions, raw.fees)
+    now.__dict__["daily_parts"] = sink.stored(spark, "int_finance__transactions_daily")
+    now.__dict__["placed_fees"] = sink.stored(spark, "int_finance__fees_placed")
+    facts = ("fct_fees_revenue", "fct_channel_agg", "fct_daily_transactions", "fct_branch_performance")
+    done = {name: sink.publish(name, getattr(now, name)) for name in facts}
+    now.__dict__["fct_branch_performance"] = done["fct_branch_performance"]
+    done["fct_division_performance"] = sink.publish("fct_division_performance", now.fct_division_performance)
+    return done
+
+
 def register_views(raw: RawTables, as_of: AsOf = None) -> FinanceModels:
     """Offer every table to SQL under its published name; nothing is stored or run."""
     models = FinanceModels(raw, as_of, publish_view)

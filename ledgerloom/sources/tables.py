@@ -184,6 +184,19 @@ class TableSink:
         stored = spark.read.format(self.fmt).schema(table.schema).load(f"{self.path}/{name}")
         return stored.select(*table.columns)
 
+    def replace_parts(self, name: str, table: DataFrame, by: Sequence[str]) -> None:
+        """Overwrite those folders of a table stored `by` columns that the given rows belong to, and no others."""
+        if self.namespace:
+            raise ValueError("parts are replaced in folders, not in catalog tables")
+        writer = table.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*by).save(f"{self.path}/{name}")
+
+    def stored(self, spark: SparkSession, name: str) -> DataFrame:
+        """A scan of a table as it is now."""
+        if self.namespace:
+            return spark.table(f"{self.namespace}.{name}")
+        return spark.read.format(self.fmt).load(f"{self.path}/{name}")
+
     def begin(self, spark: SparkSession) -> TableSink:
         """Where a refresh writes: in place."""
         return self
