@@ -127,6 +127,7 @@ FROM grown GROUP BY conv_id
 """
 
 def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Shingle counts, components and kept rows of all documents; texts without words link with nothing."""
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
@@ -140,6 +141,7 @@ URL_RULES = (
 
 
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts on all pages; null urls and those without `://` have an empty host and path."""
     return urls.judge_urls(table(spark, folder, "pages"), URL_RULES)
 
 
@@ -168,6 +170,7 @@ FROM judged
 """
 
 def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector among all others; odd vectors take no part."""
     vectors = table(spark, folder, "embeddings")
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
@@ -199,6 +202,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 highest whole-number products of every fiftieth vector with all others; odd vectors take no part."""
     vectors = table(spark, folder, "embeddings")
     return balltree.exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 

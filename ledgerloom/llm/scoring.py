@@ -35,11 +35,10 @@ FLAT, STATE, COUNTS, PLACES, TOKENS = -1, -2, -3, -4, -5  # kinds of rows that a
 
 @dataclass(frozen=True)
 class Settings:
-    """Gibbs sweeps, and the last of them that are averaged. `common_words` is no longer used: all pairs ask."""
+    """Gibbs sweeps, and the last of them that are averaged."""
 
     sweeps: int = 3
     averaged: int = 2
-    common_words: int = 4096
     seed: int = 5
 
 
