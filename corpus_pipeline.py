@@ -22,7 +22,11 @@ def _unused(docs: DataFrame) -> str:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; learned from those that name theirs."""
+    """Documents whose language can be told; learned from those that name theirs.
+
+    Null, empty and letterless texts have no language and go. Repeated rows and null keys are judged each;
+    without any document that names its language none is learned, and all go.
+    """
     package_on_workers(spark)
     known = language.learn_dictionaries(docs)
     found = _unused(docs)
@@ -31,7 +35,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below one half; learned from the labels there are."""
+    """Documents that score below one half; learned from the labels there are.
+
+    Null, empty and wordless texts score 0 and stay. Repeated rows and null keys are judged each.
+    """
     package_on_workers(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     detector = toxicity.learn_detector(docs, labels)
@@ -60,7 +67,10 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 1024 ids."""
+    """Pieces of documents in sequences of 1024 ids.
+
+    A null or empty text has one id, its end. Repeated rows and null keys are packed each.
+    """
     package_on_workers(spark)
     encoded = bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.json"))
     pieces = packing.pack_sequences(encoded)
