@@ -12,7 +12,7 @@ from ledgerloom.llm.queries import remainder
 
 
 def test_documents_against_counts(documents):
-    result = scoring.score_documents(documents, remainder(5) == 1, settings=scoring.Settings(common_words=50))
+    result = scoring.score_documents(documents, remainder(5) == 1)
     tokens = {}
     for row in documents.select("doc_id", "text").collect():
         lowered = re.sub("[A-Z]", lambda m: m[0].lower(), row["text"] or "")
