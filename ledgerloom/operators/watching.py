@@ -143,34 +143,38 @@ def key_counts(tables: Mapping[str, DataFrame], keys: Iterable[Key]) -> DataFram
     return reduce(DataFrame.unionByName, parts)
 
 
-def _values_of(counts: DataFrame, key: Key) -> DataFrame:
-    at = (F.col("table_name") == key[0]) & (F.col("column_name") == key[1])
-    return counts.where(at & F.col("key").isNotNull()).select("key", "occurrences")
-
-
-def _line(check: Check, violations: Column) -> list[Column]:
-    return [
-        F.lit(check.table).alias("table_name"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.test).alias("test"),
-        F.lit(check.severity).alias("severity"),
-        violations.cast("bigint").alias("violations"),
-    ]
-
-
 def report_of_keys(counts: DataFrame, answers: Mapping[Key, Key], checks: Iterable[Check]) -> DataFrame:
-    """Uniqueness and relationships from the stored counts alone."""
-    parts = []
-    for check in checks:
-        own = _values_of(counts, answers.get((check.table, check.column)))
-        if check.test == "unique":
-            wrong = own.agg(F.count_if(F.col("occurrences") > 1).alias("n"))
-        else:
-            known = _values_of(counts, answers[check.parent, check.parent_column])
-            orphans = own.join(known.select("key"), "key", "left_anti")
-            wrong = orphans.agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("n"))
-        parts.append(wrong.select(*_line(check, F.col("n"))))
-    return reduce(DataFrame.unionByName, parts)
+    """Uniqueness and relationships from the stored counts alone: one pass for all keys, one join for all links."""
+    spark, checks = counts.sparkSession, list(checks)
+    known = counts.where(F.col("key").isNotNull())
+    lines = [
+        (n, c.table, c.column, c.test, c.severity, *answers[c.table, c.column], *answers.get((c.parent, c.parent_column), (None, None)))
+        for n, c in enumerate(checks)
+    ]
+    declared = spark.createDataFrame(
+        lines,
+        "number int, declared_table string, declared_column string, test string, severity string,"
+        " table_name string, column_name string, parent_table string, parent_column string",
+    )
+    repeated = known.where("occurrences > 1").join(declared.where("test = 'unique'"), ["table_name", "column_name"])
+    parents = known.select(
+        F.col("table_name").alias("parent_table"), F.col("column_name").alias("parent_column"), "key"
+    )
+    children = known.join(declared.where("test = 'relationships'"), ["table_name", "column_name"])
+    orphans = children.join(parents, ["parent_table", "parent_column", "key"], "left_anti")
+    wrong = (
+        repeated.select("number", F.lit(1).cast("bigint").alias("n"))
+        .unionByName(orphans.select("number", F.col("occurrences").alias("n")))
+        .groupBy("number")
+        .agg(F.sum("n").alias("n"))
+    )
+    return declared.join(wrong, "number", "left").select(
+        F.col("declared_table").alias("table_name"),
+        F.col("declared_column").alias("column_name"),
+        "test",
+        "severity",
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("violations"),
+    )
 
 
 def report_of_rows(spark, counted: Mapping[Check, int]) -> DataFrame:

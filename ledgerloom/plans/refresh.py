@@ -120,7 +120,7 @@ def _checked(
     counts = target.publish(KEYS, keys, by=("table_name", "column_name"))
     parts = [
         watching.report_of_rows(spark, counted),
-        watching.report_of_keys(counts, answers, across).drop("outcome"),
+        watching.report_of_keys(counts, answers, across),
     ]
     if open_:
         parts.append(quality.report(known, open_).drop("outcome"))
