@@ -2,16 +2,19 @@
 
 The context of a word is the word before it; its parent is a class of such words: short ones by themselves,
 longer ones by their ending. Words are dealt to units by hash. Counts of pairs, summed within each task
-first, meet in the unit of their word. A sweep runs on each unit; units then exchange the totals of real
-contexts through owners, to which contexts are dealt by hash, and those of classes, a fixed number, through
-the driver. For scoring, the different pairs of a block of texts ask the units of their words, which answer
-with probabilities; units that are asked much answer in several tasks.
+first, meet in the unit of their word; pairs of held-out texts come along with a count of none, so that a unit
+knows from the start which contexts it will be asked about. A sweep runs on each unit; units then exchange the
+totals of real contexts through owners, to which contexts are dealt by hash, and those of classes, a fixed
+number, through the driver. For scoring, the different pairs of a block of texts ask the units of their words,
+which answer with probabilities; units that are asked much answer in several tasks. Texts are scored in waves,
+so that no more than the questions of one wave are kept at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,15 +33,19 @@ END = np.uint64(0xE0D0_0000_0000_0100)
 BLOCK_TOKENS = 1_000_000
 UNIT_BYTES = 8 * 2**20  # of text, for each unit
 QUESTION_BYTES = 8 * 2**20  # packed, for each task that answers
-FLAT, STATE, COUNTS, PLACES, TOKENS = -1, -2, -3, -4, -5  # kinds of rows that are no unit's
+FLAT, STATE, COUNTS, TOKENS = -1, -2, -3, -4  # kinds of rows that are no unit's
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Gibbs sweeps, and the last of them that are averaged."""
+    """Gibbs sweeps, the last of them that are averaged, and the waves in which texts are scored.
+
+    Any number of waves gives the same scores.
+    """
 
     sweeps: int = 3
     averaged: int = 2
+    waves: int = 4
     seed: int = 5
 
 
@@ -134,11 +141,14 @@ def _by_unit(keys: np.ndarray, units: int) -> list[tuple[int, int, int]]:
     return list(zip(own[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(keys)]))
 
 
+HELD = "unit int, step int, kind int, blob binary"
+
+
 def count_words(documents: DataFrame, text: str, units: int) -> DataFrame:
-    """(unit, blob): the counts of every pair in the documents, packed, one row for each unit."""
+    """Rows of HELD: for each unit all pairs in the documents and how often texts not held out have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
             keys, before, counts, _ = summed(*(np.concatenate(c) for c in zip(*waiting)))
@@ -149,8 +159,10 @@ def count_words(documents: DataFrame, text: str, units: int) -> DataFrame:
             )
 
         for batch in batches:
-            for _, some in slices(batch, text):
-                waiting.append(tokens(some)[:2])
+            for some, texts in slices(batch, text):
+                learned = ~np.asarray(some.column(some.schema.get_field_index("held_out")).to_pylist(), bool)
+                keys, before, _, counts = tokens(texts)
+                waiting.append((keys, before, np.repeat(learned, counts)))
                 if sum(len(w[0]) for w in waiting) >= BLOCK_TOKENS:
                     yield flush()
         if waiting:
@@ -159,31 +171,11 @@ def count_words(documents: DataFrame, text: str, units: int) -> DataFrame:
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         parts = [_unpack(blob, 2) for blob in group["blob"]]
         keys, before, counts, _ = summed(*(np.concatenate(c) for c in zip(*parts)))
-        return pd.DataFrame({"unit": [group["unit"].iloc[0]], "blob": [_pack(keys, before, *_wide(counts))]})
-
-    parts = documents.select(text).mapInArrow(run, "unit int, blob binary")
-    return stored(parts.groupBy("unit").applyInPandas(merge, "unit int, blob binary"))
+        blob = _pack(keys, before, *_wide(counts))
+        return pd.DataFrame({"unit": [group["unit"].iloc[0]], "step": [-1], "kind": [COUNTS], "blob": [blob]})
 
-
-HELD = "unit int, step int, kind int, blob binary"
-
-
-def with_places(counts: DataFrame, questions: DataFrame) -> DataFrame:
-    """Rows of HELD for every unit that counts or is asked: counts, and places of the contexts it needs."""
-
-    def asked(group: pd.DataFrame) -> pd.DataFrame:
-        found = np.unique(np.concatenate([np.unique(places(*_unpack(blob))) for blob in group["blob"]]))
-        return pd.DataFrame({"unit": [group["unit"].iloc[0]], "blob": [_pack(found)]})
-
-    def both(held: pd.DataFrame, needed: pd.DataFrame) -> pd.DataFrame:
-        unit = int((held if len(held) else needed)["unit"].iloc[0])
-        blob = held["blob"].iloc[0] if len(held) else _pack(np.zeros(0, np.uint64), *[np.zeros(0, np.uint32)] * 3)
-        keys, before, _, _ = _unpack(blob, 3)
-        found = np.unique(np.concatenate([places(keys, before), *(_unpack(b, 0)[0] for b in needed["blob"])]))
-        return pd.DataFrame({"unit": unit, "step": -1, "kind": [COUNTS, PLACES], "blob": [blob, _pack(found)]})
-
-    needed = questions.groupBy("unit", "salt").applyInPandas(asked, "unit int, blob binary")
-    return stored(counts.groupBy("unit").cogroup(needed.groupBy("unit")).applyInPandas(both, HELD))
+    parts = documents.select(text, "held_out").mapInArrow(run, "unit int, blob binary")
+    return stored(parts.groupBy("unit").applyInPandas(merge, HELD))
 
 
 class _Unit:
@@ -192,21 +184,34 @@ class _Unit:
     def __init__(self, rows: pd.DataFrame):
         self.blobs = {(s, k): b for s, k, b in zip(rows["step"], rows["kind"], rows["blob"])}
         keys, before, low, high = _unpack(self.blobs[-1, COUNTS], 3)
-        self.seats = Seats(keys, before, _whole(low, high))
-        self.places = _unpack(self.blobs[-1, PLACES], 0)[0]
+        self.places = np.unique(places(keys, before))
+        counts = _whole(low, high)
+        learned = counts > 0
+        self.seats = Seats(keys[learned], before[learned], counts[learned])
+
+    def _sums(self, step: int, column: int) -> np.ndarray:
+        owners = sorted(k for s, k in self.blobs if s == step and k >= 0)
+        parts = [_unpack_columns(self.blobs[step, k], _sent(step))[2 * column :][:2] for k in owners]
+        return _whole(*(np.concatenate(c) for c in zip(*parts)))
+
+    def customers(self) -> np.ndarray:
+        """Of the contexts at its places, in any state."""
+        return self._sums(0, 1)
 
-    def go(self, step: int) -> tuple[np.ndarray, np.ndarray]:
-        """To the state after a sweep; customers and tables of the contexts at its places then."""
+    def go(self, step: int) -> np.ndarray:
+        """To the state after a sweep; tables of the contexts at its places then."""
         state = _whole(*_unpack_columns(self.blobs[step, STATE], 2))
         self.seats.take(*np.split(state, np.cumsum([len(s) for s in self.seats.state()])[:-1]))
-        owners = sorted(k for s, k in self.blobs if s == step and k >= 0)
-        parts = [_unpack_columns(self.blobs[step, k], 4) for k in owners]
-        low, high, *tables = (np.concatenate(c) for c in zip(*parts))
-        return _whole(low, high), _whole(*tables)
+        return self._sums(step, 0)
+
+
+def _sent(step: int) -> int:
+    """Columns that units say of contexts: tables after each sweep, and customers, which stay, before the first."""
+    return 2 if step else 4
 
 
 def gibbs(held: DataFrame, units: int, settings: Settings) -> tuple[DataFrame, list[np.ndarray]]:
-    """States of the units and totals of their contexts, as rows of HELD, for the sweeps that are averaged.
+    """States of the units and totals of their contexts, as rows of HELD, before the first sweep and for those averaged.
 
     And totals of classes over all units before the first sweep and after each one, followed by the numbers of
     pairs met once and twice and of tokens.
@@ -222,14 +227,14 @@ def gibbs(held: DataFrame, units: int, settings: Settings) -> tuple[DataFrame, l
             seats = own.seats
             place = np.searchsorted(own.places, seats.places)
             if step:
-                _, tables = own.go(step - 1)
+                tables = own.go(step - 1)
                 totals, share = _split(before)
                 random = np.random.default_rng((settings.seed, step - 1, number))
                 seats.sweep(totals, share, tables[place], random)
             n = len(own.places)
             sums = [
                 c.astype(np.uint32)
-                for values in (seats.customers, seats.tables)
+                for values in ((seats.tables,) if step else (seats.tables, seats.customers))
                 for c in _wide(np.bincount(place, values, n))
             ]
             served = [(seats.customers == 1).sum(), (seats.customers == 2).sum(), seats.customers.sum()]
@@ -248,20 +253,20 @@ def gibbs(held: DataFrame, units: int, settings: Settings) -> tuple[DataFrame, l
         rows = held if last is None else held.unionByName(last)
         sweep = sweep_to(step, history[-1] if history else None)
         said = stored(rows.groupBy("unit").applyInPandas(sweep, "unit int, kind int, blob binary, flat array<double>"))
-        if last is not None and step - 1 <= settings.sweeps - settings.averaged:
+        if 1 < step <= settings.sweeps - settings.averaged + 1:
             discard(last)
         each = said.where(F.col("kind") == FLAT).select(F.posexplode("flat").alias("place", "value"))
         flat = np.zeros(size)
         for row in each.groupBy("place").agg(F.sum("value").alias("value")).collect():
             flat[row["place"]] = row["value"]
         history.append(flat)
-        answers = said.where("kind >= 0").groupBy("kind").applyInPandas(_add_contexts, HELD.replace("step int, ", ""))
+        answers = said.where("kind >= 0").groupBy("kind").applyInPandas(add_contexts(step), HELD.replace("step int, ", ""))
         states = said.where(F.col("kind") == STATE).select("unit", "kind", "blob")
         found = states.unionByName(answers).select("unit", F.lit(step).alias("step"), "kind", "blob")
         last = stored(found)
         discard(said)
         drop_shuffles(held.sparkSession)
-        if step > settings.sweeps - settings.averaged:
+        if not step or step > settings.sweeps - settings.averaged:
             kept = last if kept is None else kept.unionByName(last)
     return kept, history
 
@@ -271,18 +276,23 @@ def _split(flat: np.ndarray) -> tuple[Totals, float]:
     return Totals.of(flat[:-3]), discount(flat[-3], flat[-2])
 
 
-def _add_contexts(group: pd.DataFrame) -> pd.DataFrame:
+def add_contexts(step: int):
     """Of one owner's contexts the sums over all units, to every unit that named them, in its order."""
-    parts = [_unpack(blob, 4) for blob in group["blob"]]
-    known, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    sums = []
-    for k in (1, 3):
-        total = np.zeros(len(known), np.int64)
-        np.add.at(total, place, np.concatenate([_whole(p[k], p[k + 1]) for p in parts]))
-        sums += [c.astype(np.uint32) for c in _wide(total)]
-    ends = np.cumsum([len(p[0]) for p in parts])
-    blobs = [_pack_columns(*(c[place[b - len(p[0]) : b]] for c in sums)) for p, b in zip(parts, ends)]
-    return pd.DataFrame({"unit": group["unit"].to_numpy(), "kind": group["kind"].to_numpy(), "blob": blobs})
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        columns = _sent(step)
+        parts = [_unpack(blob, columns) for blob in group["blob"]]
+        known, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        sums = []
+        for k in range(1, columns, 2):
+            total = np.zeros(len(known), np.int64)
+            np.add.at(total, place, np.concatenate([_whole(p[k], p[k + 1]) for p in parts]))
+            sums += [c.astype(np.uint32) for c in _wide(total)]
+        ends = np.cumsum([len(p[0]) for p in parts])
+        blobs = [_pack_columns(*(c[place[b - len(p[0]) : b]] for c in sums)) for p, b in zip(parts, ends)]
+        return pd.DataFrame({"unit": group["unit"].to_numpy(), "kind": group["kind"].to_numpy(), "blob": blobs})
+
+    return add
 
 
 def score_documents(
@@ -308,7 +318,12 @@ def score_documents(
     rows = documents.select(F.col(key), F.col(text), held.alias("held_out"))
     size = rows.select(F.sum(F.octet_length(text))).first()[0] or 0
     units = max(1, -(-size // UNIT_BYTES))
-    counts = count_words(rows.where(~F.col("held_out")), text, units)
+    model = count_words(rows, text, units)
+    drop_shuffles(documents.sparkSession)
+    kept, history = gibbs(model, units, settings)
+    states = model.unionByName(kept)
+    train_tokens, known_words = int(history[-1][-1]), _split(history[-1])[0].root[1]
+    whole = np.log10(train_tokens + 0.5 * (known_words + 1))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of texts, the pair of each of their tokens, and the different pairs, unit by unit, as questions."""
@@ -357,18 +372,6 @@ def score_documents(
         "n_tokens": T.LongType(),
     }
     asked_schema = T.StructType([T.StructField(n, k) for n, k in kinds.items()])
-    asked = stored(rows.mapInArrow(ask, asked_schema))
-    drop_shuffles(documents.sparkSession)
-    questions = asked.where("unit >= 0").select("unit", "block", "blob")
-    sizes = questions.groupBy("unit").agg(F.sum(F.octet_length("blob")).alias("size"))
-    salts = stored(sizes.select("unit", F.ceil(F.col("size") / QUESTION_BYTES).cast("int").alias("salts")))
-    spread = questions.join(salts, "unit").withColumn("salt", F.pmod(F.xxhash64("block"), "salts").cast("int")).drop("salts")
-    model = with_places(counts, spread)
-    discard(counts)
-    drop_shuffles(documents.sparkSession)
-    kept, history = gibbs(model, units, settings)
-    train_tokens, known_words = int(history[-1][-1]), _split(history[-1])[0].root[1]
-    whole = np.log10(train_tokens + 0.5 * (known_words + 1))
 
     def answer(questions: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if not len(questions):
@@ -377,11 +380,12 @@ def score_documents(
         parts = [_unpack(blob) for blob in questions["blob"]]
         keys, before, _, place = summed(*(np.concatenate(c) for c in zip(*parts)))
         context = np.searchsorted(own.places, places(keys, before))
+        customers = own.customers()[context]
         total = np.zeros(len(keys))
         for step in range(settings.sweeps - settings.averaged + 1, settings.sweeps + 1):
-            customers, tables = own.go(step)
+            tables = own.go(step)[context]
             totals, share = _split(history[step])
-            total += own.seats.probabilities(keys, before, totals, share, customers[context], tables[context])
+            total += own.seats.probabilities(keys, before, totals, share, customers, tables)
         logs = np.log10(total / settings.averaged).astype(np.float32)
         counted = [c.astype(np.uint32) for c in _wide(own.seats.shard.counts_of(keys >> np.uint64(8)))]
         ends = np.cumsum([len(p[0]) for p in parts])
@@ -411,14 +415,6 @@ def score_documents(
             }
         )
 
-    each = salts.select("unit", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    states = model.unionByName(kept).join(each, "unit")
-    answers = (
-        spread.groupBy("unit", "salt").cogroup(states.groupBy("unit", "salt"))
-        .applyInPandas(answer, "block long, unit int, blob binary")
-    )
-    answers = answers.unionByName(asked.where(F.col("unit") == TOKENS).select("block", "unit", "blob"))
-    texts = asked.where(F.col("unit").isNull()).drop("unit", "blob")
     result = T.StructType([rows.schema[key]])
     for name, kind in (
         ("held_out", T.BooleanType()),
@@ -430,4 +426,26 @@ def score_documents(
         ("perplexity", T.DoubleType()),
     ):
         result = result.add(name, kind)
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(add_up, result)
+
+    def wave(number: int) -> DataFrame:
+        """Scores of the texts of one wave."""
+        own = rows.where(F.pmod(F.xxhash64(key, text), F.lit(settings.waves)) == number)
+        asked = stored(own.mapInArrow(ask, asked_schema))
+        questions = asked.where("unit >= 0").select("unit", "block", "blob")
+        sizes = questions.groupBy("unit").agg(F.sum(F.octet_length("blob")).alias("size"))
+        salts = stored(sizes.select("unit", F.ceil(F.col("size") / QUESTION_BYTES).cast("int").alias("salts")))
+        salt = F.pmod(F.xxhash64("block"), "salts").cast("int")
+        spread = questions.join(salts, "unit").withColumn("salt", salt).drop("salts")
+        each = salts.select("unit", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+        answers = (
+            spread.groupBy("unit", "salt").cogroup(states.join(each, "unit").groupBy("unit", "salt"))
+            .applyInPandas(answer, "block long, unit int, blob binary")
+        )
+        answers = answers.unionByName(asked.where(F.col("unit") == TOKENS).select("block", "unit", "blob"))
+        texts = asked.where(F.col("unit").isNull()).drop("unit", "blob")
+        scored = stored(texts.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(add_up, result))
+        discard(asked)
+        drop_shuffles(documents.sparkSession)
+        return scored
+
+    return reduce(DataFrame.unionByName, [wave(number) for number in range(settings.waves)])
