@@ -14,7 +14,6 @@ sweep, and shards of them only need the totals of each restaurant.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
@@ -87,6 +86,17 @@ def seat(customers: np.ndarray, weight: np.ndarray, discount: float, random: np.
     return tables
 
 
+class Found(NamedTuple):
+    """Where each of some keys is among the words, (word, parent) pairs and entries of a shard, and whether it is."""
+
+    word: np.ndarray
+    known: np.ndarray
+    pair: np.ndarray
+    met: np.ndarray
+    entry: np.ndarray
+    seen: np.ndarray
+
+
 @dataclass
 class Shard:
     """The customers of some words: keys (hash above, context in the last byte) in order, and counts."""
@@ -146,19 +156,22 @@ class Shard:
         self.tables = tables
         self.parent_tables = seat(self.parent_customers, weight, discounts[1], random)
 
-    def probabilities(self, keys: np.ndarray, totals: Totals) -> np.ndarray:
+    def find(self, keys: np.ndarray) -> Found:
+        above = (keys & np.uint64(255)).astype(np.int64) // PER_PARENT
+        word, known = _find(self.words, keys >> np.uint64(8))
+        return Found(word, known, *_find(self.pairs, word * PARENTS + above), *_find(self.keys, keys))
+
+    def probabilities(self, keys: np.ndarray, totals: Totals, found: Found | None = None) -> np.ndarray:
         """Of any keys whose words belong to this shard, under the present seating."""
+        at = found or self.find(keys)
         root, parent, own = self.predictive(totals)
         context = (keys & np.uint64(255)).astype(np.int64)
         above = context // PER_PARENT
-        word, known = _find(self.words, keys >> np.uint64(8))
-        result = np.where(known, root[word], totals.root_new()) if len(root) else np.full(len(keys), totals.root_new())
-        pair, met = _find(self.pairs, word * PARENTS + above)
+        result = np.where(at.known, root[at.word], totals.root_new()) if len(root) else np.full(len(keys), totals.root_new())
         passed = totals.parent_new()[above] * result
-        result = np.where(known & met, parent[pair], passed) if len(parent) else passed
-        entry, seen = _find(self.keys, keys)
+        result = np.where(at.known & at.met, parent[at.pair], passed) if len(parent) else passed
         passed = totals.context_new()[context] * result
-        return np.where(seen, own[entry], passed) if len(own) else passed
+        return np.where(at.seen, own[at.entry], passed) if len(own) else passed
 
     def counts_of(self, words: np.ndarray) -> np.ndarray:
         if not len(self.words):
@@ -198,12 +211,12 @@ class Seats:
         # counts of tokens, not of tables
         self.shard.word_counts = np.bincount(word, self.customers, len(self.shard.words)).astype(np.int64)
 
-    @cached_property
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all pairs in order, and their entries."""
-        hashes = mixed(self.keys ^ self.places)
-        order = np.argsort(hashes)
-        return hashes[order], order
+    def find(self, keys: np.ndarray, before: np.ndarray) -> tuple[Found, np.ndarray, np.ndarray]:
+        """Where each pair is in the shard and among the entries, and whether it is there."""
+        found = self.shard.find(keys)
+        own = self.entry.astype(np.uint64) << np.uint64(32) | self.before
+        place, there = _find(own, found.entry.astype(np.uint64) << np.uint64(32) | before)
+        return found, place, there & found.seen
 
     def state(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return self.tables, self.shard.tables, self.shard.parent_tables
@@ -231,14 +244,13 @@ class Seats:
         own: float,
         customers: np.ndarray,
         tables: np.ndarray,
+        found: tuple[Found, np.ndarray, np.ndarray] | None = None,
     ) -> np.ndarray:
         """Of any pairs whose words belong here, given customers and tables of the context of each pair."""
-        passed = (STRENGTH + own * tables) / (customers + STRENGTH) * self.shard.probabilities(keys, totals)
+        at, entry, seen = found or self.find(keys, before)
+        passed = (STRENGTH + own * tables) / (customers + STRENGTH) * self.shard.probabilities(keys, totals, at)
         if not len(self.keys):
             return passed
-        hashes, order = self.pairs
-        place, seen = _find(hashes, mixed(keys ^ places(keys, before)))
-        entry = order[place]
         return passed + np.where(seen, (self.customers[entry] - own * self.tables[entry]) / (customers + STRENGTH), 0.0)
 
 

@@ -6,8 +6,8 @@ first, meet in the unit of their word; pairs of held-out texts come along with a
 knows from the start which contexts it will be asked about. A sweep runs on each unit; units then exchange the
 totals of real contexts through owners, to which contexts are dealt by hash, and those of classes, a fixed
 number, through the driver. For scoring, the different pairs of a block of texts ask the units of their words,
-which answer with probabilities; units that are asked much answer in several tasks. Texts are scored in waves,
-so that no more than the questions of one wave are kept at a time.
+which answer with probabilities found once for all their pairs; units that are asked much answer in several
+tasks. Texts are scored in waves, so that no more than the questions of one wave are kept at a time.
 """
 
 from __future__ import annotations
@@ -92,11 +92,23 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return (keys & ~np.uint64(255)) | context, before, np.repeat(np.arange(len(texts)), counts), counts
 
 
+def _ordered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of the values, the rank of each among the different ones, and those."""
+    order = np.argsort(values)
+    inner = values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = inner[1:] != inner[:-1]
+    place = np.empty(len(values), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return order, place, inner[new]
+
+
 def summed(
     keys: np.ndarray, before: np.ndarray, counts: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Different pairs in order, their counts, and the place there of every pair."""
-    order = np.lexsort((before, keys))
+    order, place, _ = _ordered(keys)
+    order = np.argsort(place.astype(np.uint64) << np.uint64(32) | before)
     counts = np.ones(len(keys), np.int64) if counts is None else counts.astype(np.int64)
     keys, before = keys[order], before[order]
     new = np.ones(len(keys), bool)
@@ -184,9 +196,10 @@ class _Unit:
     def __init__(self, rows: pd.DataFrame):
         self.blobs = {(s, k): b for s, k, b in zip(rows["step"], rows["kind"], rows["blob"])}
         keys, before, low, high = _unpack(self.blobs[-1, COUNTS], 3)
-        self.places = np.unique(places(keys, before))
+        _, self.place, self.places = _ordered(places(keys, before))
         counts = _whole(low, high)
         learned = counts > 0
+        self.keys, self.before, self.learned = keys, before, self.place[learned]
         self.seats = Seats(keys[learned], before[learned], counts[learned])
 
     def _sums(self, step: int, column: int) -> np.ndarray:
@@ -225,7 +238,7 @@ def gibbs(held: DataFrame, units: int, settings: Settings) -> tuple[DataFrame, l
         def sweep(rows: pd.DataFrame) -> pd.DataFrame:
             number, own = int(rows["unit"].iloc[0]), _Unit(rows)
             seats = own.seats
-            place = np.searchsorted(own.places, seats.places)
+            place = own.learned
             if step:
                 tables = own.go(step - 1)
                 totals, share = _split(before)
@@ -282,7 +295,7 @@ def add_contexts(step: int):
     def add(group: pd.DataFrame) -> pd.DataFrame:
         columns = _sent(step)
         parts = [_unpack(blob, columns) for blob in group["blob"]]
-        known, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        _, place, known = _ordered(np.concatenate([p[0] for p in parts]))
         sums = []
         for k in range(1, columns, 2):
             total = np.zeros(len(known), np.int64)
@@ -321,7 +334,6 @@ def score_documents(
     model = count_words(rows, text, units)
     drop_shuffles(documents.sparkSession)
     kept, history = gibbs(model, units, settings)
-    states = model.unionByName(kept)
     train_tokens, known_words = int(history[-1][-1]), _split(history[-1])[0].root[1]
     whole = np.log10(train_tokens + 0.5 * (known_words + 1))
 
@@ -373,24 +385,39 @@ def score_documents(
     }
     asked_schema = T.StructType([T.StructField(n, k) for n, k in kinds.items()])
 
-    def answer(questions: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        if not len(questions):
-            return pd.DataFrame(columns=["block", "unit", "blob"])
+    def judge(held: pd.DataFrame) -> pd.DataFrame:
+        """Log probability of each pair of a unit, and the count of its word."""
         own = _Unit(held)
-        parts = [_unpack(blob) for blob in questions["blob"]]
-        keys, before, _, place = summed(*(np.concatenate(c) for c in zip(*parts)))
-        context = np.searchsorted(own.places, places(keys, before))
-        customers = own.customers()[context]
-        total = np.zeros(len(keys))
+        found, customers = own.seats.find(own.keys, own.before), own.customers()[own.place]
+        total = np.zeros(len(own.keys))
         for step in range(settings.sweeps - settings.averaged + 1, settings.sweeps + 1):
-            tables = own.go(step)[context]
+            tables = own.go(step)[own.place]
             totals, share = _split(history[step])
-            total += own.seats.probabilities(keys, before, totals, share, customers, tables)
+            total += own.seats.probabilities(own.keys, own.before, totals, share, customers, tables, found)
         logs = np.log10(total / settings.averaged).astype(np.float32)
-        counted = [c.astype(np.uint32) for c in _wide(own.seats.shard.counts_of(keys >> np.uint64(8)))]
-        ends = np.cumsum([len(p[0]) for p in parts])
-        mine = [place[b - len(p[0]) : b] for p, b in zip(parts, ends)]
-        blobs = [_pack_columns(logs[m], *(c[m] for c in counted)) for m in mine]
+        counted = np.where(found[0].known, own.seats.shard.word_counts[found[0].word], 0) if len(own.learned) else 0 * own.place
+        blob = _pack(own.keys, own.before, logs.view(np.uint32), *_wide(counted))
+        return pd.DataFrame({"unit": [held["unit"].iloc[0]], "blob": [blob]})
+
+    judged = stored(model.unionByName(kept).groupBy("unit").applyInPandas(judge, "unit int, blob binary"))
+    for table in (model, kept):
+        discard(table)
+    drop_shuffles(documents.sparkSession)
+
+    def answer(questions: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        if not len(questions):
+            return pd.DataFrame(columns=["block", "unit", "blob"])
+        keys, before, logs, low, high = _unpack(held["blob"].iloc[0], 4)
+        _, rank, different = _ordered(keys)
+        pairs = rank.astype(np.uint64) << np.uint64(32) | before
+        blobs = []
+        for blob in questions["blob"]:
+            asked, after = _unpack(blob)
+            asked = np.searchsorted(different, asked).astype(np.uint64) << np.uint64(32) | after
+            place = np.searchsorted(pairs, asked)
+            if place[-1] == len(pairs) or (pairs[place] != asked).any():
+                raise ValueError("texts changed while they were scored")
+            blobs.append(_pack_columns(logs[place], low[place], high[place]))
         return pd.DataFrame({"block": questions["block"].to_numpy(), "unit": questions["unit"].to_numpy(), "blob": blobs})
 
     def add_up(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -438,7 +465,7 @@ def score_documents(
         spread = questions.join(salts, "unit").withColumn("salt", salt).drop("salts")
         each = salts.select("unit", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
         answers = (
-            spread.groupBy("unit", "salt").cogroup(states.join(each, "unit").groupBy("unit", "salt"))
+            spread.groupBy("unit", "salt").cogroup(judged.join(each, "unit").groupBy("unit", "salt"))
             .applyInPandas(answer, "block long, unit int, blob binary")
         )
         answers = answers.unionByName(asked.where(F.col("unit") == TOKENS).select("block", "unit", "blob"))
