@@ -45,7 +45,7 @@ class Settings:
 
     sweeps: int = 3
     averaged: int = 2
-    waves: int = 4
+    waves: int = 3
     seed: int = 5
 
 
@@ -154,10 +154,11 @@ def _by_unit(keys: np.ndarray, units: int) -> list[tuple[int, int, int]]:
 
 
 HELD = "unit int, step int, kind int, blob binary"
+SAID = "unit int, kind int, blob binary, flat array<double>"
 
 
 def count_words(documents: DataFrame, text: str, units: int) -> DataFrame:
-    """Rows of HELD: for each unit all pairs in the documents and how often texts not held out have them."""
+    """Rows of SAID: for each unit all pairs in the documents, how often texts not held out have them, and the first state."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -183,11 +184,12 @@ def count_words(documents: DataFrame, text: str, units: int) -> DataFrame:
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         parts = [_unpack(blob, 2) for blob in group["blob"]]
         keys, before, counts, _ = summed(*(np.concatenate(c) for c in zip(*parts)))
-        blob = _pack(keys, before, *_wide(counts))
-        return pd.DataFrame({"unit": [group["unit"].iloc[0]], "step": [-1], "kind": [COUNTS], "blob": [blob]})
+        number, blob = int(group["unit"].iloc[0]), _pack(keys, before, *_wide(counts))
+        said = _said(number, _Unit(pd.DataFrame({"step": [-1], "kind": [COUNTS], "blob": [blob]})), 0, units)
+        return pd.concat([pd.DataFrame([(number, COUNTS, blob, None)], columns=said.columns), said])
 
     parts = documents.select(text, "held_out").mapInArrow(run, "unit int, blob binary")
-    return stored(parts.groupBy("unit").applyInPandas(merge, HELD))
+    return stored(parts.groupBy("unit").applyInPandas(merge, SAID))
 
 
 class _Unit:
@@ -223,49 +225,54 @@ def _sent(step: int) -> int:
     return 2 if step else 4
 
 
-def gibbs(held: DataFrame, units: int, settings: Settings) -> tuple[DataFrame, list[np.ndarray]]:
+def _said(number: int, own: _Unit, step: int, units: int) -> pd.DataFrame:
+    """What a unit says after a sweep, as rows of SAID: its state, totals of classes, and those of contexts to owners."""
+    seats, n = own.seats, len(own.places)
+    sums = [
+        c.astype(np.uint32)
+        for values in ((seats.tables,) if step else (seats.tables, seats.customers))
+        for c in _wide(np.bincount(own.learned, values, n))
+    ]
+    served = [(seats.customers == 1).sum(), (seats.customers == 2).sum(), seats.customers.sum()]
+    flat = np.concatenate([seats.shard.totals().flat(), np.array(served, float)])
+    state = _pack_columns(*(c.astype(np.uint32) for c in _wide(np.concatenate(seats.state()))))
+    out = [(number, FLAT, None, flat), (number, STATE, state, None)]
+    out += [
+        (number, owner, _pack(own.places[a:b], *(c[a:b] for c in sums)), None)
+        for owner, a, b in _by_unit(own.places, units)
+    ]
+    return pd.DataFrame(out, columns=["unit", "kind", "blob", "flat"])
+
+
+def gibbs(first: DataFrame, units: int, settings: Settings) -> tuple[DataFrame, list[np.ndarray]]:
     """States of the units and totals of their contexts, as rows of HELD, before the first sweep and for those averaged.
 
     And totals of classes over all units before the first sweep and after each one, followed by the numbers of
     pairs met once and twice and of tokens.
     """
     history: list[np.ndarray] = []
+    held = _counts(first)
     kept: DataFrame | None = None
     size = len(Shard(np.zeros(0, np.uint64), np.zeros(0, np.int64)).totals().flat()) + 3
     last: DataFrame | None = None
 
-    def sweep_to(step: int, before: np.ndarray | None):
+    def sweep_to(step: int, before: np.ndarray):
         def sweep(rows: pd.DataFrame) -> pd.DataFrame:
             number, own = int(rows["unit"].iloc[0]), _Unit(rows)
-            seats = own.seats
-            place = own.learned
-            if step:
-                tables = own.go(step - 1)
-                totals, share = _split(before)
-                random = np.random.default_rng((settings.seed, step - 1, number))
-                seats.sweep(totals, share, tables[place], random)
-            n = len(own.places)
-            sums = [
-                c.astype(np.uint32)
-                for values in ((seats.tables,) if step else (seats.tables, seats.customers))
-                for c in _wide(np.bincount(place, values, n))
-            ]
-            served = [(seats.customers == 1).sum(), (seats.customers == 2).sum(), seats.customers.sum()]
-            flat = np.concatenate([seats.shard.totals().flat(), np.array(served, float)])
-            state = _pack_columns(*(c.astype(np.uint32) for c in _wide(np.concatenate(seats.state()))))
-            out = [(number, FLAT, None, flat), (number, STATE, state, None)]
-            out += [
-                (number, owner, _pack(own.places[a:b], *(c[a:b] for c in sums)), None)
-                for owner, a, b in _by_unit(own.places, units)
-            ]
-            return pd.DataFrame(out, columns=["unit", "kind", "blob", "flat"])
+            tables = own.go(step - 1)
+            totals, share = _split(before)
+            random = np.random.default_rng((settings.seed, step - 1, number))
+            own.seats.sweep(totals, share, tables[own.learned], random)
+            return _said(number, own, step, units)
 
         return sweep
 
     for step in range(settings.sweeps + 1):
-        rows = held if last is None else held.unionByName(last)
-        sweep = sweep_to(step, history[-1] if history else None)
-        said = stored(rows.groupBy("unit").applyInPandas(sweep, "unit int, kind int, blob binary, flat array<double>"))
+        if step:
+            rows = held.unionByName(last).groupBy("unit")
+            said = stored(rows.applyInPandas(sweep_to(step, history[-1]), SAID))
+        else:
+            said = first
         if 1 < step <= settings.sweeps - settings.averaged + 1:
             discard(last)
         each = said.where(F.col("kind") == FLAT).select(F.posexplode("flat").alias("place", "value"))
@@ -277,13 +284,19 @@ def gibbs(held: DataFrame, units: int, settings: Settings) -> tuple[DataFrame, l
         states = said.where(F.col("kind") == STATE).select("unit", "kind", "blob")
         found = states.unionByName(answers).select("unit", F.lit(step).alias("step"), "kind", "blob")
         last = stored(found)
-        discard(said)
+        if step:
+            discard(said)
         drop_shuffles(held.sparkSession)
         if not step or step > settings.sweeps - settings.averaged:
             kept = last if kept is None else kept.unionByName(last)
     return kept, history
 
 
+def _counts(first: DataFrame) -> DataFrame:
+    """The pairs of all units, as rows of HELD."""
+    return first.where(F.col("kind") == COUNTS).select("unit", F.lit(-1).alias("step"), "kind", "blob")
+
+
 def _split(flat: np.ndarray) -> tuple[Totals, float]:
     """Totals of classes, and the discount of real contexts."""
     return Totals.of(flat[:-3]), discount(flat[-3], flat[-2])
@@ -331,9 +344,9 @@ def score_documents(
     rows = documents.select(F.col(key), F.col(text), held.alias("held_out"))
     size = rows.select(F.sum(F.octet_length(text))).first()[0] or 0
     units = max(1, -(-size // UNIT_BYTES))
-    model = count_words(rows, text, units)
+    first = count_words(rows, text, units)
     drop_shuffles(documents.sparkSession)
-    kept, history = gibbs(model, units, settings)
+    kept, history = gibbs(first, units, settings)
     train_tokens, known_words = int(history[-1][-1]), _split(history[-1])[0].root[1]
     whole = np.log10(train_tokens + 0.5 * (known_words + 1))
 
@@ -399,10 +412,9 @@ def score_documents(
         blob = _pack(own.keys, own.before, logs.view(np.uint32), *_wide(counted))
         return pd.DataFrame({"unit": [held["unit"].iloc[0]], "blob": [blob]})
 
-    judged = stored(model.unionByName(kept).groupBy("unit").applyInPandas(judge, "unit int, blob binary"))
-    for table in (model, kept):
+    judged = stored(_counts(first).unionByName(kept).groupBy("unit").applyInPandas(judge, "unit int, blob binary"))
+    for table in (first, kept):
         discard(table)
-    drop_shuffles(documents.sparkSession)
 
     def answer(questions: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if not len(questions):
@@ -461,6 +473,7 @@ def score_documents(
         questions = asked.where("unit >= 0").select("unit", "block", "blob")
         sizes = questions.groupBy("unit").agg(F.sum(F.octet_length("blob")).alias("size"))
         salts = stored(sizes.select("unit", F.ceil(F.col("size") / QUESTION_BYTES).cast("int").alias("salts")))
+        drop_shuffles(documents.sparkSession)  # of the wave before, which Spark holds until another step has run
         salt = F.pmod(F.xxhash64("block"), "salts").cast("int")
         spread = questions.join(salts, "unit").withColumn("salt", salt).drop("salts")
         each = salts.select("unit", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
@@ -472,7 +485,6 @@ def score_documents(
         texts = asked.where(F.col("unit").isNull()).drop("unit", "blob")
         scored = stored(texts.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(add_up, result))
         discard(asked)
-        drop_shuffles(documents.sparkSession)
         return scored
 
     return reduce(DataFrame.unionByName, [wave(number) for number in range(settings.waves)])
