@@ -111,3 +111,68 @@ def test_probabilities_after_every_real_word_sum_to_one():
         seats.sweep(totals, share, tables[place], np.random.default_rng(sweep))
         assert (seats.tables >= 1).all() and (seats.tables <= seats.customers).all()
         assert seats.shard.customers.sum() == seats.tables.sum()
+
+
+def test_waves_do_not_matter(documents):
+    one, many = (
+        {
+            r["doc_id"]: tuple(r)
+            for r in scoring.score_documents(documents, remainder(5) == 1, settings=scoring.Settings(waves=n)).collect()
+        }
+        for n in (1, 5)
+    )
+    assert one == many and len(one) == documents.count()
+
+
+def test_probabilities_against_plain_loops():
+    """Seats give what the four levels give when written out word by word."""
+    random = np.random.default_rng(8)
+    words = [int(w) for w in np.sort(random.integers(1, 2**55, 12, dtype=np.uint64))]
+    before = [(int(b), int(c)) for b, c in zip(random.integers(0, 2**32, 6), random.integers(0, 256, 6))]
+    before += [(b, before[0][1]) for b, _ in before[:2]]
+    met = sorted({(words[w] << 8 | before[b][1], before[b][0]) for w, b in random.integers(0, (9, 8), (40, 2))})
+    counts = random.integers(1, 9, len(met))
+    seats = pitman_yor.Seats(np.array([k for k, _ in met], np.uint64), np.array([b for _, b in met], np.uint32), counts)
+    known, place = np.unique(seats.places, return_inverse=True)
+    share = pitman_yor.discount((counts == 1).sum(), (counts == 2).sum())
+    for sweep in range(2):
+        tables = np.bincount(place, seats.tables).astype(np.int64)
+        seats.sweep(seats.shard.totals(), share, tables[place], np.random.default_rng(sweep))
+    shard, totals = seats.shard, seats.shard.totals()
+    levels = [
+        {pair: (int(c), int(t)) for pair, c, t in zip(met, counts, seats.tables)},
+        {int(k): (int(c), int(t)) for k, c, t in zip(shard.keys, shard.customers, shard.tables)},
+        {
+            (int(shard.words[w]), int(p)): (int(c), int(t))
+            for w, p, c, t in zip(shard.pair_word, shard.parent, shard.parent_customers, shard.parent_tables)
+        },
+        {int(w): int(c) for w, c in zip(shard.words, shard.root_customers)},
+    ]
+    d_class, d_parent, d_root = totals.discounts
+    s = pitman_yor.STRENGTH
+
+    def level(own, others, discount, above):
+        c, t = own
+        customers, tables = sum(o[0] for o in others), sum(o[1] for o in others)
+        return (c - discount * t + (s + discount * tables) * above) / (customers + s)
+
+    def chance(word, prior, klass):
+        root = levels[3]
+        p = (root[word] - d_root) if word in root else s + d_root * len(root)
+        p /= sum(root.values()) + s
+        parent = klass // pitman_yor.PER_PARENT
+        p = level(levels[2].get((word, parent), (0, 0)), [v for k, v in levels[2].items() if k[1] == parent], d_parent, p)
+        key = word << 8 | klass
+        p = level(levels[1].get(key, (0, 0)), [v for k, v in levels[1].items() if k & 255 == klass], d_class, p)
+        same = [v for (k, b), v in levels[0].items() if (k & 255, b) == (klass, prior)]
+        return level(levels[0].get((key, prior), (0, 0)), same, share, p)
+
+    asked = sorted((w << 8 | c, b) for w in [*words, 3] for b, c in before)
+    keys, priors = np.array([k for k, _ in asked], np.uint64), np.array([b for _, b in asked], np.uint32)
+    context = pitman_yor.places(keys, priors)
+    at = np.searchsorted(known, context).clip(max=len(known) - 1)
+    there = known[at] == context
+    customers = np.where(there, np.bincount(place, counts).astype(np.int64)[at], 0)
+    tables = np.where(there, np.bincount(place, seats.tables).astype(np.int64)[at], 0)
+    found = seats.probabilities(keys, priors, totals, share, customers, tables)
+    assert found.tolist() == pytest.approx([chance(k >> 8, b, k & 255) for k, b in asked], rel=1e-12)
