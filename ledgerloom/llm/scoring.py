@@ -338,7 +338,8 @@ def score_documents(
 
     A null text counts as empty: its end is its only token. A null `held_out` counts as false. Repeated
     rows and null keys are scored each; without training texts every token is unknown and has probability
-    one. Other columns are not read; an empty table gives an empty result.
+    one. Other columns are not read; an empty table gives an empty result. `documents` is read several
+    times; texts that differ between readings raise an error.
     """
     held = F.coalesce(held_out, F.lit(False))
     rows = documents.select(F.col(key), F.col(text), held.alias("held_out"))
