@@ -15,6 +15,8 @@ from ledgerloom.llm.vectors import BLOCK_ROWS, SHARD_ROWS, as_rows, best_of, dea
 
 FOUND = "query_id long, shard int, best array<struct<negative:double,vec_id:long>>"
 SAMPLE = 4096
+QUERIES = 128  # that are looked up at once
+BUCKETS = 512  # whose chances are added up at once
 
 
 @dataclass(frozen=True)
@@ -62,6 +64,11 @@ def _lengths(rows: np.ndarray) -> np.ndarray:
     return np.sqrt((rows**2).sum(axis=1))
 
 
+def units(vecs: np.ndarray) -> np.ndarray:
+    """Queries on the lifted sphere: of length one, their last component zero."""
+    return np.column_stack((vecs / np.maximum(_lengths(vecs), 1e-300)[:, None], np.zeros(len(vecs))))
+
+
 def fit(vectors: DataFrame, number: int, k: int, settings: Settings) -> Hashing | None:
     """Length over all vectors; neighbour distance and dimensions from about SAMPLE of them."""
     squares = F.aggregate("vec", F.lit(0.0), lambda total, x: total + x * x)
@@ -95,29 +102,72 @@ def _normal(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, 1 - tail, tail)
 
 
-def probe(places: np.ndarray, codes: np.ndarray, settings: Settings, draws: np.ndarray):
-    """Log of each bucket's estimated chance to hold a neighbour, and the one to go down to, per query.
+def _log_chances(places: np.ndarray, low: int, high: int, settings: Settings) -> np.ndarray:
+    """Log of the chance that a neighbour lies in each bucket of one function, `low` to `high`; a column a query.
 
-    A neighbour lies around the query's place like a normal variable, in every function. Of neighbours
-    drawn that way, `success_of_table` lie in buckets with at least the chance returned.
+    A neighbour lies around the query's place like a normal variable.
     """
+    edges = np.arange(low, high + 2)
+    below = _normal((edges[:, None] - places[None, :]) * settings.width)
+    return np.log(np.maximum(np.diff(below, axis=0), 1e-12)).astype(np.float32)
+
+
+def chances_of(places: np.ndarray, codes: np.ndarray, settings: Settings) -> np.ndarray:
+    """Log of each bucket's estimated chance to hold a neighbour in one table: a row a bucket, a column a query."""
+    low, high = codes.min(axis=0), codes.max(axis=0)
+    logs = [_log_chances(places[:, f], low[f], high[f], settings) for f in range(codes.shape[1])]
+    chances = np.zeros((len(codes), len(places)), np.float32)
+    for start in range(0, len(codes), BUCKETS):
+        some = chances[start : start + BUCKETS]
+        own = np.empty_like(some)
+        for f, place in enumerate((codes[start : start + BUCKETS] - low).T):
+            some += np.take(logs[f], place, axis=0, out=own, mode="clip")
+    return chances
+
+
+def least_chances(vecs: np.ndarray, hashing: Hashing) -> np.ndarray:
+    """What log of a chance to go down to in each table, per query.
+
+    Of neighbours drawn around the query's place, `success_of_table` lie in buckets with at least this chance.
+    """
+    settings = hashing.settings
     spread = 1 / settings.width
-    low = np.minimum(codes.min(axis=0), np.floor(places.min(axis=0) - 4 * spread)).astype(int)
-    high = np.maximum(codes.max(axis=0), np.floor(places.max(axis=0) + 4 * spread)).astype(int)
-    chances = np.zeros((len(places), len(codes)), np.float32)
-    drawn = np.zeros((len(places), len(draws)), np.float32)
-    for f in range(codes.shape[1]):
-        edges = np.arange(low[f], high[f] + 2)
-        below = _normal((edges[None, :] - places[:, f, None]) / spread)
-        logs = np.log(np.maximum(np.diff(below, axis=1), 1e-12)).astype(np.float32)
-        chances += logs[:, codes[:, f] - low[f]]
-        landed = np.clip(np.floor(places[:, f, None] + draws[None, :, f] * spread).astype(int), low[f], high[f])
-        drawn += np.take_along_axis(logs, landed - low[f], axis=1)
-    return chances, np.quantile(drawn, 1 - settings.success_of_table, axis=1)
+    draws = np.random.default_rng(settings.seed + 1).standard_normal((256, settings.functions)) * spread
+    least = np.empty((len(vecs), settings.tables), np.float32)
+    for start in range(0, len(vecs), QUERIES):
+        some = slice(start, start + QUERIES)
+        places = hashing.places(units(vecs[some]))
+        queries = np.arange(len(places))[:, None]
+        for table in range(settings.tables):
+            drawn = np.zeros((len(places), len(draws)), np.float32)
+            for f in range(settings.functions):
+                own = places[:, table * settings.functions + f]
+                landed = np.floor(own[:, None] + draws[None, :, f]).astype(int)
+                low = landed.min()
+                drawn += _log_chances(own, low, landed.max(), settings)[landed - low, queries]
+            least[some, table] = np.quantile(drawn, 1 - settings.success_of_table, axis=1)
+    return least
+
+
+def best_candidates(vec: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[float, int]]:
+    """(negative score, id) of the k best of a query's candidates, by inner products summed row by row.
+
+    Only rows that a matrix product leaves in question, rounding included, are summed so.
+    """
+    if len(rows) > 4 * k:
+        rough = rows @ vec
+        margin = 1e-9 * len(vec) * np.abs(vec).max() * max(rows.max(), -rows.min())
+        if np.isfinite(margin):
+            keep = rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - 2 * margin
+            rows, ids = rows[keep], ids[keep]
+    # row by row, so that equal vectors score alike
+    scores = (rows * vec).sum(axis=1)
+    best = ranked(scores, ids, k)
+    return list(zip((-scores[best]).tolist(), ids[best].tolist()))
 
 
 def search_buckets(queries: pd.DataFrame, held: pd.DataFrame, hashing: Hashing, k: int) -> list[list[tuple[float, int]]]:
-    """(negative score, id) of the k best candidates of each query.
+    """(negative score, id) of the k best candidates of each query; `least` of a query is from `least_chances`.
 
     In each table the occupied buckets are visited from the likeliest down until the estimated success is
     reached, and on until k rows have been met. Candidates of all tables are merged and ranked exactly.
@@ -126,35 +176,34 @@ def search_buckets(queries: pd.DataFrame, held: pd.DataFrame, hashing: Hashing,
     width = hashing.directions.shape[0] - 1
     rows, ids = matrix(held["vec"], width), held["vec_id"].to_numpy()
     codes = np.stack(held["codes"].to_list()).astype(int)
-    random = np.random.default_rng(settings.seed + 1)
-    draws = random.standard_normal((256, settings.functions))
+    tables = []
+    for table in range(settings.tables):
+        span = slice(table * settings.functions, (table + 1) * settings.functions)
+        buckets, which, sizes = np.unique(codes[:, span], axis=0, return_inverse=True, return_counts=True)
+        tables.append((span, buckets, which.ravel(), sizes))
     out = []
-    for start in range(0, len(queries), 128):
-        asked = queries.iloc[start : start + 128]
+    for start in range(0, len(queries), QUERIES):
+        asked = queries.iloc[start : start + QUERIES]
         vecs, own = matrix(asked["vec"], width), asked["vec_id"].to_numpy()
-        units = np.column_stack((vecs / _lengths(vecs)[:, None], np.zeros(len(vecs))))
-        places = hashing.places(units)
-        met = np.zeros((len(vecs), len(rows)), bool)
-        for table in range(settings.tables):
-            span = slice(table * settings.functions, (table + 1) * settings.functions)
-            buckets, which, sizes = np.unique(codes[:, span], axis=0, return_inverse=True, return_counts=True)
-            chances, floor = probe(places[:, span], buckets, settings, draws)
+        least = np.stack(asked["least"].to_list()).astype(np.float32)
+        places = hashing.places(units(vecs))
+        met = np.zeros((len(rows), len(vecs)), bool)
+        for table, (span, buckets, which, sizes) in enumerate(tables):
+            chances = chances_of(places[:, span], buckets, settings)
+            floor = least[:, table]
             if len(rows) <= 2 * k:
                 floor = np.full(len(vecs), -np.inf)
             else:
-                short = np.flatnonzero(((chances >= floor[:, None]) * sizes).sum(axis=1) < k + 1)
+                short = np.flatnonzero(sizes.astype(float) @ (chances >= floor) < k + 1)
                 for query in short:
-                    order = np.argsort(-chances[query], kind="stable")
+                    order = np.argsort(-chances[:, query], kind="stable")
                     last = np.searchsorted(np.cumsum(sizes[order]), k + 1)
-                    floor[query] = chances[query, order[min(last, len(order) - 1)]]
-            met |= (chances >= floor[:, None])[:, which.ravel()]
-        met &= ids[None, :] != own[:, None]
+                    floor[query] = chances[order[min(last, len(order) - 1)], query]
+            met |= (chances >= floor)[which]
+        met = np.ascontiguousarray(met.T) & (ids[None, :] != own[:, None])
         for query in range(len(vecs)):
             some = np.flatnonzero(met[query])
-            # row by row, so that equal vectors score alike
-            scores = (rows[some] * vecs[query]).sum(axis=1)
-            best = ranked(scores, ids[some], k)
-            out.append([(-float(scores[b]), int(ids[some[b]])) for b in best])
+            out.append(best_candidates(vecs[query], rows[some], ids[some], k))
     return out
 
 
@@ -194,14 +243,21 @@ def nearest(
 
     coded = rows.withColumn("codes", F.pandas_udf(hashed, "array<int>")("vec"))
     index = stored(dealt(coded, number, shard_rows, "shard"))
+
+    def fitting(vecs: pd.Series) -> pd.Series:
+        return pd.Series([v[:width] for v in vecs], vecs.index, object)
+
+    def lowest(part: pd.Series) -> pd.Series:
+        return pd.Series(list(least_chances(matrix(fitting(part), width), hashing)))
+
+    # once for each query, not for each shard
+    asked = asked.withColumn("least", F.pandas_udf(lowest, "array<float>")("vec"))
     asked = dealt(asked, wanted, block_rows, "block")
 
     def search(own: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if not len(own) or not len(held):
             return pd.DataFrame(columns=["query_id", "shard", "best"])
-        fits = own["vec"].map(len) <= width
-        own = own.assign(vec=[v if fit else v[:width] for v, fit in zip(own["vec"], fits)])
-        best = search_buckets(own, held, hashing, k)
+        best = search_buckets(own.assign(vec=fitting(own["vec"])), held, hashing, k)
         lists = [[{"negative": s, "vec_id": i} for s, i in hits] for hits in best]
         return pd.DataFrame({"query_id": own["vec_id"], "shard": own["shard"], "best": lists})
 

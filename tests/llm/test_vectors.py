@@ -1,4 +1,7 @@
+import math
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +103,81 @@ def test_recall(spark):
         hits += len({i for i, _ in best} & set(ids[np.argsort(-scores)[:20]]))
         assert [s for _, s in best] == pytest.approx([matrix[ids == i][0] @ matrix[place] for i, _ in best], rel=1e-12)
     assert hits / (20 * len(lists)) >= 0.9 and all(len(x) == 20 for x in lists.values())
+
+
+def hashing_of(rows, tables=2, functions=6):
+    settings = neighbours.Settings(tables=tables, functions=functions)
+    random = np.random.default_rng(3)
+    directions = random.standard_normal((rows.shape[1] + 1, tables * functions))
+    largest = float(np.sqrt((rows**2).sum(axis=1)).max())
+    cosines = neighbours.units(rows)[:, :-1] @ (rows / largest).T
+    distance = float(np.sqrt(2 - 2 * np.median(np.sort(cosines, axis=1)[:, -6])))
+    offsets = random.random(tables * functions) * distance
+    return neighbours.Hashing(directions, offsets, largest, distance, settings)
+
+
+def shard_of(rows, hashing):
+    codes = np.floor(hashing.places(hashing.lifted(rows))).astype(int)
+    return pd.DataFrame({"vec_id": np.arange(len(rows)), "vec": list(rows), "codes": list(codes)})
+
+
+def test_buckets_of_a_shard_are_read_once_and_nothing_is_drawn_for_it(monkeypatch):
+    rows = np.random.default_rng(5).standard_normal((600, 8))
+    hashing = hashing_of(rows)
+    held = shard_of(rows, hashing)
+    asked = held[["vec_id", "vec"]].iloc[:400]
+    asked = asked.assign(least=list(neighbours.least_chances(rows[:400], hashing)))
+    calls, unique = [], np.unique
+
+    def counted(*args, **kwargs):
+        calls.append(1)
+        return unique(*args, **kwargs)
+
+    def drawn(*args):
+        raise AssertionError("draws do not depend on the shard")
+
+    monkeypatch.setattr(np, "unique", counted)
+    monkeypatch.setattr(np.random, "default_rng", drawn)
+    best = neighbours.search_buckets(asked, held, hashing, 5)
+    assert len(calls) == hashing.settings.tables and len(best) == 400
+    hits = 0
+    for query, found in enumerate(best):
+        scores = (rows * rows[query]).sum(axis=1)
+        scores[query] = -np.inf
+        order = np.lexsort((np.arange(len(rows)), -scores))[:5]
+        hits += len({i for _, i in found} & set(order.tolist()))
+        assert all(-s == scores[i] for s, i in found)
+    assert hits >= 0.9 * 5 * 400
+
+
+def test_chances_against_plain_loops():
+    rows = np.random.default_rng(6).standard_normal((40, 5))
+    hashing = hashing_of(rows)
+    codes = np.stack(shard_of(rows, hashing)["codes"].to_list())[:, :6]
+    places = hashing.places(neighbours.units(rows[:7]))[:, :6]
+    chances = neighbours.chances_of(places, codes, hashing.settings)
+
+    def below(x):
+        return 0.5 * (1 + math.erf(x / math.sqrt(2)))
+
+    for bucket in range(40):
+        for query in range(7):
+            parts = [below(c + 1 - p) - below(c - p) for c, p in zip(codes[bucket], places[query])]
+            if min(parts) > 1e-4:
+                assert chances[bucket, query] == pytest.approx(sum(map(math.log, parts)), abs=0.01)
+    # a query's limit does not depend on those beside it
+    least = neighbours.least_chances(rows, hashing)
+    assert np.array_equal(least[9:10], neighbours.least_chances(rows[9:10], hashing))
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e-170, 1e120, 1e160])
+def test_best_candidates_against_a_full_sort(scale):
+    rows = np.random.default_rng(7).standard_normal((300, 16)).round(1)
+    rows[100:130] = rows[3]
+    rows, ids = rows * scale, np.arange(300)[::-1].copy()
+    with np.errstate(over="ignore", invalid="ignore"):
+        vec = rows[3] / max(scale, 1.0)
+        scores = (rows * vec).sum(axis=1)
+        order = np.lexsort((ids, -scores))[:20]
+        best = neighbours.best_candidates(vec, rows, ids, 20)
+    assert best == [(-scores[n], ids[n]) for n in order]
