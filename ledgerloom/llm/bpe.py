@@ -10,6 +10,7 @@ whole sequence the one it finds itself.
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from ledgerloom.llm.stored import stored
-from ledgerloom.llm.textbytes import slices, span_hashes
+from ledgerloom.llm.textbytes import give_back, slices, span_hashes
 
 DECODED_ROWS = 500
 LEAF = 512  # bytes of an unsplit run that are encoded in one go
@@ -74,6 +75,8 @@ class ByteBpe:
     """One tokenizer file, with what the fast ways need."""
 
     def __init__(self, path: str):
+        # tasks share out the cores already, and each thread of the library keeps memory of its own
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         with open(path, encoding="utf-8") as file:
             said = json.load(file)
         # no cache: chunks are encoded once anyway
@@ -141,6 +144,7 @@ class ByteBpe:
         keys = span_hashes(data, starts, ends)
         _, first, which = np.unique(keys, return_index=True, return_inverse=True)
         highest = np.maximum.reduceat(data, starts)[first]
+        highest[np.logical_or.reduceat(data == 0xC2, starts)[first]] = 0xFF
         ids, at, counts = self._encode_chunks(data, starts[first], ends[first], highest, leaf)
         taken = counts[which]
         upto = np.cumsum(taken)
@@ -149,11 +153,13 @@ class ByteBpe:
         return ids[places], bounds
 
     def _encode_chunks(self, data, starts, ends, highest, leaf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of different chunks, and where those of each chunk start and how many they are."""
-        c2 = np.concatenate(([0], np.cumsum(data == 0xC2)))
+        """Ids of different chunks, and where those of each chunk start and how many they are.
+
+        `highest` is each chunk's highest byte, 0xFF where a byte is 0xC2.
+        """
         # a space, then plain letters to the end: such chunks side by side are split as on their own
         plain = (data[starts] == 0x20) & (data[ends - 1] > 0x20) & (data[ends - 1] != 0x7F)
-        plain &= (highest < 0xCE) & (c2[ends] == c2[starts]) & (ends - starts <= leaf)
+        plain &= (highest < 0xCE) & (ends - starts <= leaf)
         at, counts = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
         rows, others = np.flatnonzero(plain), np.flatnonzero(~plain)
         raw = data.tobytes()
@@ -236,13 +242,22 @@ def _id_lists(rows: list[np.ndarray]) -> pa.Array:
 
 
 def _encode_narrow(texts: DataFrame, key: str, text: str, path: str, leaf: int) -> DataFrame:
-    """Each task encodes its rows; nothing is shuffled."""
+    """Each task encodes its rows; nothing is shuffled.
+
+    The tokenizer does not outlive its task: workers take on other work next, beside those that encode.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = None
         for batch in batches:
             for rows, some in slices(batch, text):
-                ids = _id_lists(bpe(path).encode_all(some, leaf))
+                model = model or ByteBpe(path)
+                ids = _id_lists(model.encode_all(some, leaf))
                 yield pa.RecordBatch.from_arrays([rows.column(0), ids], names=[key, "ids"])
+                del some, ids
+                give_back()
+        del model
+        give_back()
 
     schema = T.StructType([texts.schema[key], T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return texts.select(key, text).mapInArrow(run, schema)

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.llm.components import connected
 from ledgerloom.llm.stored import stored
-from ledgerloom.llm.textbytes import mixed, slices, words
+from ledgerloom.llm.textbytes import give_back, mixed, slices, words
 
 PLANES = 4  # bits kept of each minimum
 BLOCK = 2048  # members of a bucket that are compared in one task
@@ -138,6 +138,7 @@ def signed(texts: DataFrame, key: str, text: str, settings: Settings) -> DataFra
                     ],
                     names=["node", "n_shingles", "digest", "digest2", "bands", "planes"],
                 )
+            give_back()
 
     long, longs = T.LongType(), T.ArrayType(T.LongType())
     kinds = {"n_shingles": long, "digest": long, "digest2": long, "bands": longs, "planes": longs}
@@ -180,6 +181,7 @@ def _linked(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, settings: Setti
                 shared = len(np.intersect1d(a, b, assume_unique=True))
                 good.append(100 * shared >= percent * (len(a) + len(b) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            give_back()
 
     kind = pairs.schema
     return both.select("a", "b", "a_set", "b_set").mapInArrow(confirm, kind)
@@ -251,6 +253,7 @@ def _block_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, settings
             starts = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0)) + 1
             yield _confirmed(rows.slice(0, starts[-1] if len(starts) else 0), [0, *starts], settings)
             waiting = rows.slice(starts[-1] if len(starts) else 0)
+            give_back()
         if waiting is not None:
             yield _confirmed(waiting, [0, waiting.num_rows], settings)
 
@@ -319,6 +322,7 @@ def near_links(documents: DataFrame, marked: DataFrame, key: str, text: str, set
             for some, texts in slices(batch, text):
                 blobs = [s.tobytes() for s in shingle_sets(texts, settings.shingle)]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(blobs, pa.binary())], names=["node", "set"])
+            give_back()
 
     schema = T.StructType([nodes.schema["node"], T.StructField("set", T.BinaryType())])
     sets = stored(documents.select(key, text).join(wanted, key, "left_semi").mapInArrow(sets_of, schema))

@@ -20,10 +20,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ledgerloom.llm.textbytes import give_back
+
 WINDOW = 1024
 BLOCK_DOCUMENTS = 20_000
 PARTNERS = 8  # lengths that are tried as the second of three, for each first one
 SWEEPS = 20
+PIECES = 20_000  # at most so many pieces, or
+PIECE_BYTES = 4 * 2**20  # about so many bytes of them, are kept back
 
 
 def combinations(counts: Counter, window: int, partners: int = PARTNERS) -> list[tuple[int, ...]]:
@@ -115,7 +119,7 @@ def pack_sequences(
         keys, rests, totals, bytes_out = [], [], [], 0
         out: list[tuple] = []
 
-        def flush_rests() -> None:
+        def flush_rests() -> Iterator[pa.RecordBatch]:
             for made in pack_lengths([len(r) for r in rests], window):
                 number, offset = next(numbers), 0
                 for item, start, length in made:
@@ -123,9 +127,17 @@ def pack_sequences(
                     piece = rests[item][start : start + length].tobytes()
                     out.append((keys[item], before, length, piece, totals[item], number, offset))
                     offset += length
+                yield from full_batches(4 * offset)
             for some in (keys, rests, totals):
                 some.clear()
 
+        def full_batches(more: int) -> Iterator[pa.RecordBatch]:
+            nonlocal bytes_out
+            bytes_out += more
+            if bytes_out > PIECE_BYTES or len(out) > PIECES:
+                yield batch_of(out)
+                bytes_out = 0
+
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             columns = zip(*rows) if rows else [[]] * 7
             made = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
@@ -134,29 +146,29 @@ def pack_sequences(
 
         for batch in batches:
             column = batch.column(1)
-            flat = column.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+            flat = column.flatten().to_numpy(zero_copy_only=False)
             sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
             ends = np.cumsum(sizes)
             for name, end, size in zip(batch.column(0).to_pylist(), ends.tolist(), sizes.tolist()):
-                own = flat[end - size : end]
+                own = flat[end - size : end].astype("<u4")
                 if separator is not None:
                     own = np.append(own, np.array(separator, "<u4"))
                 whole = len(own) - len(own) % window
                 for start in range(0, whole, window):
                     piece = own[start : start + window].tobytes()
                     out.append((name, start, window, piece, len(own), next(numbers), 0))
-                bytes_out += 4 * whole
                 if len(own) > whole:
                     keys.append(name)
                     rests.append(own[whole:].copy())
                     totals.append(len(own))
+                yield from full_batches(4 * whole)
                 if len(rests) >= block_documents:
-                    flush_rests()
-                if bytes_out > 4 * 2**20 or len(out) > 20_000:
-                    yield batch_of(out)
-                    bytes_out = 0
-        flush_rests()
+                    yield from flush_rests()
+            del batch, column, flat
+            give_back()
+        yield from flush_rests()
         yield batch_of(out)
+        give_back()
 
     long, binary = T.LongType(), T.BinaryType()
     kinds = {"start": long, "length": long, "ids": binary, "doc_tokens": long, "sequence_id": long, "offset": long}

@@ -1,5 +1,6 @@
 import random
 
+import pandas as pd
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -61,3 +62,20 @@ def test_documents(documents, library):
     rows = bpe.encode_texts(documents, PATH, spread_chars=8_000, part_bytes=5_000).join(documents, "doc_id").select("text", "ids").collect()
     expected = library.encode_batch([r["text"] or "" for r in rows], add_special_tokens=False)
     assert [r["ids"] for r in rows] == [e.ids for e in expected]
+
+
+def test_workers_do_not_keep_the_tokenizer_after_a_task(spark, odd_texts):
+    def kept(batches):
+        import gc
+
+        from ledgerloom.llm.bpe import ByteBpe
+
+        found = sum(isinstance(x, ByteBpe) for x in gc.get_objects())
+        for batch in batches:
+            yield pd.DataFrame({"kept": [found] * len(batch)})
+
+    before = spark.range(8).repartition(8).mapInPandas(kept, "kept int").agg({"kept": "max"}).first()[0]
+    encoded = bpe.encode_texts(odd_texts.repartition(8), PATH, spread_chars=1 << 20)
+    assert encoded.count() == odd_texts.count()
+    after = spark.range(8).repartition(8).mapInPandas(kept, "kept int").agg({"kept": "max"}).first()[0]
+    assert after <= before
