@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from ledgerloom.llm import minhash
+from ledgerloom.llm import components, minhash
 from ledgerloom.llm.components import connected
 
 
@@ -80,3 +80,12 @@ def test_components(spark):
     expected = {(3, 3), (4, 3), (5, 3), (8, 8), (9, 8), (10, 8)} | {(100 + n, 100) for n in range(61)}
     assert result == expected
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_plan_stays_small(spark, tmp_path):
+    """The driver keeps the plan of every step: three joins over four reads, not six over sixteen."""
+    spark.createDataFrame([(5, 4), (5, 3)], "a long, b long").write.parquet(f"{tmp_path}/links")
+    step = components._step(spark.read.parquet(f"{tmp_path}/links"))
+    plan = step._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= 3 and plan.count("Relation ") <= 4
+    assert {tuple(r) for r in step.collect()} == {(4, 3), (5, 3)}

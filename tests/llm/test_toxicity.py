@@ -1,3 +1,8 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 
 from ledgerloom.llm import gru, toxicity
@@ -65,3 +70,32 @@ def test_odd_rows(spark, odd_texts, no_texts):
     assert no_texts.select(toxicity.toxicity_of(spark, "text", detector)).count() == 0
     nothing = toxicity.learn_detector(no_texts, no_texts)
     assert toxicity.score_texts(nothing, [b"idiot"])[0] < 0.5
+
+
+def test_training_gives_memory_back():
+    """In a process of its own, as others keep memory for later use."""
+    code = """
+import numpy as np
+from ledgerloom.llm import toxicity
+from ledgerloom.llm.textbytes import give_back
+
+def held():
+    with open("/proc/self/statm") as file:
+        return int(file.read().split()[1]) * 4096
+
+random = np.random.default_rng(5)
+rows = [(" ".join(map(str, random.integers(0, 30_000, 400))), k % 2 == 0, k) for k in range(2000)]
+settings = toxicity.Settings(rounds=2, steps=5)
+toxicity._fitted(rows[:100], settings)
+give_back()
+before = held()
+detector = toxicity._fitted(rows, settings)
+after = held()
+give_back()
+print(after - before, after - held())
+"""
+    place = str(Path(toxicity.__file__).parents[2])
+    env = os.environ | {"PYTHONPATH": place, "OMP_NUM_THREADS": "1"}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, check=True, timeout=300)
+    grown, left = map(int, done.stdout.split())
+    assert grown < 40e6 and left < 8e6
